@@ -1,0 +1,109 @@
+"""The tables behind a change stream: a base plus the images of what each batch changed.
+
+A batch writes only the rows it touched and then a commit mark. Readers take the base and
+put the newest image of every key on top, looking at marked batches only. A batch that is
+run again after a failure finds its mark and does nothing, or finds none and rewrites its
+own unread folders. One stream writes to one ledger.
+
+    root/base-<n>/<table>             all rows up to and including batch n
+    root/images/<table>/batch=<n>     rows changed by batch n
+    root/commits/<n>                  mark of a finished batch
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from counterfoil.sources.snapshots import exists, subfolders, touch
+
+KEYS = {
+    "products": ("id",),
+    "orders": ("id",),
+    "lines": ("order_id", "product_id"),
+    "positions": ("product_id",),
+    "mv_product_buyers": ("productID",),
+    "mv_customer_purchases": ("customer number",),
+}
+
+
+class Ledger:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def create(self, **tables: DataFrame) -> "Ledger":
+        """Write the first base."""
+        self._write_base(-1, tables)
+        return self
+
+    def _write_base(self, number: int, tables: dict[str, DataFrame]) -> None:
+        folder = f"{self.root}/base-{number + 1:012d}"
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        touch(self.spark, f"{folder}/_DONE")
+
+    def _base(self) -> tuple[str, int]:
+        done = [
+            name
+            for name in subfolders(self.spark, self.root)
+            if name.startswith("base-") and exists(self.spark, f"{self.root}/{name}/_DONE")
+        ]
+        if not done:
+            raise FileNotFoundError(f"no ledger at {self.root}")
+        return f"{self.root}/{done[-1]}", int(done[-1].split("-")[1]) - 1
+
+    def is_committed(self, batch: int) -> bool:
+        return exists(self.spark, f"{self.root}/commits/{batch}/_DONE") or batch <= self._base()[1]
+
+    def committed(self) -> list[int]:
+        """Finished batches that are not in the base yet, oldest first."""
+        after = self._base()[1]
+        return sorted(int(n) for n in subfolders(self.spark, f"{self.root}/commits") if int(n) > after)
+
+    def commit(self, batch: int) -> None:
+        touch(self.spark, f"{self.root}/commits/{batch}/_DONE")
+
+    def write_images(self, table: str, batch: int, df: DataFrame) -> None:
+        """The rows of ``table`` that the batch changed; a true ``gone`` column deletes the key."""
+        df.write.mode("overwrite").parquet(f"{self.root}/images/{table}/batch={batch}")
+
+    def images(self, table: str, batches: Sequence[int]) -> DataFrame | None:
+        folder = f"{self.root}/images/{table}"
+        paths = [p for b in batches if exists(self.spark, p := f"{folder}/batch={b}")]
+        if not paths:
+            return None
+        return self.spark.read.option("basePath", folder).parquet(*paths)
+
+    def table(self, name: str, also: int | None = None) -> DataFrame:
+        """The present rows; ``also`` adds a batch that is not committed yet."""
+        base = self.spark.read.parquet(f"{self._base()[0]}/{name}")
+        batches = [*self.committed(), *([] if also is None else [also])]
+        images = self.images(name, batches)
+        if images is None:
+            return base
+        keys = list(KEYS[name])
+        if "gone" not in images.columns:
+            images = images.withColumn("gone", F.lit(False))
+        columns = [f"`{c}`" for c in base.columns]
+        last = images.groupBy(*[f"`{k}`" for k in keys]).agg(
+            F.max_by(F.struct(*[c for c in columns if c.strip("`") not in keys], "gone"), "batch").alias("_last")
+        )
+        newest = last.where(~F.col("_last.gone")).select(
+            *[F.col(c) if c.strip("`") in keys else F.col(f"_last.{c}").alias(c.strip("`")) for c in columns]
+        )
+        return base.join(last.select(*[f"`{k}`" for k in keys]), keys, "left_anti").unionByName(newest)
+
+    def log(self, name: str) -> DataFrame | None:
+        """An append-only table, such as the rejects, over all finished batches."""
+        marks = sorted(int(n) for n in subfolders(self.spark, f"{self.root}/commits"))
+        return self.images(name, marks)
+
+    def compact(self) -> None:
+        """Fold the finished batches into a new base, so that reads stay cheap."""
+        batches = self.committed()
+        if batches:
+            folder = self._base()[0]
+            names = subfolders(self.spark, folder)
+            self._write_base(batches[-1], {name: self.table(name) for name in names})
