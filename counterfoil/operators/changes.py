@@ -30,6 +30,7 @@ from counterfoil.session import pin
 NO_ORDER = "No such order"
 NO_PRODUCT = "No such product"
 BAD_OP = "Unknown operation"
+NO_KEY = "Change without order, product or sequence number"
 BATCH = "Another change of the batch was rejected"
 
 # Most changes of one product that one task folds at a time.
@@ -70,8 +71,10 @@ def _prepared(changes: DataFrame, lines: DataFrame, products: DataFrame, orders:
         )
         rows = rows.join(known.withColumn("known_order", F.lit(True)), "order_id", "left")
     insert = F.col("op") == "insert"
+    keyless = F.col("order_id").isNull() | F.col("product_id").isNull() | F.col("seq").isNull()
     refused = (
-        F.when(~F.col("op").isin("insert", "update", "delete"), BAD_OP)
+        F.when(keyless, NO_KEY)
+        .when(~F.coalesce(F.col("op").isin("insert", "update", "delete"), F.lit(False)), BAD_OP)
         .when(insert & F.col("known_order").isNull(), NO_ORDER)
         .when(insert & F.col("known_product").isNull(), NO_PRODUCT)
     )
@@ -144,7 +147,7 @@ def _decide_tight(rows: DataFrame, slice_rows: int) -> DataFrame:
     stock and changed lines, is written out and joined to the next.
     """
     blocks = rows.groupBy("product_id", block_of("seq").alias("_block")).agg(F.count("*").alias("_n"))
-    earlier = sum_before(blocks, ["product_id"], "_block", "_n", "_earlier")
+    earlier = sum_before(blocks, ["product_id"], "_block", {"_earlier": "_n"})
     slices = pin(earlier.select("product_id", "_block", F.floor(F.col("_earlier") / slice_rows).alias("_slice")))
     last = slices.agg(F.max("_slice")).first()[0]
     if not last:
@@ -199,19 +202,20 @@ def decide_changes(
     rejected change rejects all. With ``orders`` given, inserts for unknown orders are
     rejected as well.
     """
-    prepared = _prepared(changes, lines, products, orders)
+    # Looked up once and written out; the three ways to decide below all read it.
+    prepared = pin(_prepared(changes, lines, products, orders).join(_short_products(changes, products), "product_id", "left"))
     ready = prepared.where(F.col("refused").isNull()).drop("refused")
-    short = _short_products(changes, products)
-    most = short.agg(F.max("_changes")).first()[0]
-    free = _decide_free(ready.join(short.select("product_id"), "product_id", "left_anti"))
-    decided = [free]
+    free = ready.where(F.col("_changes").isNull()).drop("_changes")
+    tight = ready.where(F.col("_changes").isNotNull()).drop("_changes")
+    most = prepared.agg(F.max("_changes")).first()[0]
+    decided = [_decide_free(free)]
     if most is not None:
-        tight = ready.join(short.select("product_id"), "product_id", "left_semi").select(*ready.columns)
         decided.append(_fold(tight) if most <= slice_rows else _decide_tight(tight, slice_rows))
+    refused = prepared.where(F.col("refused").isNotNull()).drop("_changes")
     decided.append(
-        prepared.where(F.col("refused").isNotNull()).select(
-            "*", F.lit(False).alias("accepted"), F.col("refused").alias("reason"), F.lit(None).cast("int").alias("old_quantity")
-        )
+        refused.withColumnsRenamed({"refused": "reason"})
+        .withColumn("accepted", F.lit(False))
+        .withColumn("old_quantity", F.lit(None).cast("int"))
     )
     delta = F.when(F.col("accepted"), _delta())
     price = F.when(F.col("accepted") & ((F.col("op") == "insert") | F.col("born")), F.col("currentPrice")).when(

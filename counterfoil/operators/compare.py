@@ -70,7 +70,7 @@ def id_positions_missing(left: DataFrame, right: DataFrame, key: str = "OrderID"
     counts = _sides(
         *[df.select(F.col(key).cast("long").alias("id")).where(F.col("id").isNotNull()) for df in (left, right)], "id"
     )
-    placed = sum_before(sum_before(counts, [], "id", "n_left", "at_left", 2), [], "id", "n_right", "at_right", 2)
+    placed = sum_before(counts, [], "id", {"at_left": "n_left", "at_right": "n_right"}, levels=2)
     side = F.when(F.col("n_right") == 0, F.lit("left")).when(F.col("n_left") == 0, F.lit("right"))
     start = F.when(side == "left", F.col("at_left")).otherwise(F.col("at_right"))
     copies = F.greatest("n_left", "n_right")

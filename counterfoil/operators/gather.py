@@ -14,11 +14,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.operators.sequence import block_of
+from counterfoil.operators.sequence import BLOCK_BITS, block_of, sum_before
 
 
-def _copies(item: Column, copies: str | None) -> Column:
-    return item if copies is None else F.array_repeat(item, F.col(copies).cast("int"))
+def _in_pieces(df: DataFrame, keys: Sequence[str], order_id: str, copies: str) -> DataFrame:
+    """Cut repeated children so that no (part, piece) holds more than 65,536 copies in all.
+
+    Copies lie end to end in id order within their block; a row is split where a multiple
+    of the piece size falls between its copies. ``copies`` becomes the count per piece.
+    """
+    size = 1 << BLOCK_BITS
+    blocks = df.withColumn("part", block_of(order_id))
+    placed = sum_before(blocks, [*keys, "part"], order_id, {"_start": copies}, levels=0)
+    last = F.col("_start") + F.col(copies) - 1
+    spanned = F.sequence(F.shiftright("_start", BLOCK_BITS), F.shiftright(last, BLOCK_BITS))
+    cut = placed.withColumn("piece", F.explode(spanned))
+    first = F.greatest(F.col("_start"), F.col("piece") * size)
+    until = F.least(last, F.col("piece") * size + (size - 1))
+    return cut.withColumn(copies, until - first + 1).drop("_start")
+
+
+def _repeat(item: Column, copies: str) -> Column:
+    return F.array_repeat(item, F.col(copies).cast("int"))
+
+
+def _text_groups(df: DataFrame, by: Sequence[str], order_id: str, label: str, sep: str, copies: str | None) -> DataFrame:
+    text = F.col(label) if copies is None else F.array_join(_repeat(F.col(label), copies), sep)
+    sorted_texts = F.sort_array(F.collect_list(F.struct(F.col(order_id).alias("i"), text.alias("t"))))
+    return df.groupBy(*by).agg(F.array_join(F.transform(sorted_texts, lambda p: p["t"]), sep).alias("text"))
 
 
 def text_parts(
@@ -26,14 +49,15 @@ def text_parts(
 ) -> DataFrame:
     """One row per (keys, part): the labels of one id block joined by ``sep``, in id order.
 
-    NULL labels are skipped. ``copies`` names a count column: the label is then repeated.
+    NULL labels are skipped. ``copies`` names a count column: the label is then repeated,
+    and a part falls into pieces of at most 65,536 labels.
     """
-    text = F.col(label) if copies is None else F.array_join(_copies(F.col(label), copies), sep)
-    pieces = F.sort_array(F.collect_list(F.struct(F.col(order_id).alias("i"), text.alias("t"))))
-    return (
-        df.where(F.col(label).isNotNull())
-        .groupBy(*keys, block_of(order_id).alias("part"))
-        .agg(F.array_join(F.transform(pieces, lambda p: p["t"]), sep).alias("text"))
+    labelled = df.where(F.col(label).isNotNull())
+    if copies:
+        pieces = _in_pieces(labelled, keys, order_id, copies)
+        return _text_groups(pieces, [*keys, "part", "piece"], order_id, label, sep, copies)
+    return _text_groups(
+        labelled.withColumn("part", block_of(order_id)), [*keys, "part"], order_id, label, sep, None
     )
 
 
@@ -41,38 +65,48 @@ def gather_text(
     df: DataFrame, keys: Sequence[str], order_id: str, label: str, sep: str, out: str, copies: str | None = None
 ) -> DataFrame:
     """One row per keys: all labels joined by ``sep``; keys without a label are absent."""
+    labelled = df.where(F.col(label).isNotNull()).withColumn("part", block_of(order_id))
     parts = F.sort_array(F.collect_list(F.struct("part", "text")))
     return (
-        text_parts(df, keys, order_id, label, sep, copies)
+        _text_groups(labelled, [*keys, "part"], order_id, label, sep, copies)
         .groupBy(*keys)
         .agg(F.array_join(F.transform(parts, lambda p: p["text"]), sep).alias(out))
     )
 
 
+def _array_groups(df: DataFrame, by: Sequence[str], order_id: str, item: Column, copies: str | None) -> DataFrame:
+    count = F.col(copies).cast("int") if copies else F.lit(1)
+    # A child without id, which outer joins leave, comes first.
+    place = F.coalesce(F.col(order_id), F.lit(-1))
+    children = df.select(*by, place.alias("_i"), item.alias("_item"), count.alias("_n"))
+    in_order = F.sort_array(F.collect_list(F.struct("_i", "_item", "_n")))
+    items = F.transform(in_order, lambda p: p["_item"])
+    if copies:
+        items = F.flatten(F.transform(in_order, lambda p: F.array_repeat(p["_item"], p["_n"])))
+    return children.groupBy(*by).agg(items.alias("items"))
+
+
 def array_parts(
     df: DataFrame, keys: Sequence[str], order_id: str, item: Column, copies: str | None = None
 ) -> DataFrame:
-    """One row per (keys, part): the items of one id block as an array, in id order."""
-    sorted_items = F.sort_array(
-        F.collect_list(F.struct(F.coalesce(F.col(order_id), F.lit(-1)).alias("i"), F.col("_item"), F.col("_n")))
-    )
-    repeated = F.transform(sorted_items, lambda p: F.array_repeat(p["_item"], p["_n"]))
-    items = F.flatten(repeated) if copies else F.transform(sorted_items, lambda p: p["_item"])
-    count = F.col(copies).cast("int") if copies else F.lit(1)
-    return (
-        df.select(*keys, order_id, item.alias("_item"), count.alias("_n"))
-        .groupBy(*keys, F.coalesce(block_of(order_id), F.lit(-1)).alias("part"))
-        .agg(items.alias("items"))
-    )
+    """One row per (keys, part): the items of one id block as an array, in id order.
+
+    With ``copies`` a part falls into pieces of at most 65,536 items.
+    """
+    if copies:
+        pieces = _in_pieces(df, keys, order_id, copies)
+        return _array_groups(pieces, [*keys, "part", "piece"], order_id, item, copies)
+    return _array_groups(df.withColumn("part", block_of(order_id)), [*keys, "part"], order_id, item, None)
 
 
 def gather_array(
     df: DataFrame, keys: Sequence[str], order_id: str, item: Column, out: str, copies: str | None = None
 ) -> DataFrame:
     """One row per keys with the array of all its items in id order."""
+    rows = df.withColumn("part", F.coalesce(block_of(order_id), F.lit(-1)))
     parts = F.sort_array(F.collect_list(F.struct("part", "items")))
     return (
-        array_parts(df, keys, order_id, item, copies)
+        _array_groups(rows, [*keys, "part"], order_id, item, copies)
         .groupBy(*keys)
         .agg(F.flatten(F.transform(parts, lambda p: p["items"])).alias(out))
     )

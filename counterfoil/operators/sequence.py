@@ -29,27 +29,27 @@ def _before(keys: Sequence[str], order: str):
 
 
 def sum_before(
-    df: DataFrame, keys: Sequence[str], seq: str, value: str, out: str, levels: int = 1
+    df: DataFrame, keys: Sequence[str], seq: str, sums: Mapping[str, str], levels: int = 1
 ) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the rows of the same keys with a smaller ``seq``.
+    """Add, per entry out -> column of ``sums``, the sum over earlier rows of the same keys.
 
     Every level of blocks divides the rows of the last, key-wide window by up to 65,536;
     two levels bound it to 65,536 rows for positions below 2**48.
     """
     keys = list(keys)
+
+    def earlier(window) -> list[Column]:
+        return [F.coalesce(F.sum(value).over(window), F.lit(0)).alias(out) for out, value in sums.items()]
+
     if levels == 0:
-        return df.withColumn(out, F.coalesce(F.sum(value).over(_before(keys, seq)), F.lit(0)))
+        return df.select("*", *earlier(_before(keys, seq)))
     rows = df.withColumn(_BLOCK, block_of(seq))
-    blocks = rows.groupBy(*keys, _BLOCK).agg(F.sum(value).alias("_total"))
-    carried = sum_before(
-        blocks.withColumnRenamed(_BLOCK, "_pos"), keys, "_pos", "_total", "_carried", levels - 1
-    ).select(*keys, F.col("_pos").alias(_BLOCK), "_carried")
-    inside = F.coalesce(F.sum(value).over(_before([*keys, _BLOCK], seq)), F.lit(0))
+    blocks = rows.groupBy(*keys, F.col(_BLOCK).alias("_pos")).agg(*[F.sum(v).alias(v) for v in sums.values()])
+    carried = sum_before(blocks, keys, "_pos", {f"_carried_{out}": v for out, v in sums.items()}, levels - 1)
     return (
-        rows.withColumn("_inside", inside)
-        .join(carried, [*keys, _BLOCK])
-        .withColumn(out, F.col("_inside") + F.col("_carried"))
-        .select(*df.columns, out)
+        rows.select("*", *earlier(_before([*keys, _BLOCK], seq)))
+        .join(carried.drop(*sums.values()).withColumnRenamed("_pos", _BLOCK), [*keys, _BLOCK])
+        .select(*df.columns, *[(F.col(out) + F.col(f"_carried_{out}")).alias(out) for out in sums])
     )
 
 

@@ -506,7 +506,8 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
     one_report = _with(["olp", "ord"], _REPORT.format(key="max(pid)", more=f"and pid = {product}", **report))
     product_part = _object_of(
         [
-            ("ProductID", _plain("pid")), ("part", _plain("part")), ("Customers", _array(_BUYER, "cust.id")),
+            ("ProductID", _plain("pid")), ("part", _plain("part")), ("piece", "'0'"),
+            ("Customers", _array(_BUYER, "cust.id")),
         ]
     )
     return {
