@@ -146,15 +146,15 @@ def _decide_tight(rows: DataFrame, slice_rows: int) -> DataFrame:
     ordinary products are done in the first round; what a round leaves behind, used
     stock and changed lines, is written out and joined to the next.
     """
-    blocks = rows.groupBy("product_id", block_of("seq").alias("_block")).agg(F.count("*").alias("_n"))
-    earlier = sum_before(blocks, ["product_id"], "_block", {"_earlier": "_n"})
-    slices = pin(earlier.select("product_id", "_block", F.floor(F.col("_earlier") / slice_rows).alias("_slice")))
+    blocks = rows.groupBy("product_id", block_of("seq").alias("_chunk")).agg(F.count("*").alias("_n"))
+    earlier = sum_before(blocks, ["product_id"], "_chunk", {"_earlier": "_n"})
+    slices = pin(earlier.select("product_id", "_chunk", F.floor(F.col("_earlier") / slice_rows).alias("_slice")))
     last = slices.agg(F.max("_slice")).first()[0]
     if not last:
         return _fold(rows)
     line = ["product_id", "order_id"]
     columns = rows.columns
-    sliced = pin(rows.withColumn("_block", block_of("seq")).join(slices, ["product_id", "_block"]).drop("_block"))
+    sliced = pin(rows.withColumn("_chunk", block_of("seq")).join(slices, ["product_id", "_chunk"]).drop("_chunk"))
     decided, used, images = [], None, None
     for number in range(last + 1):
         part = sliced.where(F.col("_slice") == number).drop("_slice")

@@ -11,7 +11,7 @@ from counterfoil.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("4", "counterfoil-tests")
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
 
