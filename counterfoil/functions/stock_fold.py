@@ -1,8 +1,9 @@
-"""The row-by-row stock guard: the changes of one product, in order."""
+"""The row-by-row stock guard: the changes of each product, in order."""
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -17,39 +18,47 @@ KEY_CHANGE = "Cannot change product_id or order_id in Orderline"
 ALREADY_THERE = "Line already exists"
 NO_LINE = "No such line"
 
-# What the fold adds to the columns of a change.
+# What the fold adds to the columns of a change, and what it reads of them.
 FOLDED = "accepted boolean, reason string, old_quantity int, was_born boolean"
+_ADDED = [field.split()[0] for field in FOLDED.split(", ")]
+_KINDS = (pa.bool_(), pa.string(), pa.int32(), pa.bool_())
+_READ = ("product_id", "available", "op", "order_id", "quantity", "moved", "has_line", "held", "born")
 
 
-def fold_product(table: pa.Table) -> pa.Table:
-    """Walk the changes of one product in order, with its stock and its lines in hand."""
-    table = table.sort_by("seq")
-    left = table["available"][0].as_py()
-    lines: dict[int, tuple[int, bool] | None] = {}
-    out = []
-    names = ("op", "order_id", "quantity", "moved", "has_line", "held", "born")
-    for op, order, quantity, moved, has_line, held, born in zip(*(table[n].to_pylist() for n in names)):
-        line = lines.setdefault(order, (held, born) if has_line else None)
-        old, was_born = line or (None, False)
-        reason = None
-        if op == "insert":
-            used, after = quantity, (quantity, True)
-            reason = ALREADY_THERE if line else None
-        elif line is None:
-            reason = NO_LINE
-        elif op == "delete":
-            used, after = -old, None
-        elif moved:
-            reason = KEY_CHANGE
-        else:
-            used, after = quantity - old, (quantity, was_born)
-        if reason is None and left is not None and used > 0 and used > left:
-            reason = NOT_ENOUGH
-        if reason is None:
-            lines[order] = after
-            left = None if left is None else left - used
-        out.append((reason is None, reason, old, was_born))
-    kinds = (pa.bool_(), pa.string(), pa.int32(), pa.bool_())
-    for field, kind, values in zip(FOLDED.split(", "), kinds, zip(*out)):
-        table = table.append_column(field.split()[0], pa.array(values, kind))
-    return table
+def fold_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Walk changes that come ordered by product and sequence number.
+
+    In hand are the stock and the touched lines of the present product only.
+    """
+    product, left, lines = None, None, {}
+    for batch in batches:
+        out = []
+        for id_, available, op, order, quantity, moved, has_line, held, born in zip(
+            *(batch.column(name).to_pylist() for name in _READ)
+        ):
+            if id_ != product:
+                product, left, lines = id_, available, {}
+            line = lines.setdefault(order, (held, born) if has_line else None)
+            old, was_born = line or (None, False)
+            reason = None
+            if op == "insert":
+                used, after = quantity, (quantity, True)
+                reason = ALREADY_THERE if line else None
+            elif line is None:
+                reason = NO_LINE
+            elif op == "delete":
+                used, after = -old, None
+            elif moved:
+                reason = KEY_CHANGE
+            else:
+                used, after = quantity - old, (quantity, was_born)
+            if reason is None and left is not None and used > 0 and used > left:
+                reason = NOT_ENOUGH
+            if reason is None:
+                lines[order] = after
+                left = None if left is None else left - used
+            out.append((reason is None, reason, old, was_born))
+        added = [pa.array(values, kind) for values, kind in zip(zip(*out), _KINDS)] if out else [
+            pa.array([], kind) for kind in _KINDS
+        ]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *_ADDED])

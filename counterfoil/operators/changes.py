@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from counterfoil.functions.stock_fold import (
-    ALREADY_THERE, FOLDED, KEY_CHANGE, NO_LINE, fold_product,
+    ALREADY_THERE, FOLDED, KEY_CHANGE, NO_LINE, fold_products,
 )
 from counterfoil.model import MONEY, PRICE, Pos
 from counterfoil.operators.money import sales_tax
-from counterfoil.operators.sequence import block_of, sum_before, value_before
+from counterfoil.operators.sequence import BLOCK_ROWS, block_of, sum_before, value_before
 from counterfoil.session import pin
 
 NO_ORDER = "No such order"
@@ -96,13 +96,13 @@ def _short_products(changes: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def _decide_free(rows: DataFrame) -> DataFrame:
+def _decide_free(rows: DataFrame, split: bool) -> DataFrame:
     """Decisions where stock cannot run out: only the life of each line matters."""
     line = ["product_id", "order_id"]
     op = F.col("op")
     # Whether a line is there depends on the last insert or delete, accepted or not.
-    rows = value_before(rows, line, "seq", {"last_op": F.when(op != "update", op)})
-    there = F.when(F.col("last_op").isNull(), F.col("has_line")).otherwise(F.col("last_op") == "insert")
+    rows = value_before(rows, line, "seq", {"put_there": F.when(op != "update", op == "insert")}, split)
+    there = F.coalesce("put_there", "has_line")
     reason = (
         F.when((op == "insert") & F.col("there"), ALREADY_THERE)
         .when((op != "insert") & ~F.col("there"), NO_LINE)
@@ -117,6 +117,7 @@ def _decide_free(rows: DataFrame) -> DataFrame:
             "set_quantity": F.when(F.col("accepted") & (op != "delete"), F.col("quantity")),
             "reborn": F.when(F.col("accepted") & (op == "insert"), F.lit(True)),
         },
+        split,
     )
     old = F.when(F.col("there"), F.coalesce("set_quantity", "held"))
     return rows.withColumn("old_quantity", old).withColumn("born", F.coalesce("reborn", F.col("born")))
@@ -124,9 +125,8 @@ def _decide_free(rows: DataFrame) -> DataFrame:
 
 def _fold(rows: DataFrame) -> DataFrame:
     schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(FOLDED).fields])
-    return rows.groupBy("product_id").applyInArrow(fold_product, schema).drop("born").withColumnRenamed(
-        "was_born", "born"
-    )
+    in_order = rows.repartition("product_id").sortWithinPartitions("product_id", "seq")
+    return in_order.mapInArrow(fold_products, schema).drop("born").withColumnRenamed("was_born", "born")
 
 
 def _delta() -> Column:
@@ -195,6 +195,7 @@ def decide_changes(
     orders: DataFrame | None = None,
     mode: str = "row",
     slice_rows: int = SLICE_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Every change with ``accepted``, the ``reason`` if not, and what it does to stock and totals.
 
@@ -207,8 +208,9 @@ def decide_changes(
     ready = prepared.where(F.col("refused").isNull()).drop("refused")
     free = ready.where(F.col("_changes").isNull()).drop("_changes")
     tight = ready.where(F.col("_changes").isNotNull()).drop("_changes")
-    most = prepared.agg(F.max("_changes")).first()[0]
-    decided = [_decide_free(free)]
+    per_line = prepared.groupBy("product_id", "order_id").agg(F.count("*").alias("n"), F.max("_changes").alias("m"))
+    most_of_line, most = per_line.agg(F.max("n"), F.max("m")).first()
+    decided = [_decide_free(free, split=(most_of_line or 0) > block_rows)]
     if most is not None:
         decided.append(_fold(tight) if most <= slice_rows else _decide_tight(tight, slice_rows))
     refused = prepared.where(F.col("refused").isNotNull()).drop("_changes")

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 16
-_BLOCK = "_block"
+BLOCK_ROWS = 1 << BLOCK_BITS
+_BLOCK = "_seq_block"
 
 
 def block_of(seq: str | Column) -> Column:
@@ -54,10 +55,15 @@ def sum_before(
 
 
 def value_before(
-    df: DataFrame, keys: Sequence[str], seq: str, values: Mapping[str, Column]
+    df: DataFrame, keys: Sequence[str], seq: str, values: Mapping[str, Column], split: bool = True
 ) -> DataFrame:
-    """Add, per entry of ``values``, the last non-NULL value of an earlier row of the same keys."""
+    """Add, per entry of ``values``, the last non-NULL value of an earlier row of the same keys.
+
+    ``split=False`` is for callers who know that no key has more rows than one block.
+    """
     keys = list(keys)
+    if not split:
+        return df.select("*", *[F.last(v, True).over(_before(keys, seq)).alias(n) for n, v in values.items()])
     rows = df.select("*", block_of(seq).alias(_BLOCK), *[v.alias(f"_v_{n}") for n, v in values.items()])
     blocks = rows.groupBy(*keys, _BLOCK).agg(
         *[

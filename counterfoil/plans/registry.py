@@ -16,7 +16,7 @@ from counterfoil.operators import compare, documents, etl, money, prices, qualit
 from counterfoil.operators import document_queries as dq
 from counterfoil.plans.build import refresh_full
 from counterfoil.plans.statements import run_statement
-from counterfoil.session import scratch_path
+from counterfoil.session import pin, scratch_path
 from counterfoil.sources import raw_exports, tables
 from counterfoil.sources.documents import as_json, read_documents, write_documents
 from counterfoil.sources.snapshots import latest, materialize
@@ -448,6 +448,7 @@ def _line_feed(spark, folder, op, rows=None):
 
 def _books(pos: Pos, feed: DataFrame) -> DataFrame:
     """Stock of all products and totals of all orders after the feed."""
+    feed = pin(feed)
     ok, _ = ch.validate_changes(feed, pos.lines, pos.products, pos.orders)
     after, _ = ch.apply_changes(pos, ok)
     none = F.lit(None).cast(MONEY)

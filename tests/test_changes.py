@@ -152,8 +152,11 @@ def simulate(feed, stock, lines):
     return out, stock, lines
 
 
-@pytest.mark.parametrize("seed, plenty, slice_rows", [(1, False, 500_000), (2, True, 500_000), (3, False, 40)])
-def test_random_feeds_against_the_row_rules(spark, seed, plenty, slice_rows):
+@pytest.mark.parametrize(
+    "seed, plenty, slice_rows, block_rows",
+    [(1, False, 500_000, 65_536), (2, True, 500_000, 65_536), (2, True, 500_000, 0), (3, False, 40, 65_536)],
+)
+def test_random_feeds_against_the_row_rules(spark, seed, plenty, slice_rows, block_rows):
     """Free, folded and sliced decisions all equal the row-by-row simulation; one product is hot."""
     rng = random.Random(seed)
     seqs = rng.sample(range(0, 20 << 16), 500)
@@ -173,7 +176,7 @@ def test_random_feeds_against_the_row_rules(spark, seed, plenty, slice_rows):
         [(o, p, q, D("1.00")) for (o, p), q in held.items()], "order_id long, product_id long, quantity int, unitPrice decimal(6,2)"
     )
     want, stock_after, lines_after = simulate(feed, stock, held)
-    decided = ch.decide_changes(feed_of(spark, feed), lines, products, slice_rows=slice_rows)
+    decided = ch.decide_changes(feed_of(spark, feed), lines, products, slice_rows=slice_rows, block_rows=block_rows)
     got = {r["seq"]: r for r in decided.collect()}
     assert {s: r["reason"] for s, r in got.items()} == want
     accepted = decided.where("accepted")
