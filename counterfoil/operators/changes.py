@@ -301,15 +301,21 @@ def order_deltas(accepted: DataFrame) -> DataFrame:
     amounts = accepted.select(
         F.col("order_id").alias("id"), "seq", (F.col("delta") * F.col("unit_price")).cast(MONEY).alias("amount")
     )
-    unknown = amounts.where(F.col("amount").isNull()).groupBy("id").agg(F.max("seq").alias("unknown_at"))
-    after = F.col("unknown_at").isNull() | (F.col("seq") > F.col("unknown_at"))
-    return (
-        amounts.join(unknown, "id", "left")
+    sums = amounts.groupBy("id").agg(
+        F.sum("amount").cast(MONEY).alias("_all"),
+        F.max(F.when(F.col("amount").isNull(), F.col("seq"))).alias("_unknown_at"),
+    )
+    # Few orders have such a change; only theirs are summed again.
+    unknown = sums.where(F.col("_unknown_at").isNotNull()).select("id", "_unknown_at")
+    after = (
+        amounts.join(unknown, "id")
+        .where(F.col("seq") > F.col("_unknown_at"))
         .groupBy("id")
-        .agg(
-            F.sum(F.when(after, F.col("amount"))).cast(MONEY).alias("added"),
-            F.max("unknown_at").isNotNull().alias("reset"),
-        )
+        .agg(F.sum("amount").cast(MONEY).alias("_after"))
+    )
+    reset = F.col("_unknown_at").isNotNull()
+    return sums.join(after, "id", "left").select(
+        "id", F.when(reset, F.col("_after")).otherwise(F.col("_all")).alias("added"), reset.alias("reset")
     )
 
 
@@ -332,18 +338,10 @@ def apply_changes(pos: Pos, accepted: DataFrame, null_subtotal: str = "zero") ->
         *[stock.alias(c) if c == "availableQuantity" else F.col(c) for c in pos.products.columns]
     )
 
-    images = line_images(accepted).withColumnsRenamed({"quantity": "_q", "unitPrice": "_p"})
-    changed = F.col("gone").isNotNull()
-    lines = (
-        pos.lines.join(images, ["order_id", "product_id"], "full")
-        .where(~F.coalesce("gone", F.lit(False)))
-        .select(
-            "order_id",
-            "product_id",
-            F.when(changed, F.col("_q")).otherwise(F.col("quantity")).alias("quantity"),
-            F.when(changed, F.col("_p")).otherwise(F.col("unitPrice")).alias("unitPrice"),
-        )
-    )
+    # The few changed lines leave and come back; the rest is not shuffled for them.
+    images = line_images(accepted)
+    kept = pos.lines.join(images.select("order_id", "product_id"), ["order_id", "product_id"], "left_anti")
+    lines = kept.select(*pos.lines.columns).unionByName(images.where(~F.col("gone")).drop("gone"))
 
     deltas = order_deltas(accepted)
     subtotal = F.when(F.col("reset").isNotNull(), new_subtotal(null_subtotal)).otherwise(F.col("subtotal"))

@@ -204,9 +204,9 @@ def doc_top_customers(pos: Pos, k: int = 10) -> DataFrame:
     The k ids are found first; only their orders and lines are then nested.
     """
     top = (
-        pos.orders.join(pos.customers.select(F.col("id").alias("customer_id")), "customer_id", "left_semi")
-        .groupBy("customer_id")
+        pos.orders.groupBy("customer_id")
         .agg(F.sum("subtotal").cast(MONEY).alias("_spent"))
+        .join(pos.customers.select(F.col("id").alias("customer_id")), "customer_id", "left_semi")
         .orderBy(F.col("_spent").desc_nulls_last(), "customer_id")
         .limit(k)
     )

@@ -5,6 +5,9 @@ group, so no task sorts or holds all children of a hot parent while it builds na
 labels or structs. The pieces, already in order, are then put together into the one
 value the result asks for. Where even that value is too large for a row, the
 ``*_parts`` forms return the pieces themselves.
+
+Rows are repartitioned by (parent, block) by name: after a join on the parent key Spark
+would otherwise keep all blocks of a hot parent in the task where the join left them.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ def _in_pieces(df: DataFrame, keys: Sequence[str], order_id: str, copies: str) -
     """
     size = 1 << BLOCK_BITS
     blocks = df.withColumn("part", block_of(order_id))
-    placed = sum_before(blocks, [*keys, "part"], order_id, {"_start": copies}, levels=0)
+    spread = blocks.repartition(*keys, "part")
+    placed = sum_before(spread, [*keys, "part"], order_id, {"_start": copies}, levels=0)
     last = F.col("_start") + F.col(copies) - 1
     spanned = F.sequence(F.shiftright("_start", BLOCK_BITS), F.shiftright(last, BLOCK_BITS))
     cut = placed.withColumn("piece", F.explode(spanned))
@@ -41,7 +45,7 @@ def _repeat(item: Column, copies: str) -> Column:
 def _text_groups(df: DataFrame, by: Sequence[str], order_id: str, label: str, sep: str, copies: str | None) -> DataFrame:
     text = F.col(label) if copies is None else F.array_join(_repeat(F.col(label), copies), sep)
     sorted_texts = F.sort_array(F.collect_list(F.struct(F.col(order_id).alias("i"), text.alias("t"))))
-    return df.groupBy(*by).agg(F.array_join(F.transform(sorted_texts, lambda p: p["t"]), sep).alias("text"))
+    return df.repartition(*by).groupBy(*by).agg(F.array_join(F.transform(sorted_texts, lambda p: p["t"]), sep).alias("text"))
 
 
 def text_parts(
@@ -83,7 +87,7 @@ def _array_groups(df: DataFrame, by: Sequence[str], order_id: str, item: Column,
     items = F.transform(in_order, lambda p: p["_item"])
     if copies:
         items = F.flatten(F.transform(in_order, lambda p: F.array_repeat(p["_item"], p["_n"])))
-    return children.groupBy(*by).agg(items.alias("items"))
+    return children.repartition(*by).groupBy(*by).agg(items.alias("items"))
 
 
 def array_parts(

@@ -96,13 +96,14 @@ def sales_report(pos: Pos, start: dt.date, end: dt.date, product_id: int | None
     lines = with_line_total(pos.lines)
     if product_id is not None:
         lines = lines.where(F.col("product_id") == product_id)
-    sold = lines.join(placed.select(F.col("id").alias("order_id")), "order_id", "left_semi").join(
-        pos.products.select(F.col("id").alias("product_id")), "product_id", "left_semi"
-    )
+    sold = lines.join(placed.select(F.col("id").alias("order_id")), "order_id", "left_semi")
     sums = [
         F.sum("quantity").cast("long").alias("Quantity Sold"),
         F.sum("lineTotal").cast(MONEY).alias("Total Sales Amount"),
     ]
-    if product_id is not None:
-        return sold.agg(F.max("product_id").alias("Product ID"), *sums)
-    return sold.groupBy(F.col("product_id").alias("Product ID")).agg(*sums)
+    # Summed before the look-up of the product, so that a hot product shrinks before it is shuffled.
+    totals = sold.groupBy(F.col("product_id").alias("Product ID")).agg(*sums)
+    known = totals.join(pos.products.select(F.col("id").alias("Product ID")), "Product ID", "left_semi")
+    if product_id is None:
+        return known
+    return known.agg(*[F.max(f"`{name}`").alias(name) for name in known.columns])

@@ -16,8 +16,7 @@ from counterfoil.operators.sequence import value_before
 def price_steps(products: DataFrame, changes: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Each change of a known product with the price before it; changes without stamp get ``as_of``."""
     current = products.select(F.col("id").alias("product_id"), F.col("currentPrice").alias("_current"))
-    rows = changes.join(current, "product_id")
-    stepped = value_before(rows, ["product_id"], "seq", {"_earlier": F.struct("price")})
+    stepped = value_before(changes, ["product_id"], "seq", {"_earlier": F.struct("price")}).join(current, "product_id")
     old = F.when(F.col("_earlier").isNull(), F.col("_current")).otherwise(F.col("_earlier.price"))
     stamp = F.coalesce("ts", as_of if as_of is not None else F.current_timestamp())
     return stepped.select(

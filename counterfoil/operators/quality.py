@@ -45,12 +45,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_col:
     The source's columns, NULLs included, replace the target's; of several source rows
     with one key the last by ``order_col`` counts.
     """
+    keys = list(keys)
     values = [c for c in source.columns if c in target.columns and c not in keys]
     newest = source.groupBy(*keys).agg(F.max_by(F.struct(*values), order_col).alias("_new"))
-    merged = target.join(newest, list(keys), "full")
-    return merged.select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
-            for c in target.columns
-        ]
+    put = F.col("_new").isNotNull()
+    replaced = target.join(newest, keys, "left").select(
+        *[F.when(put, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in target.columns]
     )
+    # The target is cut down to the source's keys before it is asked what is missing.
+    present = target.select(*keys).join(newest.select(*keys), keys, "left_semi")
+    added = newest.join(present, keys, "left_anti").select(*keys, *[F.col("_new")[c].alias(c) for c in values])
+    return replaced.unionByName(added, allowMissingColumns=True)

@@ -4,6 +4,9 @@ A plain window sorts a whole key group in one task. Here the order column, a uni
 whole number, is cut into blocks of 2**16 positions. The row-level window runs inside
 (key, block), which holds at most 65,536 rows whatever the skew of the key; only one
 row per block takes part in the window that carries values from block to block.
+
+The rows are repartitioned by (key, block) by name. Left to itself Spark keeps rows that
+a join has already brought together by key alone, and a hot key would stay in one task.
 """
 
 from __future__ import annotations
@@ -45,10 +48,11 @@ def sum_before(
     if levels == 0:
         return df.select("*", *earlier(_before(keys, seq)))
     rows = df.withColumn(_BLOCK, block_of(seq))
+    spread = rows.repartition(*keys, _BLOCK)
     blocks = rows.groupBy(*keys, F.col(_BLOCK).alias("_pos")).agg(*[F.sum(v).alias(v) for v in sums.values()])
     carried = sum_before(blocks, keys, "_pos", {f"_carried_{out}": v for out, v in sums.items()}, levels - 1)
     return (
-        rows.select("*", *earlier(_before([*keys, _BLOCK], seq)))
+        spread.select("*", *earlier(_before([*keys, _BLOCK], seq)))
         .join(carried.drop(*sums.values()).withColumnRenamed("_pos", _BLOCK), [*keys, _BLOCK])
         .select(*df.columns, *[(F.col(out) + F.col(f"_carried_{out}")).alias(out) for out in sums])
     )
@@ -77,7 +81,8 @@ def value_before(
     )
     inside = _before([*keys, _BLOCK], seq)
     return (
-        rows.select("*", *[F.last(f"_v_{n}", True).over(inside).alias(f"_in_{n}") for n in values])
+        rows.repartition(*keys, _BLOCK)
+        .select("*", *[F.last(f"_v_{n}", True).over(inside).alias(f"_in_{n}") for n in values])
         .join(carried, [*keys, _BLOCK])
         .select(*df.columns, *[F.coalesce(f"_in_{n}", f"_carried_{n}").alias(n) for n in values])
     )
