@@ -36,7 +36,9 @@ BATCH = "Another change of the batch was rejected"
 # Most changes of one product that one task folds at a time.
 SLICE_ROWS = 500_000
 
-DECISION = ["op", "seq", "order_id", "product_id", "quantity", "accepted", "reason", "old_quantity", "delta", "unit_price"]
+DECISION = [
+    "op", "seq", "order_id", "product_id", "quantity", "accepted", "reason", "old_quantity", "delta", "unit_price",
+]
 
 
 def clamp_quantity(quantity: Column) -> Column:
@@ -204,7 +206,8 @@ def decide_changes(
     rejected as well.
     """
     # Looked up once and written out; the three ways to decide below all read it.
-    prepared = pin(_prepared(changes, lines, products, orders).join(_short_products(changes, products), "product_id", "left"))
+    short = _short_products(changes, products)
+    prepared = pin(_prepared(changes, lines, products, orders).join(short, "product_id", "left"))
     ready = prepared.where(F.col("refused").isNull()).drop("refused")
     free = ready.where(F.col("_changes").isNull()).drop("_changes")
     tight = ready.where(F.col("_changes").isNotNull()).drop("_changes")

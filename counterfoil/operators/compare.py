@@ -26,7 +26,8 @@ def dataset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     Documents are compared by the SHA-256 of their canonical text, so the shuffle carries
     a short digest per distinct document and not the documents.
     """
-    counts = _sides(*[df.select(F.sha2(canonical_document("doc"), 256).alias("digest")) for df in (left, right)], "digest")
+    digests = [df.select(F.sha2(canonical_document("doc"), 256).alias("digest")) for df in (left, right)]
+    counts = _sides(*digests, "digest")
     zero = F.lit(0).cast("long")
     return counts.agg(
         F.coalesce(F.sum(F.least("n_left", "n_right")), zero).alias("common"),

@@ -42,10 +42,13 @@ def _repeat(item: Column, copies: str) -> Column:
     return F.array_repeat(item, F.col(copies).cast("int"))
 
 
-def _text_groups(df: DataFrame, by: Sequence[str], order_id: str, label: str, sep: str, copies: str | None) -> DataFrame:
+def _text_groups(
+    df: DataFrame, by: Sequence[str], order_id: str, label: str, sep: str, copies: str | None
+) -> DataFrame:
     text = F.col(label) if copies is None else F.array_join(_repeat(F.col(label), copies), sep)
     sorted_texts = F.sort_array(F.collect_list(F.struct(F.col(order_id).alias("i"), text.alias("t"))))
-    return df.repartition(*by).groupBy(*by).agg(F.array_join(F.transform(sorted_texts, lambda p: p["t"]), sep).alias("text"))
+    joined = F.array_join(F.transform(sorted_texts, lambda p: p["t"]), sep)
+    return df.repartition(*by).groupBy(*by).agg(joined.alias("text"))
 
 
 def text_parts(

@@ -50,7 +50,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_col:
     newest = source.groupBy(*keys).agg(F.max_by(F.struct(*values), order_col).alias("_new"))
     put = F.col("_new").isNotNull()
     replaced = target.join(newest, keys, "left").select(
-        *[F.when(put, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in target.columns]
+        *[
+            F.when(put, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+            for c in target.columns
+        ]
     )
     # The target is cut down to the source's keys before it is asked what is missing.
     present = target.select(*keys).join(newest.select(*keys), keys, "left_semi")

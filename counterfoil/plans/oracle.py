@@ -182,10 +182,6 @@ def _day(expr: str) -> str:
     return f"coalesce('\"' || strftime({expr}, '%Y-%m-%d') || '\"', 'null')"
 
 
-def _object(**fields: str) -> str:
-    return _object_of(list(fields.items()))
-
-
 def _object_of(fields: list[tuple[str, str]]) -> str:
     inner = " || ',' || ".join(f"'\"{name}\":' || {text}" for name, text in fields)
     return f"('{{' || {inner} || '}}')"
@@ -210,15 +206,6 @@ def _doc_products(id_first: list[tuple[str, str]], array: str, empty: str) -> st
     return _with(["product", "sale", "cust"], f'select id as "ProductID", {doc} as doc from product')
 
 
-def _items(name: str, source: str = "ol", extra: str = "") -> str:
-    item = _object_of([("ProductID", _plain("pid")), (name, _string("product.name")), ("Quantity", _plain("q"))])
-    return f"(select {_array(item, 'pid')} from ol join product on pid = product.id where oid = {{order}})"
-
-
-def _items_sql(name: str, order: str) -> str:
-    return _items(name).format(order=order)
-
-
 def _customer_orders(style: str) -> str:
     names = {
         "A": ("OrderID", "OrderTotal", "OrderDate", "ShippingDate", "Items"),
@@ -491,6 +478,62 @@ _PRODUCT_B = [
 ]
 _PRODUCT_C = [("ProductID", _plain("id")), ("current price", _plain("price")), ("name", _string("name"))]
 
+
+
+def _report_row(rule: str, table: str, column: str, count: str) -> str:
+    return f"select '{rule}' as rule, '{table}' as table_name, '{column}' as column_name, ({count}) as n"
+
+
+def _unique(table: str, source: str, column: str, keys: str) -> str:
+    repeated = f"select count(*) from (select {keys} from {source} group by all having count(*) > 1)"
+    return _report_row("unique", table, column, repeated)
+
+
+def _reference(table: str, column: str, child: str, key: str, parent: str, parent_key: str) -> str:
+    orphans = f"select count(*) from {child} c where {key} is not null"
+    return _report_row("reference", table, column, f"{orphans} and {key} not in (select {parent_key} from {parent})")
+
+
+def _counted(rule: str, table: str, column: str, source: str, condition: str) -> str:
+    return _report_row(rule, table, column, f"select count(*) from {source} where {condition}")
+
+
+def _dq_report() -> str:
+    lengths = [
+        ("product", "clean_product", "name", "name", 128), ("city", "clean_city", "city", "city", 32),
+        ("city", "clean_city", "state", "state", 4), ("customer", "clean_customer", "firstName", "fn", 32),
+        ("customer", "clean_customer", "lastName", "ln", 30), ("customer", "clean_customer", "email", "email", 128),
+        ("customer", "clean_customer", "address1", "a1", 100), ("customer", "clean_customer", "address2", "a2", 50),
+        ("sales_tax", "rates", "state", "state", 2), ("sales_tax", "rates", "taxRegionName", "region", 64),
+    ]
+    rows = [
+        _unique("product", "clean_product", "id", "id"),
+        _unique("city", "clean_city", "zip", "zip"),
+        _unique("customer", "clean_customer", "id", "id"),
+        _unique("order", "clean_order", "id", "id"),
+        _unique("orderline", "clean_line", "order_id,product_id", "oid, pid"),
+        _unique("sales_tax", "rates", "zip", "zip"),
+        _reference("customer", "zip", "clean_customer", "zip", "clean_city", "zip"),
+        _reference("order", "customer_id", "clean_order", "cid", "clean_customer", "id"),
+        _reference("orderline", "order_id", "clean_line", "oid", "clean_order", "id"),
+        _reference("orderline", "product_id", "clean_line", "pid", "clean_product", "id"),
+        _reference("price_history", "product_id", "logged", "pid", "clean_product", "id"),
+        _counted("required", "product", "name", "clean_product", "name is null"),
+        _counted("required", "city", "city", "clean_city", "city is null"),
+        _counted("required", "city", "state", "clean_city", "state is null"),
+        _counted("required", "price_history", "ts", "logged", "ts is null"),
+        *[_counted("length", t, name, source, f"length({c}) > {n}") for t, source, name, c, n in lengths],
+    ]
+    needs = ["clean_product", "clean_city", "clean_customer", "clean_order", "clean_line", "price_step", "rate"]
+    named = """
+        , rates as (select rate.zip, n_name as region, substr(r_name, 1, 2) as state
+                    from rate join nation on rate.zip = lpad(cast(n_nationkey as varchar), 5, '0')
+                    join region on n_regionkey = r_regionkey),
+        logged as (select * from price_step where old <> price)
+        """
+    return _with(needs, named + "\nunion all\n".join(rows))
+
+
 _OPEN_ORDERS = "select l_orderkey from lineitem where l_linestatus = 'O'"
 
 _REPORT = """
@@ -717,6 +760,7 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
                           as quantity_on_hand
                from raw_product""",
         ),
+        "dq_report": _dq_report(),
         "check_ids": _with(
             ["ord", "ol"],
             """

@@ -15,6 +15,7 @@ from counterfoil.operators import changes as ch
 from counterfoil.operators import compare, documents, etl, money, prices, quality, views
 from counterfoil.operators import document_queries as dq
 from counterfoil.plans.build import refresh_full
+from counterfoil.plans.checks import quality_report
 from counterfoil.plans.statements import run_statement
 from counterfoil.session import pin, scratch_path
 from counterfoil.sources import raw_exports, tables
@@ -604,6 +605,21 @@ def dq_unparsed(spark, folder):
     )
 
 
+@query
+def dq_report(spark, folder):
+    """Every declared rule over the cleaned exports, cities with all their spellings."""
+    raw = raw_exports.raw_customers(spark, folder)
+    pos = _pos(spark, folder).with_(
+        products=etl_clean_products(spark, folder),
+        cities=etl.city_dimension(raw),
+        customers=etl.clean_customers(raw),
+        orders=_clean_orders(spark, folder),
+        lines=_clean_lines(spark, folder),
+        price_history=_price_run(spark, folder)[1],
+    )
+    return quality_report(pos)
+
+
 @query
 def check_ids(spark, folder):
     """Orders that have lines against orders that are not pending, by place in the sorted ids."""

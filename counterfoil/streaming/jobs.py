@@ -145,34 +145,61 @@ def apply_price_batch(ledger: Ledger, batch: DataFrame, number: int, log_unchang
     ledger.commit(number)
 
 
-def _start(source: DataFrame, step, checkpoint: str, once: bool) -> StreamingQuery:
+def _start(
+    source: DataFrame, ledger: Ledger, step, checkpoint: str, once: bool, compact_every: int | None
+) -> StreamingQuery:
     shared_folder(source.sparkSession)
-    writer = source.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+
+    def apply(batch: DataFrame, number: int) -> None:
+        step(batch, number)
+        if compact_every and len(ledger.committed()) >= compact_every:
+            ledger.compact()
+
+    writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def stream_changes(
-    spark: SparkSession, source: DataFrame, root: str, checkpoint: str, once: bool = False, with_views: bool = True
+    spark: SparkSession,
+    source: DataFrame,
+    root: str,
+    checkpoint: str,
+    once: bool = False,
+    with_views: bool = True,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Apply a stream of line changes to the ledger at ``root``."""
     ledger = Ledger(spark, root)
-    return _start(source, lambda df, n: apply_line_batch(ledger, df, n, with_views), checkpoint, once)
+    step = lambda df, n: apply_line_batch(ledger, df, n, with_views)
+    return _start(source, ledger, step, checkpoint, once, compact_every)
 
 
 def stream_stock_guard(
-    spark: SparkSession, source: DataFrame, root: str, checkpoint: str, once: bool = False
+    spark: SparkSession,
+    source: DataFrame,
+    root: str,
+    checkpoint: str,
+    once: bool = False,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Accept or reject a stream of line changes by stock; see the ledger's ``decisions`` log."""
     ledger = Ledger(spark, root)
-    return _start(source, lambda df, n: apply_guard_batch(ledger, df, n), checkpoint, once)
+    return _start(source, ledger, lambda df, n: apply_guard_batch(ledger, df, n), checkpoint, once, compact_every)
 
 
 def stream_prices(
-    spark: SparkSession, source: DataFrame, root: str, checkpoint: str, once: bool = False, log_unchanged: bool = False
+    spark: SparkSession,
+    source: DataFrame,
+    root: str,
+    checkpoint: str,
+    once: bool = False,
+    log_unchanged: bool = False,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Log a stream of price changes and keep the last price of every product."""
     ledger = Ledger(spark, root)
-    return _start(source, lambda df, n: apply_price_batch(ledger, df, n, log_unchanged), checkpoint, once)
+    step = lambda df, n: apply_price_batch(ledger, df, n, log_unchanged)
+    return _start(source, ledger, step, checkpoint, once, compact_every)
 
 
 def line_change_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

@@ -26,8 +26,8 @@ def line_files(folder, cuts):
         drop(folder, f"f{n}", [dict(zip(NAMES, row)) for row in FEED[a:b]], now + 10 * n)
 
 
-def run(spark, start, source_path, root, make_source):
-    start(spark, make_source(spark, source_path, 1), root, f"{root}-ck", once=True).awaitTermination()
+def run(spark, start, source_path, root, make_source, **options):
+    start(spark, make_source(spark, source_path, 1), root, f"{root}-ck", once=True, **options).awaitTermination()
 
 
 def test_line_stream_equals_one_batch(spark, priced_shop, tmp_path):
@@ -78,7 +78,8 @@ def test_guard_stream(spark, shop, tmp_path):
     feed, root = f"{tmp_path}/feed", f"{tmp_path}/guard"
     line_files(feed, [(0, 2), (2, 3), (3, 9)])
     ledger = jobs.create_ledger(spark, root, shop, with_views=False)
-    run(spark, jobs.stream_stock_guard, feed, root, jobs.line_change_stream)
+    run(spark, jobs.stream_stock_guard, feed, root, jobs.line_change_stream, compact_every=2)
+    assert ledger.committed() == [2]
     got = {r["seq"]: r["accepted"] for r in ledger.log("decisions").collect()}
     assert got == {s: s not in (2, 4, 8) for s in range(1, 10)}
 
