@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions.canonical import canonical_document
 from counterfoil.operators.sequence import sum_before
+from counterfoil.session import pin
 from counterfoil.sources.documents import read_lines
 
 
@@ -68,9 +69,9 @@ def id_positions_missing(left: DataFrame, right: DataFrame, key: str = "OrderID"
     Places come from counts per distinct id and block-wise running sums, so no task sorts
     or numbers the whole list. Repeated ids give one row per repetition.
     """
-    counts = _sides(
-        *[df.select(F.col(key).cast("long").alias("id")).where(F.col("id").isNotNull()) for df in (left, right)], "id"
-    )
+    ids = [df.select(F.col(key).cast("long").alias("id")).where(F.col("id").isNotNull()) for df in (left, right)]
+    # Written out, since each level of blocks reads it again.
+    counts = pin(_sides(*ids, "id"))
     placed = sum_before(counts, [], "id", {"at_left": "n_left", "at_right": "n_right"}, levels=2)
     side = F.when(F.col("n_right") == 0, F.lit("left")).when(F.col("n_left") == 0, F.lit("right"))
     start = F.when(side == "left", F.col("at_left")).otherwise(F.col("at_right"))

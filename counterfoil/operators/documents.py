@@ -21,6 +21,7 @@ from counterfoil.model import MONEY, Pos
 from counterfoil.operators.gather import array_parts, gather_array
 from counterfoil.operators.money import with_line_total
 from counterfoil.operators.views import bought_pairs
+from counterfoil.session import pin
 
 # The field names of the three house styles.
 PRODUCT_FIELDS = {
@@ -201,12 +202,12 @@ def doc_price_history(pos: Pos) -> DataFrame:
 def doc_top_customers(pos: Pos, k: int = 10) -> DataFrame:
     """The ``k`` customers who spent most, best first, with orders and priced items.
 
-    The k ids are found first; only their orders and lines are then nested.
+    The k ids are found first and written out; only their orders and lines are then nested.
     """
-    top = (
+    top = pin(
         pos.orders.groupBy("customer_id")
         .agg(F.sum("subtotal").cast(MONEY).alias("_spent"))
-        .join(pos.customers.select(F.col("id").alias("customer_id")), "customer_id", "left_semi")
+        .join(pos.customers.select(F.col("id").alias("customer_id")), "customer_id")
         .orderBy(F.col("_spent").desc_nulls_last(), "customer_id")
         .limit(k)
     )

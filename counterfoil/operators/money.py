@@ -102,8 +102,9 @@ def sales_report(pos: Pos, start: dt.date, end: dt.date, product_id: int | None
         F.sum("lineTotal").cast(MONEY).alias("Total Sales Amount"),
     ]
     # Summed before the look-up of the product, so that a hot product shrinks before it is shuffled.
+    # An inner join, because Spark moves a semi join below the sum.
     totals = sold.groupBy(F.col("product_id").alias("Product ID")).agg(*sums)
-    known = totals.join(pos.products.select(F.col("id").alias("Product ID")), "Product ID", "left_semi")
+    known = totals.join(pos.products.select(F.col("id").alias("Product ID")), "Product ID")
     if product_id is None:
         return known
     return known.agg(*[F.max(f"`{name}`").alias(name) for name in known.columns])
