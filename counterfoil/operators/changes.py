@@ -24,7 +24,7 @@ from counterfoil.functions.stock_fold import (
 )
 from counterfoil.model import MONEY, PRICE, Pos
 from counterfoil.operators.money import sales_tax
-from counterfoil.operators.sequence import BLOCK_ROWS, block_of, sum_before, value_before
+from counterfoil.operators.sequence import BLOCK_ROWS, LEVELS, block_of, sum_before, value_before
 from counterfoil.session import pin
 
 NO_ORDER = "No such order"
@@ -98,12 +98,12 @@ def _short_products(changes: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def _decide_free(rows: DataFrame, split: bool) -> DataFrame:
+def _decide_free(rows: DataFrame, levels: int) -> DataFrame:
     """Decisions where stock cannot run out: only the life of each line matters."""
     line = ["product_id", "order_id"]
     op = F.col("op")
     # Whether a line is there depends on the last insert or delete, accepted or not.
-    rows = value_before(rows, line, "seq", {"put_there": F.when(op != "update", op == "insert")}, split)
+    rows = value_before(rows, line, "seq", {"put_there": F.when(op != "update", op == "insert")}, levels)
     there = F.coalesce("put_there", "has_line")
     reason = (
         F.when((op == "insert") & F.col("there"), ALREADY_THERE)
@@ -119,7 +119,7 @@ def _decide_free(rows: DataFrame, split: bool) -> DataFrame:
             "set_quantity": F.when(F.col("accepted") & (op != "delete"), F.col("quantity")),
             "reborn": F.when(F.col("accepted") & (op == "insert"), F.lit(True)),
         },
-        split,
+        levels,
     )
     old = F.when(F.col("there"), F.coalesce("set_quantity", "held"))
     return rows.withColumn("old_quantity", old).withColumn("born", F.coalesce("reborn", F.col("born")))
@@ -149,7 +149,7 @@ def _decide_tight(rows: DataFrame, slice_rows: int) -> DataFrame:
     stock and changed lines, is written out and joined to the next.
     """
     blocks = rows.groupBy("product_id", block_of("seq").alias("_chunk")).agg(F.count("*").alias("_n"))
-    earlier = sum_before(blocks, ["product_id"], "_chunk", {"_earlier": "_n"})
+    earlier = sum_before(blocks, ["product_id"], "_chunk", {"_earlier": "_n"}, levels=1)
     slices = pin(earlier.select("product_id", "_chunk", F.floor(F.col("_earlier") / slice_rows).alias("_slice")))
     last = slices.agg(F.max("_slice")).first()[0]
     if not last:
@@ -213,7 +213,7 @@ def decide_changes(
     tight = ready.where(F.col("_changes").isNotNull()).drop("_changes")
     per_line = prepared.groupBy("product_id", "order_id").agg(F.count("*").alias("n"), F.max("_changes").alias("m"))
     most_of_line, most = per_line.agg(F.max("n"), F.max("m")).first()
-    decided = [_decide_free(free, split=(most_of_line or 0) > block_rows)]
+    decided = [_decide_free(free, levels=LEVELS if (most_of_line or 0) > block_rows else 0)]
     if most is not None:
         decided.append(_fold(tight) if most <= slice_rows else _decide_tight(tight, slice_rows))
     refused = prepared.where(F.col("refused").isNotNull()).drop("_changes")

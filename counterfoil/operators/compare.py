@@ -72,7 +72,7 @@ def id_positions_missing(left: DataFrame, right: DataFrame, key: str = "OrderID"
     ids = [df.select(F.col(key).cast("long").alias("id")).where(F.col("id").isNotNull()) for df in (left, right)]
     # Written out, since each level of blocks reads it again.
     counts = pin(_sides(*ids, "id"))
-    placed = sum_before(counts, [], "id", {"at_left": "n_left", "at_right": "n_right"}, levels=2)
+    placed = sum_before(counts, [], "id", {"at_left": "n_left", "at_right": "n_right"})
     side = F.when(F.col("n_right") == 0, F.lit("left")).when(F.col("n_left") == 0, F.lit("right"))
     start = F.when(side == "left", F.col("at_left")).otherwise(F.col("at_right"))
     copies = F.greatest("n_left", "n_right")

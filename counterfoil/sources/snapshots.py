@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
@@ -41,16 +42,17 @@ def versions(spark: SparkSession, root: str) -> list[str]:
     return [name for name in subfolders(spark, root) if exists(spark, f"{root}/{name}/{_DONE}")]
 
 
-def materialize(df: DataFrame, root: str) -> str:
+def materialize(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as the next version below ``root`` and return its path.
 
-    The version being read is never overwritten, and a half-written one, which has no
+    ``partition_by`` splits it into folders by value, for example orders by year, which
+    date ranges can then skip. The version being read is never overwritten, and a half-written one, which has no
     success mark, is never read.
     """
     spark = df.sparkSession
     number = max((int(name.split("-")[1]) for name in subfolders(spark, root)), default=0) + 1
     path = f"{root}/version-{number:09d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return path
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from counterfoil.functions.stock_fold import ALREADY_THERE, KEY_CHANGE, NO_LINE, NOT_ENOUGH
 from counterfoil.model import LINE_CHANGE, PRICE_CHANGE
 from counterfoil.operators import changes as ch
-from counterfoil.operators import prices, views
+from counterfoil.operators import money, prices, views
 from tests.conftest import rows
 
 FEED = [
@@ -195,6 +195,36 @@ def test_random_feeds_against_the_row_rules(spark, seed, plenty, slice_rows, blo
             assert got[s]["unit_price"] == (D("2.50") if (o, p) in born else D("1.00"))
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_totals_and_views_after_changes_equal_a_recomputation(spark, priced_shop, seed):
+    rng = random.Random(seed)
+    feed = [
+        (rng.choice(["insert", "update", "delete"]), s, rng.choice([10, 11, 12, 14, 15]), rng.choice([1, 2, 3, 5, 8]),
+         rng.randrange(4), None, None)
+        for s in rng.sample(range(1 << 20), 60)
+    ]
+    p = priced_shop
+    ok, _ = ch.validate_changes(feed_of(spark, feed), p.lines, p.products, p.orders)
+    after, touched = ch.apply_changes(p, ok)
+    again = after.with_(orders=after.orders.withColumn("subtotal", F.lit(None).cast("decimal(18,2)")))
+    recomputed = money.fill_order_total(again.orders, after.lines)
+    recomputed = money.sales_tax(recomputed, p.customers, p.tax_rates, touched=touched.orders)
+    zero = F.coalesce("subtotal", F.lit(0)).cast("decimal(18,2)")
+    tax = F.coalesce("salesTax", F.lit(0)).cast("decimal(18,2)")
+    assert rows(after.orders.select("id", zero, tax)) == rows(recomputed.select("id", zero, tax))
+    taken = {k: 0 for k in (1, 2, 3, 5, 8)}
+    for df, sign in ((after.lines, 1), (p.lines, -1)):
+        for r in df.collect():
+            taken[r["product_id"]] += sign * r["quantity"]
+    before = {r["id"]: r["availableQuantity"] for r in p.products.collect()}
+    stock = {r["id"]: r["availableQuantity"] for r in after.products.collect()}
+    assert all(before[k] is None or before[k] - n == stock[k] for k, n in taken.items())
+    fresh = views.refresh_customers(views.customer_purchases(p), after, touched.customers)
+    assert rows(fresh) == rows(views.customer_purchases(after))
+    fresh = views.refresh_products(views.product_buyers(p), after, touched.products)
+    assert rows(fresh) == rows(views.product_buyers(after))
+
+
 def test_price_log(spark, shop):
     ts = F.to_timestamp(F.lit("2024-03-01 00:00:00")) + F.make_interval(secs=F.col("seq"))
     data = [(1, D("1234.50"), None, 1), (1, D("1200.00"), None, 2), (1, D("1200.00"), None, 3), (7, D("10.00"), None, 4), (99, D("1.00"), None, 5)]

@@ -31,6 +31,8 @@ def test_every_query_has_a_counterpart():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     cursor = duck.execute(ORACLE[name])
     want = canon([c[0] for c in cursor.description], cursor.fetchall())
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == want
@@ -38,3 +40,23 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    report = scans(QUERIES["sales_report"](spark, FOLDER))
+    lines = next(s for s in report if "lineitem" in s)
+    assert "EqualTo(l_partkey,1)" in lines and "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in lines
+    placed = next(s for s in report if "orders.parquet" in s)
+    assert "GreaterThanOrEqual(o_orderdate" in placed and "LessThan(o_orderdate" in placed
+    buyers = scans(QUERIES["v_product_buyers"](spark, FOLDER))
+    assert not any("l_quantity" in s or "c_acctbal" in s for s in buyers)
+
+
+def test_hot_parents_are_shuffled_by_block(spark):
+    plan = QUERIES["v_product_buyers"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "part#" in plan

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from counterfoil.operators.gather import array_parts, gather_array, gather_text, text_parts
@@ -27,10 +28,11 @@ def test_sum_before(spark):
         assert len(got) == len(data)
 
 
-def test_value_before(spark):
-    data = hot_rows(2)
+@pytest.mark.parametrize("levels, spread", [(0, 1), (1, 1), (2, 1), (2, 1 << 24)])
+def test_value_before(spark, levels, spread):
+    data = [(k, s * spread, v, t) for k, s, v, t in hot_rows(2)]
     df = spark.createDataFrame(data, "k int, seq long, v long, t string")
-    got = value_before(df, ["k"], "seq", {"last_t": F.col("t"), "prev": F.struct("t")})
+    got = value_before(df, ["k"], "seq", {"last_t": F.col("t"), "prev": F.struct("t")}, levels)
     by_seq = {r["seq"]: (r["last_t"], r["prev"]) for r in got.collect()}
     for k, s, _, _ in data:
         earlier = sorted((s2, t) for k2, s2, _, t in data if k2 == k and s2 < s)

@@ -6,8 +6,10 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from counterfoil import model
 from counterfoil.operators import documents, etl, quality, views
 from counterfoil.plans.build import build_pos, refresh_full, refresh_keys
+from counterfoil.plans.checks import quality_report
 from counterfoil.plans.statements import insert_customer, run_statement
 from counterfoil.sources import csv
 from counterfoil.sources.documents import read_documents, read_lines, write_documents
@@ -114,6 +116,36 @@ def test_snapshots_ignore_unfinished_versions(spark, tmp_path):
     assert latest(spark, root).count() == 7
 
 
+def test_snapshots_by_partition(spark, shop, tmp_path):
+    root = f"{tmp_path}/orders"
+    placed = shop.orders.withColumn("year", F.year("datePlaced"))
+    materialize(placed, root, partition_by=["year"])
+    scan = latest(spark, root).where("year = 2024")
+    assert scan.count() == 4
+    assert "PartitionFilters: [isnotnull(year" in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_schemas_of_the_loaded_model(shop):
+    kinds = lambda schema: {f.name: f.dataType for f in schema}
+    for df, schema in (
+        (shop.products, model.PRODUCT), (shop.cities, model.CITY), (shop.customers, model.CUSTOMER),
+        (shop.orders, model.ORDER), (shop.lines, model.ORDERLINE), (shop.tax_rates, model.SALES_TAX),
+        (shop.price_history, model.PRICE_HISTORY),
+    ):
+        assert kinds(df.schema) == kinds(schema)
+
+
+def test_quality_report(shop):
+    got = {(r["rule"], r["table_name"], r["column_name"]): r["n"] for r in quality_report(shop).collect()}
+    broken = {key: n for key, n in got.items() if n}
+    assert broken == {} and ("reference", "orderline", "order_id") in got
+    orphaned = shop.with_(orders=shop.orders.where("id <> 10"), cities=shop.cities.unionAll(shop.cities))
+    got = {(r["rule"], r["table_name"], r["column_name"]): r["n"] for r in quality_report(orphaned).collect()}
+    assert {key: n for key, n in got.items() if n} == {
+        ("reference", "orderline", "order_id"): 2, ("unique", "city", "zip"): 3,
+    }
+
+
 def test_refresh_jobs(spark, shop, tmp_path):
     root = str(tmp_path)
     refresh_full(shop, root)

@@ -117,6 +117,14 @@ def test_tax_scope_and_total(spark, priced_shop):
     assert got[10] == (D("211.12"), D("2770.12")) and got[11] == (D("0.00"), D("90.00")) and got[15] == (D("0.00"), None)
 
 
+def test_narrow_rates(spark, priced_shop):
+    rates = spark.createDataFrame([("02108", D("0.10000"))], "zip string, taxRate decimal(6,5)")
+    taxed = money.sales_tax(priced_shop.orders, priced_shop.customers, rates, epsilon=None, rate_column="taxRate")
+    assert {r["id"]: r["salesTax"] for r in taxed.collect()} == {
+        10: D("0.00"), 11: D("0.00"), 12: D("2.00"), 14: D("27.00"), 15: None,
+    }
+
+
 def test_sales_report(priced_shop):
     jan = (dt.date(2024, 1, 5), dt.date(2024, 1, 31))
     assert rows(money.sales_report(priced_shop, *jan, 2)) == [(2, 2, D("180.00"))]
