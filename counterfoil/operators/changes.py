@@ -8,7 +8,8 @@ Whether a change is accepted can depend on every earlier change of its product,
 a rejected change uses no stock. Only products that could run out need that row-by-row
 look: a product whose known stock covers all quantities asked for in the batch, or whose
 stock is unknown, is decided with window functions alone. The rest goes through a fold
-per product, in slices of bounded size when one product has very many changes.
+per product. A product with very many changes is not folded in one go: inserts alone are
+decided in a few rounds on all machines, mixed changes in slices of bounded size.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from counterfoil.functions.stock_fold import (
 from counterfoil.model import MONEY, PRICE, Pos
 from counterfoil.operators.money import sales_tax
 from counterfoil.operators.sequence import BLOCK_ROWS, LEVELS, block_of, sum_before, value_before
+from counterfoil.operators.stock_rounds import decide_inserts
 from counterfoil.session import pin
 
 NO_ORDER = "No such order"
@@ -87,14 +89,16 @@ def _prepared(changes: DataFrame, lines: DataFrame, products: DataFrame, orders:
 
 
 def _short_products(changes: DataFrame, products: DataFrame) -> DataFrame:
-    """Products whose known stock is below all that is asked for, with their number of changes."""
+    """Products whose known stock is below all that is asked for, with number and kind of their changes."""
     asked = F.sum(F.when(F.col("op") != "delete", clamp_quantity(F.col("quantity"))))
-    demand = changes.groupBy("product_id").agg(asked.alias("_asked"), F.count("*").alias("_changes"))
+    demand = changes.groupBy("product_id").agg(
+        asked.alias("_asked"), F.count("*").alias("_changes"), F.bool_and(F.col("op") == "insert").alias("_inserts")
+    )
     stock = products.select(F.col("id").alias("product_id"), "availableQuantity")
     return (
         demand.join(stock, "product_id")
         .where(F.col("_asked") > F.col("availableQuantity"))
-        .select("product_id", "_changes")
+        .select("product_id", "_changes", "_inserts")
     )
 
 
@@ -209,14 +213,28 @@ def decide_changes(
     short = _short_products(changes, products)
     prepared = pin(_prepared(changes, lines, products, orders).join(short, "product_id", "left"))
     ready = prepared.where(F.col("refused").isNull()).drop("refused")
-    free = ready.where(F.col("_changes").isNull()).drop("_changes")
-    tight = ready.where(F.col("_changes").isNotNull()).drop("_changes")
-    per_line = prepared.groupBy("product_id", "order_id").agg(F.count("*").alias("n"), F.max("_changes").alias("m"))
-    most_of_line, most = per_line.agg(F.max("n"), F.max("m")).first()
-    decided = [_decide_free(free, levels=LEVELS if (most_of_line or 0) > block_rows else 0)]
-    if most is not None:
-        decided.append(_fold(tight) if most <= slice_rows else _decide_tight(tight, slice_rows))
-    refused = prepared.where(F.col("refused").isNotNull()).drop("_changes")
+    crowded, inserts = F.coalesce(F.col("_changes") > slice_rows, F.lit(False)), F.col("_inserts")
+    per_line = prepared.groupBy("product_id", "order_id").agg(
+        F.count("*").alias("n"),
+        F.bool_or(F.col("_changes").isNotNull() & ~crowded).alias("few"),
+        F.bool_or(crowded & inserts).alias("inserts"),
+        F.bool_or(crowded & ~inserts).alias("mixed"),
+    )
+    most, few, many_inserts, many_mixed = per_line.agg(
+        F.max("n"), F.bool_or("few"), F.bool_or("inserts"), F.bool_or("mixed")
+    ).first()
+
+    def part(condition) -> DataFrame:
+        return ready.where(condition).drop("_changes", "_inserts")
+
+    decided = [_decide_free(part(F.col("_changes").isNull()), levels=LEVELS if (most or 0) > block_rows else 0)]
+    if few:
+        decided.append(_fold(part(F.col("_changes").isNotNull() & ~crowded)))
+    if many_inserts:
+        decided.append(decide_inserts(part(crowded & inserts)))
+    if many_mixed:
+        decided.append(_decide_tight(part(crowded & ~inserts), slice_rows))
+    refused = prepared.where(F.col("refused").isNotNull()).drop("_changes", "_inserts")
     decided.append(
         refused.withColumnsRenamed({"refused": "reason"})
         .withColumn("accepted", F.lit(False))

@@ -1,0 +1,82 @@
+"""Which inserts get stock, for products with very many of them, without walking one by one.
+
+An insert is accepted when its line is not there yet and its quantity is at most the stock
+left. Let the stock left be L, and B the largest power of two not above L. While at least
+B is left, every quantity below B fits. So one round decides, with a running sum over the
+small quantities, everything up to the first point where less than B is left: either a
+small quantity took the stock below B, or the first quantity of B or more that still fits
+did. Stock at least halves below a power of two per round, so stock of 32 bits needs at
+most 31 rounds, however many inserts there are, and every round runs on all machines.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from counterfoil.functions.stock_fold import ALREADY_THERE, NOT_ENOUGH
+from counterfoil.operators.sequence import sum_before
+from counterfoil.session import pin
+
+_ROW = ["product_id", "order_id", "seq", "quantity"]
+_LINE = ["product_id", "order_id"]
+
+
+def _round(waiting: DataFrame, stock: DataFrame) -> DataFrame:
+    """The waiting inserts that could fit, with the running sum and where the round may stop."""
+    fitting = waiting.join(stock, "product_id").where(F.col("quantity") <= F.col("left"))
+    sized = fitting.withColumn("power", F.expr("shiftleft(1L, length(bin(left)) - 1)"))
+    small = F.col("quantity") < F.col("power")
+    first = sized.groupBy(*_LINE).agg(F.min(F.when(small, F.col("seq"))).alias("first_small"))
+    # Of several small inserts of one line only the first can be accepted.
+    takes = F.coalesce(F.col("seq") == F.col("first_small"), F.lit(False))
+    use = F.when(takes, F.col("quantity")).otherwise(0)
+    placed = sum_before(sized.join(first, _LINE).withColumn("use", use), ["product_id"], "seq", {"before": "use"})
+    rest = F.col("left") - F.col("before")
+    unless_taken = F.col("first_small").isNull() | (F.col("first_small") > F.col("seq"))
+    big_fits = ~small & (F.col("quantity") <= rest) & unless_taken
+    runs_low = takes & (rest - F.col("quantity") < F.col("power"))
+    return placed.select(*_ROW, takes.alias("takes"), (big_fits | runs_low).alias("stops"))
+
+
+def decide_inserts(rows: DataFrame) -> DataFrame:
+    """The inserts ``rows`` with accepted, reason and old_quantity, as the walk would decide them."""
+    waiting = pin(rows.where(~F.col("has_line")).select(*_ROW))
+    stock = pin(rows.groupBy("product_id").agg(F.max("available").cast("long").alias("left")))
+    taken = []
+    while True:
+        placed = pin(_round(waiting, stock))
+        stop = pin(placed.groupBy("product_id").agg(F.min(F.when(F.col("stops"), F.col("seq"))).alias("stop")))
+        until = F.col("stop").isNull() | (F.col("seq") <= F.col("stop"))
+        took = (F.col("takes") & until) | F.coalesce(F.col("seq") == F.col("stop"), F.lit(False))
+        accepted = pin(placed.join(stop, "product_id").where(took).select(*_ROW))
+        taken.append(accepted)
+        stopped = stop.where(F.col("stop").isNotNull())
+        if stopped.isEmpty():
+            break
+        used = accepted.groupBy("product_id").agg(F.sum("quantity").alias("used"))
+        waiting = pin(
+            placed.join(stopped, "product_id")
+            .where(F.col("seq") > F.col("stop"))
+            .join(accepted.select(*_LINE), _LINE, "left_anti")
+            .select(*_ROW)
+        )
+        stock = pin(
+            stock.join(stopped.select("product_id"), "product_id", "left_semi")
+            .join(used, "product_id")
+            .select("product_id", (F.col("left") - F.col("used")).alias("left"))
+            .where(F.col("left") > 0)
+        )
+    lines = reduce(DataFrame.unionByName, taken).select(
+        *_LINE, F.col("seq").alias("_at"), F.col("quantity").alias("_got")
+    )
+    there = F.col("has_line") | F.coalesce(F.col("_at") < F.col("seq"), F.lit(False))
+    accepted = ~F.col("has_line") & F.coalesce(F.col("_at") == F.col("seq"), F.lit(False))
+    return rows.join(lines, _LINE, "left").select(
+        *rows.columns,
+        accepted.alias("accepted"),
+        F.when(there, ALREADY_THERE).when(~accepted, NOT_ENOUGH).alias("reason"),
+        F.when(there, F.coalesce("held", "_got")).alias("old_quantity"),
+    )

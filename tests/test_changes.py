@@ -195,6 +195,34 @@ def test_random_feeds_against_the_row_rules(spark, seed, plenty, slice_rows, blo
             assert got[s]["unit_price"] == (D("2.50") if (o, p) in born else D("1.00"))
 
 
+@pytest.mark.parametrize("seed, stock", [(21, (0, 1, 7, 64, 300)), (22, (1, 2, 3, 1000, None)), (23, (15, 16, 17, 31, 33))])
+def test_many_inserts_of_a_product(spark, seed, stock):
+    """Rounds on all machines accept exactly what the row rules accept, repeated lines included."""
+    rng = random.Random(seed)
+    size = lambda: rng.choice([None, 1, 1, 2, 3, rng.randrange(1, 20), rng.randrange(1, 400)])
+    feed = [
+        ("insert", s, rng.randrange(60), 1 if rng.random() < 0.4 else rng.randrange(2, 6), size(), None, None)
+        for s in rng.sample(range(1 << 21), 500)
+    ]
+    stock = dict(zip(range(1, 6), stock))
+    held = {(o, p): 2 for o in range(60) for p in stock if rng.random() < 0.1}
+    products = spark.createDataFrame(
+        [(p, "x", D("2.50"), s) for p, s in stock.items()],
+        "id long, name string, currentPrice decimal(6,2), availableQuantity int",
+    )
+    lines = spark.createDataFrame(
+        [(o, p, q, D("1.00")) for (o, p), q in held.items()],
+        "order_id long, product_id long, quantity int, unitPrice decimal(6,2)",
+    )
+    want, _, lines_after = simulate(feed, stock, held)
+    got = {r["seq"]: r for r in ch.decide_changes(feed_of(spark, feed), lines, products, slice_rows=30).collect()}
+    folded = {r["seq"]: r for r in ch.decide_changes(feed_of(spark, feed), lines, products).collect()}
+    assert {s: r["reason"] for s, r in got.items()} == want
+    assert got == folded
+    accepted = {(r["order_id"], r["product_id"]): r["quantity"] for r in got.values() if r["accepted"]}
+    assert {**held, **accepted} == lines_after
+
+
 @pytest.mark.parametrize("seed", [11, 12])
 def test_totals_and_views_after_changes_equal_a_recomputation(spark, priced_shop, seed):
     rng = random.Random(seed)
