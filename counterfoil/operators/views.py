@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from counterfoil.functions.text import customer_label, place, product_label
@@ -10,11 +10,16 @@ from counterfoil.model import Pos
 from counterfoil.operators.gather import gather_text, text_parts
 
 
-def v_customers(pos: Pos) -> DataFrame:
-    """Names in phone-book order."""
-    return pos.customers.select(
-        F.col("lastName").alias("Last Name"), F.col("firstName").alias("First Name")
-    ).orderBy("Last Name", "First Name")
+def _sort_text(column: str, ignore_case: bool) -> Column:
+    return F.collate(F.col(column), "UTF8_LCASE") if ignore_case else F.col(column)
+
+
+def v_customers(pos: Pos, ignore_case: bool = False) -> DataFrame:
+    """Names in phone-book order; ``ignore_case`` sorts as a case-insensitive database does."""
+    names = pos.customers.select("lastName", "firstName").orderBy(
+        _sort_text("lastName", ignore_case), _sort_text("firstName", ignore_case)
+    )
+    return names.select(F.col("lastName").alias("Last Name"), F.col("firstName").alias("First Name"))
 
 
 def v_customers2(pos: Pos) -> DataFrame:
@@ -95,9 +100,11 @@ def customer_purchases(pos: Pos, distinct: bool = True) -> DataFrame:
     ).join(texts.withColumnRenamed("customer_id", "customer number"), "customer number", "left")
 
 
-def v_customer_purchases(pos: Pos, distinct: bool = True) -> DataFrame:
+def v_customer_purchases(pos: Pos, distinct: bool = True, ignore_case: bool = False) -> DataFrame:
     """``customer_purchases`` in name order."""
-    return customer_purchases(pos, distinct).orderBy("ln", "fn", "customer number")
+    return customer_purchases(pos, distinct).orderBy(
+        _sort_text("ln", ignore_case), _sort_text("fn", ignore_case), "customer number"
+    )
 
 
 def _only(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:

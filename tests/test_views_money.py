@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from counterfoil.operators import money, views
+from counterfoil.plans.catalog import register_views
 from tests.conftest import rows
 
 
@@ -22,6 +23,23 @@ def test_customer_views(shop):
     ]
 
 
+def test_sorting_without_case(spark, shop):
+    people = spark.createDataFrame([("a", "lee"), ("b", "Fox"), ("c", None), ("d", "Zed")], "firstName string, lastName string")
+    order = lambda **kw: [r[1] for r in views.v_customers(shop.with_(customers=people), **kw).collect()]
+    assert order() == ["c", "b", "d", "a"] and order(ignore_case=True) == ["c", "b", "a", "d"]
+
+
+def test_plain_sql_over_the_registered_names(spark, priced_shop):
+    register_views(priced_shop)
+    got = spark.sql("""
+        SELECT o.id, sum(l.lineTotal), max(o.total) FROM `Order` o JOIN Orderline l ON l.order_id = o.id
+        WHERE o.customer_id IN (SELECT id FROM Customer WHERE lastName = 'Lee') GROUP BY o.id
+    """)
+    assert rows(got) == [(10, D("2559.00"), D("2559.00")), (11, D("90.00"), D("90.00"))]
+    assert spark.sql("SELECT customers FROM v_ProductBuyers WHERE productID = 2").first()[0] == "1 Ann Lee,2 Bob Ray"
+    assert spark.sql("SELECT * FROM v_CustomerPurchases").count() == 6
+
+
 def test_product_buyers(shop):
     got = {r["productID"]: r["customers"] for r in views.v_product_buyers(shop).collect()}
     assert got[1] == "1 Ann Lee" and got[2] == "1 Ann Lee,2 Bob Ray" and got[8] is None and len(got) == 7
