@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from counterfoil.functions.canonical import canonical_document
-from counterfoil.operators.sequence import sum_before
+from counterfoil.operators.sequence import BLOCK_ROWS, block_of, sum_before
 from counterfoil.session import pin
 from counterfoil.sources.documents import read_lines
 
@@ -75,12 +75,15 @@ def id_positions_missing(left: DataFrame, right: DataFrame, key: str = "OrderID"
     placed = sum_before(counts, [], "id", {"at_left": "n_left", "at_right": "n_right"})
     side = F.when(F.col("n_right") == 0, F.lit("left")).when(F.col("n_left") == 0, F.lit("right"))
     start = F.when(side == "left", F.col("at_left")).otherwise(F.col("at_right"))
-    copies = F.greatest("n_left", "n_right")
-    return (
-        placed.select(side.alias("side"), "id", start.alias("start"), copies.alias("copies"))
-        .where(F.col("side").isNotNull())
-        .select("side", "id", F.explode(F.sequence("start", F.col("start") + F.col("copies") - 1)).alias("position"))
+    last = start + F.greatest("n_left", "n_right") - 1
+    missing = placed.select(side.alias("side"), "id", start.alias("start"), last.alias("last")).where(
+        F.col("side").isNotNull()
     )
+    # An id repeated very often is spread by blocks of places before its rows are made.
+    blocks = missing.withColumn("block", F.explode(F.sequence(block_of("start"), block_of("last"))))
+    first = F.greatest("start", F.col("block") * BLOCK_ROWS)
+    until = F.least("last", F.col("block") * BLOCK_ROWS + (BLOCK_ROWS - 1))
+    return blocks.repartition("id", "block").select("side", "id", F.explode(F.sequence(first, until)).alias("position"))
 
 
 def same_ids(left: DataFrame, right: DataFrame, key: str = "OrderID") -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.operators.sequence import BLOCK_BITS, block_of, sum_before
+from counterfoil.operators.sequence import BLOCK_ROWS, block_of, sum_before
 
 
 def _in_pieces(df: DataFrame, keys: Sequence[str], order_id: str, copies: str) -> DataFrame:
@@ -26,15 +26,14 @@ def _in_pieces(df: DataFrame, keys: Sequence[str], order_id: str, copies: str) -
     Copies lie end to end in id order within their block; a row is split where a multiple
     of the piece size falls between its copies. ``copies`` becomes the count per piece.
     """
-    size = 1 << BLOCK_BITS
     blocks = df.withColumn("part", block_of(order_id))
     spread = blocks.repartition(*keys, "part")
     placed = sum_before(spread, [*keys, "part"], order_id, {"_start": copies}, levels=0)
     last = F.col("_start") + F.col(copies) - 1
-    spanned = F.sequence(F.shiftright("_start", BLOCK_BITS), F.shiftright(last, BLOCK_BITS))
+    spanned = F.sequence(block_of("_start"), block_of(last))
     cut = placed.withColumn("piece", F.explode(spanned))
-    first = F.greatest(F.col("_start"), F.col("piece") * size)
-    until = F.least(last, F.col("piece") * size + (size - 1))
+    first = F.greatest(F.col("_start"), F.col("piece") * BLOCK_ROWS)
+    until = F.least(last, F.col("piece") * BLOCK_ROWS + (BLOCK_ROWS - 1))
     return cut.withColumn(copies, until - first + 1).drop("_start")
 
 

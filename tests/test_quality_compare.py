@@ -76,6 +76,14 @@ def test_id_positions_with_repeats_over_many_blocks(spark):
     assert rows(compare.id_positions_missing(*frames)) == sorted(want, key=repr)
 
 
+def test_an_id_repeated_very_often(spark):
+    left = spark.range(150_000).selectExpr("9 as OrderID").unionAll(spark.range(3).selectExpr("id as OrderID"))
+    got = compare.id_positions_missing(left, spark.range(3).selectExpr("id as OrderID"))
+    assert rows(got.agg(F.count("*"), F.countDistinct("position"), F.min("position"), F.max("position"))) == [
+        (150_000, 150_000, 3, 150_002)
+    ]
+
+
 def test_keys_references_nulls_lengths(spark, shop):
     lines = shop.lines
     assert quality.pk_violations(lines, ["order_id", "product_id"]).count() == 0
