@@ -66,13 +66,13 @@ def ids_of(docs: DataFrame, key: str = "OrderID") -> DataFrame:
 def id_positions_missing(left: DataFrame, right: DataFrame, key: str = "OrderID") -> DataFrame:
     """Ids of one side that the other lacks, with their zero-based place in their own sorted list.
 
-    Places come from counts per distinct id and block-wise running sums, so no task sorts
-    or numbers the whole list. Repeated ids give one row per repetition.
+    Places come from counts per distinct id and block-wise running sums, three levels deep
+    because ids may be any whole numbers; so no task sorts or numbers the whole list. Repeated ids give one row per repetition.
     """
     ids = [df.select(F.col(key).cast("long").alias("id")).where(F.col("id").isNotNull()) for df in (left, right)]
     # Written out, since each level of blocks reads it again.
     counts = pin(_sides(*ids, "id"))
-    placed = sum_before(counts, [], "id", {"at_left": "n_left", "at_right": "n_right"})
+    placed = sum_before(counts, [], "id", {"at_left": "n_left", "at_right": "n_right"}, levels=3)
     side = F.when(F.col("n_right") == 0, F.lit("left")).when(F.col("n_left") == 0, F.lit("right"))
     start = F.when(side == "left", F.col("at_left")).otherwise(F.col("at_right"))
     last = start + F.greatest("n_left", "n_right") - 1

@@ -5,8 +5,9 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from counterfoil.functions.canonical import canonical_document
-from counterfoil.operators import compare, documents, quality
-from counterfoil.sources.documents import as_json, write_documents
+from counterfoil.operators import compare, quality
+from counterfoil.plans.export import export_documents, write_exports
+from counterfoil.sources.documents import as_json
 from tests.conftest import rows
 
 
@@ -43,16 +44,18 @@ def test_diff_against_counters(spark):
     assert diff(spark, left, right) == want
 
 
-def test_folders(spark, shop, tmp_path):
+def test_exports_of_two_styles(spark, priced_shop, tmp_path):
     for side, style in (("l", "A"), ("r", "B")):
-        write_documents(documents.doc_customers(shop, style), f"{tmp_path}/{side}/cust1.json")
-        write_documents(documents.doc_products(shop, style), f"{tmp_path}/{side}/prod.json")
-        write_documents(documents.doc_products(shop, style), f"{tmp_path}/{side}/custom.json")
-    report = compare.compare_folders(
-        spark, f"{tmp_path}/l", f"{tmp_path}/r", ["cust1.json", "cust2.json", "prod.json", "custom.json"]
-    )
+        write_exports(priced_shop, f"{tmp_path}/{side}", style)
+    assert set(export_documents(priced_shop, "C")) == {"cust1.json", "cust2.json", "prod.json", "ord.json"}
+    names = ["cust1.json", "cust2.json", "ord.json", "prod.json", "none.json", "custom.json"]
+    report = compare.compare_folders(spark, f"{tmp_path}/l", f"{tmp_path}/r", names)
     assert rows(report) == [
-        ("cust1.json", "compared", 5, 0, 0), ("cust2.json", "not found", None, None, None), ("prod.json", "compared", 3, 4, 4),
+        ("cust1.json", "compared", 5, 0, 0),
+        ("cust2.json", "compared", 1, 4, 4),
+        ("none.json", "not found", None, None, None),
+        ("ord.json", "compared", 4, 0, 0),
+        ("prod.json", "compared", 3, 4, 4),
     ]
 
 
@@ -67,7 +70,7 @@ def test_id_positions(spark):
 
 def test_id_positions_with_repeats_over_many_blocks(spark):
     rng = random.Random(9)
-    a = [rng.randrange(-(1 << 20), 1 << 40) for _ in range(300)] + [7] * 50
+    a = [rng.randrange(-(1 << 62), 1 << 62) for _ in range(300)] + [7] * 50
     b = rng.sample(a, 200) + [rng.randrange(1 << 40) for _ in range(40)]
     frames = [spark.createDataFrame([(i,) for i in ids], "OrderID long") for ids in (a, b)]
     want = []
