@@ -96,12 +96,15 @@ def doc_product_parts(pos: Pos) -> DataFrame:
     ).withColumnsRenamed({"product_id": "ProductID", "items": "Customers"})
 
 
-def order_items(pos: Pos, item: Column, out: str = "Items", extra: tuple[str, ...] = ()) -> DataFrame:
-    """Per order id the array of its lines that have a product, by product id."""
+def _named_lines(pos: Pos, extra: tuple[str, ...] = ()) -> DataFrame:
     goods = pos.products.select(F.col("id").alias("product_id"), "name")
     lines = pos.lines if not extra else with_line_total(pos.lines)
-    rows = lines.select("order_id", "product_id", "quantity", *extra).join(goods, "product_id")
-    return gather_array(rows, ["order_id"], "product_id", item, out)
+    return lines.select("order_id", "product_id", "quantity", *extra).join(goods, "product_id")
+
+
+def order_items(pos: Pos, item: Column, out: str = "Items", extra: tuple[str, ...] = ()) -> DataFrame:
+    """Per order id the array of its lines that have a product, by product id."""
+    return gather_array(_named_lines(pos, extra), ["order_id"], "product_id", item, out)
 
 
 def _item(id_: str = "ProductID", name: str = "ProductName", quantity: str = "Quantity") -> Column:
@@ -128,6 +131,13 @@ def doc_orders(pos: Pos, outer: bool = False) -> DataFrame:
     )
 
 
+def doc_order_parts(pos: Pos) -> DataFrame:
+    """Lines per order in bounded pieces (OrderID, part, Products), for orders of very many products."""
+    return array_parts(
+        _named_lines(pos), ["order_id"], "product_id", _item(name="Product Name")
+    ).withColumnsRenamed({"order_id": "OrderID", "items": "Products"})
+
+
 def doc_orders_dated(pos: Pos) -> DataFrame:
     """Style C of the order document: with dates, and orders kept without buyer or lines."""
     fields = ("PRODUCT ID", "PRODUCT NAME", "Quantity")
@@ -146,13 +156,14 @@ def doc_orders_dated(pos: Pos) -> DataFrame:
     )
 
 
-def _orders_of_customers(pos: Pos, fields: tuple[str, ...], item: Column, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Per customer id the array of its orders, each with its items, by order id."""
+def _orders_with_items(pos: Pos, item: Column, extra: tuple[str, ...] = ()) -> DataFrame:
+    items = order_items(pos, item, "_items", extra).withColumnRenamed("order_id", "id")
+    return pos.orders.join(items, "id", "left")
+
+
+def _order(fields: tuple[str, ...]) -> Column:
     id_, total, placed, shipped, items = fields
-    rows = pos.orders.join(
-        order_items(pos, item, "_items", extra).withColumnRenamed("order_id", "id"), "id", "left"
-    )
-    order = _named(
+    return _named(
         **{
             id_: F.col("id"),
             total: F.col("subtotal"),
@@ -161,7 +172,20 @@ def _orders_of_customers(pos: Pos, fields: tuple[str, ...], item: Column, extra:
             items: F.col("_items"),
         }
     )
-    return gather_array(rows, ["customer_id"], "id", order, "_orders").withColumnRenamed("customer_id", "id")
+
+
+def _orders_of_customers(pos: Pos, fields: tuple[str, ...], item: Column, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Per customer id the array of its orders, each with its items, by order id."""
+    rows = _orders_with_items(pos, item, extra)
+    return gather_array(rows, ["customer_id"], "id", _order(fields), "_orders").withColumnRenamed("customer_id", "id")
+
+
+def doc_customer_order_parts(pos: Pos) -> DataFrame:
+    """Orders per customer in bounded pieces (CustomerID, part, Orders), for customers of very many orders."""
+    rows = _orders_with_items(pos, _item())
+    return array_parts(rows, ["customer_id"], "id", _order(CUSTOMER_ORDER_FIELDS["A"])).withColumnsRenamed(
+        {"customer_id": "CustomerID", "items": "Orders"}
+    )
 
 
 def doc_customer_orders(pos: Pos, style: str = "A", empty: str | None = None) -> DataFrame:

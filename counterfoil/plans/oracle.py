@@ -434,6 +434,37 @@ def _doc_orders(outer: bool) -> str:
     )
 
 
+def _doc_order_parts() -> str:
+    item = _object_of([("ProductID", _plain("pid")), ("Product Name", _string("name")), ("Quantity", _plain("q"))])
+    doc = _object_of([("OrderID", _plain("oid")), ("part", _plain("part")), ("Products", _array(item, "pid"))])
+    return _with(
+        ["product", "ol"],
+        f"""
+        select oid as "OrderID", {doc} as doc
+        from (select *, pid // 65536 as part from ol) l join product on pid = product.id group by oid, part""",
+    )
+
+
+def _doc_customer_order_parts() -> str:
+    item = _object_of([("ProductID", _plain("pid")), ("ProductName", _string("name")), ("Quantity", _plain("q"))])
+    order = _object_of(
+        [
+            ("OrderID", _plain("ordt.id")), ("OrderTotal", _plain("subtotal")), ("OrderDate", _day("dp")),
+            ("ShippingDate", _day("ds")), ("Items", "coalesce(items, 'null')"),
+        ]
+    )
+    doc = _object_of(
+        [("CustomerID", _plain("cid")), ("part", _plain("ordt.id // 65536")), ("Orders", _array(order, "ordt.id"))]
+    )
+    return _with(
+        ["product", "ordt", "ol"],
+        f"""
+        , item as (select oid, {_array(item, 'pid')} as items from ol join product on pid = product.id group by oid)
+        select cid as "CustomerID", {doc} as doc
+        from ordt left join item on oid = ordt.id group by cid, ordt.id // 65536""",
+    )
+
+
 def _doc_orders_dated() -> str:
     item = _object_of([("PRODUCT ID", _plain("pid")), ("PRODUCT NAME", _string("name")), ("Quantity", _plain("q"))])
     empty = "'[{\"PRODUCT ID\":null,\"PRODUCT NAME\":null,\"Quantity\":null}]'"
@@ -651,6 +682,8 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
                 from (select pid, cid, cid // 65536 as part from sale) s join cust on cid = cust.id
                 group by pid, part""",
         ),
+        "doc_order_parts": _doc_order_parts(),
+        "doc_customer_order_parts": _doc_customer_order_parts(),
         "doc_orders": _doc_orders(False),
         "doc_orders_outer": _doc_orders(True),
         "doc_orders_dated": _doc_orders_dated(),

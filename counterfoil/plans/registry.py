@@ -322,6 +322,16 @@ def doc_product_parts(spark, folder):
     return _json(documents.doc_product_parts(_pos(spark, folder)), "ProductID")
 
 
+@query
+def doc_order_parts(spark, folder):
+    return _json(documents.doc_order_parts(_pos(spark, folder)), "OrderID")
+
+
+@query
+def doc_customer_order_parts(spark, folder):
+    return _json(documents.doc_customer_order_parts(_priced(spark, folder)), "CustomerID")
+
+
 @query
 def doc_orders(spark, folder):
     return _json(documents.doc_orders(_pos(spark, folder)), "OrderID")
