@@ -247,18 +247,23 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST)
         .filter("_all > 0")
     )
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_size") == F.col("_words"))
+        F.col("id").eqNullSafe(F.col("_id"))
+        & F.col("from").eqNullSafe(F.col("_source"))
+        & (F.col("size") == F.col("_words"))
     )
     # Rows with equal id, source and size divide their copies.
-    place = F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy("doc_id"))
+    place = F.row_number().over(Window.partitionBy("id", "from", "size").orderBy("id"))
     copies = (F.col("_all") / F.col("_rows")).cast("int") + (place <= F.col("_all") % F.col("_rows")).cast("int")
     return (
-        docs.withColumn("_size", words_of("text"))
+        docs.select(
+            F.col("doc_id").alias("id"),
+            F.col("source").alias("from"),
+            words_of("text").alias("size"),
+            F.struct("*").alias("row"),
+        )
         .join(narrow, same)
-        .withColumn("_copies", F.when(F.col("_rows") == 1, F.col("_all").cast("int")).otherwise(copies))
-        .filter("_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*docs.columns)
+        .withColumn("copies", copies)
+        .filter("copies > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select("row.*")
     )

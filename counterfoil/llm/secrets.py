@@ -215,21 +215,26 @@ def redact(docs: DataFrame, scanned: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_runs"))
         .withColumnRenamed("blob_id", "_blob")
     )
-    text = F.col("text")
+    text, runs_of = F.col("row.text"), F.col("_runs")
+
+    def begin(k: Column) -> Column:
+        """Where the text before run k begins."""
+        return F.when(k > 0, runs_of[k - 1]["end"]).otherwise(0)
+
     before = F.transform(
-        "_runs",
-        lambda x, k: text.substr(
-            (F.when(k > 0, F.col("_runs")[k - 1]["end"]).otherwise(0) + 1).cast("int"),
-            (x["start"] - F.when(k > 0, F.col("_runs")[k - 1]["end"]).otherwise(0)).cast("int"),
-        ),
+        "_runs", lambda x, k: text.substr((begin(k) + 1).cast("int"), (x["start"] - begin(k)).cast("int"))
     )
     rest = text.substr((F.element_at("_runs", -1)["end"] + 1).cast("int"), F.length(text))
     changed = F.concat(F.array_join(F.transform(before, lambda x: F.concat(x, F.lit(MARK))), ""), rest)
-    joined = docs.withColumn("_blob", blob_id("text")).join(runs, "_blob", "left")
-    clean = joined.withColumn("text", F.when(F.col("_runs").isNotNull(), changed).otherwise(text))
-    if "n_chars" in docs.columns:
+    found = runs_of.isNotNull()
+    joined = (
+        docs.select(F.struct("*").alias("row"), blob_id("text").alias("_blob"))
+        .join(runs, "_blob", "left")
+        .withColumn("_text", F.when(found, changed).otherwise(text))
+    )
+    columns = {name: F.col(f"row.`{name}`") for name in docs.columns}
+    columns["text"] = F.col("_text")
+    if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
-        clean = clean.withColumn(
-            "n_chars", F.when(F.col("_runs").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        )
-    return clean.select(*docs.columns)
+        columns["n_chars"] = F.when(found, F.length("_text").cast(kind)).otherwise(columns["n_chars"])
+    return joined.select(*[column.alias(name) for name, column in columns.items()])

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -117,7 +118,8 @@ class Codec:
         found = {}
         theirs = self.theirs.encode(parts, num_threads=1)
         back = self.ours.decode_batch(theirs, skip_special_tokens=False)
-        for part, ours, ids, text in zip(parts, self.ours.encode_batch_fast(parts, add_special_tokens=False), theirs, back):
+        encoded = self.ours.encode_batch_fast(parts, add_special_tokens=False)
+        for part, ours, ids, text in zip(parts, encoded, theirs, back):
             agree, same = ours.ids == ids, text == (part.replace(SPACE, " ") if self.marks else part)
             if not (agree and same):
                 self.odd[part] = (agree, same)
@@ -163,9 +165,9 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     parity and round trip hold. Columns of ``docs`` with the names of results are replaced.
     """
     kept = [c for c in docs.columns if c not in (text, "ids", "n_tokens", "parity", "round_trip")]
-    rows = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias(text))
     schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema]
         + ["ids array<int>", "n_tokens long", "parity boolean", "round_trip boolean"]
     )
 
@@ -188,8 +190,6 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
 
 def decode(docs: DataFrame, model: bytes, ids: str = "ids", text: str = "text") -> DataFrame:
     """``docs`` with the text that its ids stand for; NULL ids give NULL, no ids the empty text."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = _codec(model)

@@ -169,25 +169,25 @@ def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX
     """The rows of ``docs`` that stand for their group: of each component one row, all columns as they were.
 
     It is the row with the least doc_id (NULL only if there is no other); of several such
-    rows the one with the least fingerprint, then the least text, then the least of its
-    other columns.
+    rows the one with the least fingerprint, then the least in its columns in their order.
     """
-    columns = docs.columns
-    rows = pin(docs.withColumn("_bits", fingerprint_of("text", words)))
-    prints = rows.select("doc_id", F.col("_bits").alias("bits"))
-    roots = _placed(prints, max_bits).select("bits", "root")
+    rows = pin(
+        docs.select(
+            F.col("doc_id").alias("id"), fingerprint_of("text", words).alias("bits"), F.struct("*").alias("row")
+        )
+    )
+    roots = _placed(rows.select(F.col("id").alias("doc_id"), "bits"), max_bits).select("bits", "root")
     chosen = (
-        prints.groupBy("bits")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))).alias("first"))
+        rows.groupBy("bits")
+        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first"))
         .join(roots, "bits")
         .groupBy("root")
         .agg(F.min(F.struct("first", "bits")).alias("first"))
-        .select(F.col("first.first.id").alias("_id"), F.col("first.bits").alias("_chosen"))
+        .select(F.col("first.first.id").alias("least"), F.col("first.bits").alias("chosen"))
     )
-    others = [c for c in columns if c != "text"]
     return (
-        rows.join(chosen, (F.col("_bits") == F.col("_chosen")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-        .groupBy("_chosen")
-        .agg(F.min(F.struct("text", *others)).alias("row"))
-        .select(*[F.col(f"row.{c}").alias(c) for c in columns])
+        rows.join(chosen, (F.col("bits") == F.col("chosen")) & F.col("id").eqNullSafe(F.col("least")))
+        .groupBy("chosen")
+        .agg(F.min("row").alias("row"))
+        .select("row.*")
     )
