@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from counterfoil.llm.common import held_out, learnable
+from counterfoil.session import pin
 
 #: The sample: texts per language, their first characters that are sent, symbols per language
 #: and over all languages. Nothing else is bounded.
@@ -203,8 +204,11 @@ def labelled_sample(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> dict[str, lis
     rows = docs.filter(learnable("doc_id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "lang", F.xxhash64("text").alias("h"), F.col("text").substr(1, SAMPLE_CHARS).alias("text")
     )
-    least = rows.groupBy("lang", F.pmod("h", F.lit(texts)).alias("part")).agg(F.min("h").alias("h"))
-    chosen = rows.join(least.select("lang", "h"), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    # Written first: Spark then knows how small it is and need not shuffle the texts to find out.
+    least = pin(
+        rows.groupBy("lang", F.pmod("h", F.lit(texts)).alias("part")).agg(F.min("h").alias("h")).select("lang", "h")
+    )
+    chosen = rows.join(least, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     samples: dict[str, list[str]] = {}
     for row in sorted(chosen.collect()):
         samples.setdefault(row["lang"], []).append(row["text"])
