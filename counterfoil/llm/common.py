@@ -14,9 +14,10 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 FOLDS = 5
 
-SPACE = "▁"
-#: Ways to cut a marked text, finest first. Whether there is a cut depends on two neighbours alone:
-#: before a mark that follows something else, and in the finer way where letters meet others.
+#: The mark that a model has for a space. Here both are a space, which keeps most strings at a byte a character.
+MARK, SPACE = "▁", " "
+#: Ways to cut a text, finest first. Whether there is a cut depends on two neighbours alone:
+#: before a space that follows something else, and in the finer way where letters meet others.
 _LETTER = r"[^\W\d_\xb2\xb3\xb9\xbc-\xbe]"
 CUTS = (
     re.compile(f"{SPACE}*(?:{_LETTER}+|(?:(?!{SPACE}|{_LETTER}).)+)|{SPACE}+", re.DOTALL),
@@ -44,13 +45,13 @@ def learnable(doc_id: str | Column) -> Column:
 
 
 def marked(text: str) -> str:
-    """The text as a sentence-piece model without normalisation sees it: a mark for each space and one in front."""
-    return SPACE + text.replace(" ", SPACE) if text else ""
+    """The text as a sentence-piece model without normalisation sees it: a mark is a space, and there is one in front."""
+    return SPACE + text.replace(MARK, SPACE) if text else ""
 
 
 def cutter(pieces: Iterable[str]) -> re.Pattern:
     """The finest of ``CUTS`` that goes through no piece: merges never reach over such a cut."""
-    pieces = list(pieces)
+    pieces = [p.replace(MARK, SPACE) for p in pieces]
     return next(cut for cut in CUTS if all(len(cut.findall(p)) == 1 for p in pieces))
 
 

@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from counterfoil.llm.common import SPACE, cutter, marked
+from counterfoil.llm.common import MARK, cutter, marked
 
 UNIGRAM, BPE = 1, 2
 NORMAL, CONTROL, USER_DEFINED = 1, 3, 4
 #: Chunks that a Python worker remembers, twice this many at most, and the longest of them.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 LONGEST = 64
 
 
@@ -78,19 +78,19 @@ def build(model: bytes) -> Tokenizer:
     if norm.remove_extra_whitespaces:
         steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if norm.add_dummy_prefix:
-        steps.append(normalizers.Prepend(SPACE))
+        steps.append(normalizers.Prepend(MARK))
     if norm.escape_whitespaces:
-        steps.append(normalizers.Replace(" ", SPACE))
+        steps.append(normalizers.Replace(" ", MARK))
     built.normalizer = normalizers.Sequence(steps)
     if crosses_no_mark(proto):
-        built.pre_tokenizer = pre_tokenizers.Split(Regex(f"{SPACE}*[^{SPACE}]+|{SPACE}+"), "isolated")
-    undo = [decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
+        built.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
+    undo = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
     built.decoder = decoders.Sequence(undo + [decoders.Strip(" ", 1, 0)] * norm.add_dummy_prefix)
     return built
 
 
 def crosses_no_mark(proto) -> bool:
-    return all(SPACE not in p.piece.lstrip(SPACE) for p in proto.pieces)
+    return all(MARK not in p.piece.lstrip(MARK) for p in proto.pieces)
 
 
 class Codec:
@@ -105,7 +105,7 @@ class Codec:
         self.built = build(model)
         plain = not norm.precompiled_charsmap and not norm.remove_extra_whitespaces
         self.marks = plain and norm.add_dummy_prefix and norm.escape_whitespaces
-        # With marks the text is prepared here; both libraries then get chunks as they are.
+        # With marks the text is prepared here; both libraries then get chunks as they are, spaces for marks.
         self.cut = cutter(p.piece for p in proto.pieces if p.type != CONTROL).findall if self.marks else None
         norm.add_dummy_prefix = norm.add_dummy_prefix and not self.marks
         inner = proto.SerializeToString()
@@ -120,7 +120,7 @@ class Codec:
         back = self.ours.decode_batch(theirs, skip_special_tokens=False)
         encoded = self.ours.encode_batch_fast(parts, add_special_tokens=False)
         for part, ours, ids, text in zip(parts, encoded, theirs, back):
-            agree, same = ours.ids == ids, text == (part.replace(SPACE, " ") if self.marks else part)
+            agree, same = ours.ids == ids, text == part
             if not (agree and same):
                 self.odd[part] = (agree, same)
             found[part] = array("i", ids).tobytes()
@@ -143,7 +143,7 @@ class Codec:
         parity = [all(odd[p][0] for p in parts if p in odd) if odd else True for parts in cut]
         same = [all(odd[p][1] for p in parts if p in odd) if odd else True for parts in cut]
         if self.marks:
-            same = [s and SPACE not in (t or "") for s, t in zip(same, texts)]
+            same = [s and MARK not in (t or "") for s, t in zip(same, texts)]
         for part in [p for p in missing if len(p) > LONGEST]:
             del self.parts[part]
         return ids, parity, same
@@ -174,8 +174,8 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
                 ids, parity, same = codec.encode(batch.column(len(kept)).to_pylist())
                 sizes = np.array([len(i) // 4 for i in ids], dtype=np.int64)
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from counterfoil.llm.common import Memo, cutter, marked
+from counterfoil.llm.common import MARK, SPACE, Memo, cutter, marked
 
 NORMAL, UNUSED, USER_DEFINED = 1, 5, 4
 BPE = 2
@@ -33,7 +33,7 @@ TOKEN_LIMIT = 4096
 
 
 def piece_ranks(model: bytes) -> dict[str, int]:
-    """Rank of each piece of a byte-pair model with byte fallback; equal scores have equal ranks."""
+    """Rank of each piece of a byte-pair model with byte fallback, marks as spaces; equal scores have equal ranks."""
     proto = sentencepiece_model_pb2.ModelProto()
     proto.ParseFromString(model)
     norm = proto.normalizer_spec
@@ -47,7 +47,7 @@ def piece_ranks(model: bytes) -> dict[str, int]:
         raise ValueError("unused and user-defined pieces are not supported")
     scores = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
     rank = {score: place for place, score in enumerate(sorted(set(scores.values()), reverse=True))}
-    return {piece: rank[score] for piece, score in scores.items()}
+    return {piece.replace(MARK, SPACE): rank[score] for piece, score in scores.items()}
 
 
 def merged_count(chunk: str, ranks: dict[str, int]) -> int:
