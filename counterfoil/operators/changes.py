@@ -50,8 +50,10 @@ def clamp_quantity(quantity: Column) -> Column:
 
 def _prepared(changes: DataFrame, lines: DataFrame, products: DataFrame, orders: DataFrame | None) -> DataFrame:
     """Changes with their line, price and stock. Lines are cut down to the touched keys first."""
-    moved = F.coalesce(F.col("new_order_id") != F.col("order_id"), F.lit(False)) | F.coalesce(
-        F.col("new_product_id") != F.col("product_id"), F.lit(False)
+    # New ids say something on updates only; every decider sees the same flag.
+    moved = F.coalesce(F.col("op") == "update", F.lit(False)) & (
+        F.coalesce(F.col("new_order_id") != F.col("order_id"), F.lit(False))
+        | F.coalesce(F.col("new_product_id") != F.col("product_id"), F.lit(False))
     )
     rows = changes.select(
         "op", "seq", "order_id", "product_id",

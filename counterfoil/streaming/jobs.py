@@ -76,9 +76,9 @@ def _decide(ledger: Ledger, batch: DataFrame, number: int, pos: Pos, orders: Dat
     refused = decided.where(~F.col("accepted")).select("op", "seq", "order_id", "product_id", "quantity", "reason")
     too_late = late.select("op", "seq", "order_id", "product_id", "quantity", F.lit(LATE).alias("reason"))
     ledger.write_images("rejected", number, refused.unionByName(too_late))
-    ledger.write_images(
-        "positions", number, on_time.groupBy("product_id").agg(F.max("seq").alias("last_seq"))
-    )
+    # A malformed change moves nothing, its number must not make good ones late.
+    formed = on_time.where(F.col("op").isin("insert", "update", "delete"))
+    ledger.write_images("positions", number, formed.groupBy("product_id").agg(F.max("seq").alias("last_seq")))
     return decided.where("accepted")
 
 
@@ -138,7 +138,13 @@ def apply_price_batch(ledger: Ledger, batch: DataFrame, number: int, log_unchang
     priced, history = prices.apply_price_changes(products, on_time, log_unchanged)
     ledger.write_images("price_log", number, history)
     ledger.write_images("products", number, priced)
-    ledger.write_images("rejected", number, late.withColumn("reason", F.lit(LATE)))
+    known = ledger.table("products").select(F.col("id").alias("product_id"))
+    unknown = on_time.join(known, "product_id", "left_anti").select(*late.columns)
+    ledger.write_images(
+        "rejected",
+        number,
+        late.withColumn("reason", F.lit(LATE)).unionByName(unknown.withColumn("reason", F.lit(ch.NO_PRODUCT))),
+    )
     ledger.write_images(
         "positions", number, on_time.groupBy("product_id").agg(F.max("seq").alias("last_seq"))
     )
@@ -146,9 +152,10 @@ def apply_price_batch(ledger: Ledger, batch: DataFrame, number: int, log_unchang
 
 
 def _start(
-    source: DataFrame, ledger: Ledger, step, checkpoint: str, once: bool, compact_every: int | None
+    source: DataFrame, ledger: Ledger, kind: str, step, checkpoint: str, once: bool, compact_every: int | None
 ) -> StreamingQuery:
     shared_folder(source.sparkSession)
+    ledger.claim(kind, checkpoint)
 
     def apply(batch: DataFrame, number: int) -> None:
         step(batch, number)
@@ -171,7 +178,7 @@ def stream_changes(
     """Apply a stream of line changes to the ledger at ``root``."""
     ledger = Ledger(spark, root)
     step = lambda df, n: apply_line_batch(ledger, df, n, with_views)
-    return _start(source, ledger, step, checkpoint, once, compact_every)
+    return _start(source, ledger, "changes", step, checkpoint, once, compact_every)
 
 
 def stream_stock_guard(
@@ -184,7 +191,8 @@ def stream_stock_guard(
 ) -> StreamingQuery:
     """Accept or reject a stream of line changes by stock; see the ledger's ``decisions`` log."""
     ledger = Ledger(spark, root)
-    return _start(source, ledger, lambda df, n: apply_guard_batch(ledger, df, n), checkpoint, once, compact_every)
+    step = lambda df, n: apply_guard_batch(ledger, df, n)
+    return _start(source, ledger, "guard", step, checkpoint, once, compact_every)
 
 
 def stream_prices(
@@ -199,7 +207,7 @@ def stream_prices(
     """Log a stream of price changes and keep the last price of every product."""
     ledger = Ledger(spark, root)
     step = lambda df, n: apply_price_batch(ledger, df, n, log_unchanged)
-    return _start(source, ledger, step, checkpoint, once, compact_every)
+    return _start(source, ledger, "prices", step, checkpoint, once, compact_every)
 
 
 def line_change_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

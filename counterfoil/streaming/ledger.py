@@ -3,15 +3,18 @@
 A batch writes only the rows it touched and then a commit mark. Readers take the base and
 put the newest image of every key on top, looking at marked batches only. A batch that is
 run again after a failure finds its mark and does nothing, or finds none and rewrites its
-own unread folders. One stream writes to one ledger.
+own unread folders. One stream writes to one ledger: batch numbers mean something within one
+checkpoint only, so a stream of another kind or with another checkpoint is refused.
 
     root/base-<n>/<table>             all rows up to and including batch n
     root/images/<table>/batch=<n>     rows changed by batch n
     root/commits/<n>                  mark of a finished batch
+    root/owner/<digest>               kind and checkpoint of the stream that writes here
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +57,15 @@ class Ledger:
             raise FileNotFoundError(f"no ledger at {self.root}")
         return f"{self.root}/{done[-1]}", int(done[-1].split("-")[1]) - 1
 
+    def claim(self, kind: str, checkpoint: str) -> None:
+        """Make the stream the owner, or raise if the ledger has another; call it before the stream starts."""
+        mine = hashlib.sha256(f"{kind} {checkpoint.rstrip('/')}".encode()).hexdigest()
+        owners = subfolders(self.spark, f"{self.root}/owner")
+        if any(owner != mine for owner in owners):
+            raise ValueError(f"the ledger at {self.root} belongs to another stream or checkpoint")
+        if not owners:
+            touch(self.spark, f"{self.root}/owner/{mine}/_DONE")
+
     def is_committed(self, batch: int) -> bool:
         return exists(self.spark, f"{self.root}/commits/{batch}/_DONE") or batch <= self._base()[1]
 

@@ -275,3 +275,19 @@ def test_price_to_null_and_back_is_not_logged(spark, shop):
     assert [(r["oldPrice"], r["newPrice"], r["seq"], str(r["ts"])) for r in got] == [
         (D("90.00"), D("91.00"), 70_000, "2024-03-01 00:00:00")
     ]
+
+
+@pytest.mark.parametrize("stock", [1000, 1])
+def test_new_ids_mean_something_on_updates_only(spark, priced_shop, stock):
+    """The same answer where stock is plenty (decided by windows) and where it is tight (walked)."""
+    pos = priced_shop.with_(
+        products=priced_shop.products.withColumn("availableQuantity", F.lit(stock)), lines=priced_shop.lines.limit(0)
+    )
+    data = [
+        ("insert", 1, 10, 1, 1, 11, 2),
+        ("update", 2, 10, 1, 1, 11, None),
+        ("delete", 3, 10, 1, None, 11, 2),
+        ("insert", 4, 11, 1, 1, None, 3),
+    ]
+    got = {seq: r["accepted"] for seq, r in decide(spark, pos, data).items()}
+    assert got == {1: True, 2: False, 3: True, 4: True}

@@ -3,6 +3,8 @@ import os
 import time
 from decimal import Decimal as D
 
+import pytest
+
 from counterfoil.operators import views
 from counterfoil.streaming import jobs
 from tests.conftest import rows
@@ -97,3 +99,29 @@ def test_price_stream(spark, shop, tmp_path):
     ]
     assert {r["id"]: r["currentPrice"] for r in ledger.table("products").collect()}[7] == D("10.00")
     assert rows(ledger.log("rejected").select("seq", "reason")) == [(2, jobs.LATE)]
+
+
+def test_price_changes_of_unknown_products_are_rejected(spark, shop, tmp_path):
+    ledger = jobs.create_ledger(spark, f"{tmp_path}/prices", shop, with_views=False)
+    batch = spark.createDataFrame([(99, D("5.00"), None, 1), (1, D("6.00"), None, 2)], jobs.PRICE_CHANGE)
+    jobs.apply_price_batch(ledger, batch, 0)
+    assert rows(ledger.log("rejected").select("product_id", "seq", "reason")) == [(99, 1, "No such product")]
+
+
+def test_a_ledger_refuses_another_stream_or_checkpoint(spark, shop, tmp_path):
+    feed, root = f"{tmp_path}/feed", f"{tmp_path}/ledger"
+    line_files(feed, [(0, 9)])
+    jobs.create_ledger(spark, root, shop, with_views=False)
+    run(spark, jobs.stream_stock_guard, feed, root, jobs.line_change_stream)
+    run(spark, jobs.stream_stock_guard, feed, root, jobs.line_change_stream)
+    with pytest.raises(ValueError, match="another stream or checkpoint"):
+        run(spark, jobs.stream_prices, feed, root, jobs.price_change_stream)
+    with pytest.raises(ValueError, match="another stream or checkpoint"):
+        jobs.stream_stock_guard(spark, jobs.line_change_stream(spark, feed), root, f"{root}-other", once=True)
+
+
+def test_malformed_changes_make_nothing_late(spark, shop, tmp_path):
+    ledger = jobs.create_ledger(spark, f"{tmp_path}/guard", shop, with_views=False)
+    jobs.apply_guard_batch(ledger, spark.createDataFrame([("drop", 900, 10, 3, 1, None, None)], jobs.LINE_CHANGE), 0)
+    jobs.apply_guard_batch(ledger, spark.createDataFrame([("insert", 5, 10, 3, 1, None, None)], jobs.LINE_CHANGE), 1)
+    assert {r["seq"]: r["accepted"] for r in ledger.log("decisions").collect()} == {900: False, 5: True}
