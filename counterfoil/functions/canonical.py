@@ -1,4 +1,4 @@
-"""One comparable text per JSON document."""
+"""One comparable text per JSON document, from its text or from typed columns."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import types as T
 
 # Sent to the Python workers with the job, so that they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,6 +33,42 @@ def _plain(value):
     return value
 
 
-@F.pandas_udf(StringType())
+@F.pandas_udf(T.StringType())
 def canonical_document(docs: pd.Series) -> pd.Series:
     return docs.map(lambda text: json.dumps(_plain(json.loads(text))), na_action="ignore")
+
+
+def _leaf(value: Column, kind: T.DataType) -> Column:
+    """A scalar as text behind its kind: equal numbers of different types are equal, 1 and "1" are not."""
+    if isinstance(kind, T.BooleanType):
+        return F.concat(F.lit("n"), value.cast("int").cast("string"))
+    if isinstance(kind, T.DecimalType):
+        text = value.cast("string")
+        return F.concat(F.lit("n"), F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        whole = (value == F.floor(value)) & (F.abs(value) < 1e18)
+        return F.concat(F.lit("n"), F.when(whole, value.cast("long").cast("string")).otherwise(value.cast("string")))
+    if isinstance(kind, T.NumericType):
+        return F.concat(F.lit("n"), value.cast("string"))
+    if isinstance(kind, T.TimestampType):
+        return F.concat(F.lit("s"), F.date_format(value, "yyyy-MM-dd HH:mm:ss"))
+    return F.concat(F.lit("s"), value.cast("string"))
+
+
+def _typed(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        fields = {field.name.replace(" ", ""): field for field in kind}
+        parts = [_typed(value[fields[name].name], fields[name].dataType).alias(name) for name in sorted(fields)]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda item: _typed(item, kind.elementType))
+    return _leaf(value, kind)
+
+
+def canonical_columns(df: DataFrame) -> Column:
+    """The same for documents that are still columns: the schema is stripped and sorted once, no row is parsed.
+
+    Numbers are compared exactly, not as floating point; texts of both forms are not comparable with each other.
+    """
+    whole = F.struct(*[F.col(f"`{name}`") for name in df.columns])
+    return F.to_json(_typed(whole, df.schema), {"ignoreNullFields": "false"})

@@ -25,6 +25,7 @@ from counterfoil.functions.stock_fold import (
 )
 from counterfoil.model import MONEY, PRICE, Pos
 from counterfoil.operators.money import sales_tax
+from counterfoil.operators.prices import apply_price_changes
 from counterfoil.operators.sequence import BLOCK_ROWS, LEVELS, block_of, sum_before, value_before
 from counterfoil.operators.stock_rounds import decide_inserts
 from counterfoil.session import pin
@@ -381,6 +382,43 @@ def apply_changes(pos: Pos, accepted: DataFrame, null_subtotal: str = "zero") ->
     return pos.with_(products=products, lines=lines, orders=orders), touched
 
 
+def at_price(accepted: DataFrame, price_changes: DataFrame) -> DataFrame:
+    """Accepted changes with the price each line was inserted at.
+
+    Line and price changes share one numbering: an insert takes the last price that was
+    set before it, and later changes of that line keep it. Stock decisions do not depend on
+    prices, so they are made first.
+    """
+    inserted = F.col("op") == "insert"
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("long")
+    events = accepted.where(inserted).select("product_id", "seq", "order_id", F.lit(None).cast(PRICE).alias("price"), "op")
+    events = events.unionByName(
+        price_changes.select("product_id", "seq", no_number.alias("order_id"), F.col("price").cast(PRICE).alias("price"), no_text.alias("op"))
+    )
+    set_price = F.when(F.col("op").isNull(), F.struct("price"))
+    at_insert = value_before(events, ["product_id"], "seq", {"_set": set_price}).where("op is not null")
+    born = accepted.join(at_insert.select("seq", "product_id", "_set"), ["seq", "product_id"], "left").withColumn(
+        "_price", F.when(F.col("_set").isNotNull(), F.col("_set.price")).otherwise(F.col("unit_price"))
+    )
+    last_insert = F.when(inserted, F.struct(F.col("_price").alias("price")))
+    placed = value_before(born, ["order_id", "product_id"], "seq", {"_birth": last_insert})
+    price = (
+        F.when(inserted, F.col("_price")).when(F.col("_birth").isNotNull(), F.col("_birth.price")).otherwise(F.col("unit_price"))
+    )
+    return placed.select(*[price.alias(c) if c == "unit_price" else F.col(c) for c in accepted.columns])
+
+
+def apply_events(pos: Pos, changes: DataFrame, price_changes: DataFrame) -> tuple[Pos, Touched, DataFrame]:
+    """Line and price changes of one feed, in ``seq`` order; returns the tables, touched keys and rejected line changes.
+
+    The price history grows by the real price changes; those of unknown products change nothing.
+    """
+    ok, rejected = validate_changes(changes, pos.lines, pos.products, pos.orders)
+    after, touched = apply_changes(pos, pin(at_price(ok, price_changes)))
+    products, history = apply_price_changes(after.products, price_changes)
+    return after.with_(products=products, price_history=pos.price_history.unionByName(history)), touched, rejected
+
+
 def add_items(pos: Pos, items: DataFrame) -> tuple[Pos, Touched, DataFrame]:
     """Insert items (order_id, product_id, quantity, seq); returns the tables, touched keys and rejects."""
     changes = items.select(

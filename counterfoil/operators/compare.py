@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.functions.canonical import canonical_document
+from counterfoil.functions.canonical import canonical_columns, canonical_document
 from counterfoil.operators.sequence import BLOCK_ROWS, block_of, sum_before
 from counterfoil.session import pin
 from counterfoil.sources.documents import read_lines
@@ -27,8 +27,16 @@ def dataset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     Documents are compared by the SHA-256 of their canonical text, so the shuffle carries
     a short digest per distinct document and not the documents.
     """
-    digests = [df.select(F.sha2(canonical_document("doc"), 256).alias("digest")) for df in (left, right)]
-    counts = _sides(*digests, "digest")
+    return _diff(*[df.select(F.sha2(canonical_document("doc"), 256).alias("digest")) for df in (left, right)])
+
+
+def typed_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The same for documents that are still columns, without a JSON text or Python in between."""
+    return _diff(*[df.select(F.sha2(canonical_columns(df), 256).alias("digest")) for df in (left, right)])
+
+
+def _diff(left: DataFrame, right: DataFrame) -> DataFrame:
+    counts = _sides(left, right, "digest")
     zero = F.lit(0).cast("long")
     return counts.agg(
         F.coalesce(F.sum(F.least("n_left", "n_right")), zero).alias("common"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from counterfoil.functions.text import address, full_name
 from counterfoil.model import MONEY, Pos
 from counterfoil.operators.gather import array_parts, gather_array
-from counterfoil.operators.money import with_line_total
+from counterfoil.operators.money import order_total, with_line_total
 from counterfoil.operators.views import bought_pairs
 from counterfoil.session import pin
 
@@ -96,15 +96,17 @@ def doc_product_parts(pos: Pos) -> DataFrame:
     ).withColumnsRenamed({"product_id": "ProductID", "items": "Customers"})
 
 
-def _named_lines(pos: Pos, extra: tuple[str, ...] = ()) -> DataFrame:
-    goods = pos.products.select(F.col("id").alias("product_id"), "name")
+def _named_lines(pos: Pos, extra: tuple[str, ...] = (), kind: str = "inner") -> DataFrame:
+    goods = pos.products.select(F.col("id").alias("product_id"), F.col("id").alias("known_id"), "name")
     lines = pos.lines if not extra else with_line_total(pos.lines)
-    return lines.select("order_id", "product_id", "quantity", *extra).join(goods, "product_id")
+    return lines.select("order_id", "product_id", "quantity", *extra).join(goods, "product_id", kind)
 
 
-def order_items(pos: Pos, item: Column, out: str = "Items", extra: tuple[str, ...] = ()) -> DataFrame:
-    """Per order id the array of its lines that have a product, by product id."""
-    return gather_array(_named_lines(pos, extra), ["order_id"], "product_id", item, out)
+def order_items(
+    pos: Pos, item: Column, out: str = "Items", extra: tuple[str, ...] = (), kind: str = "inner"
+) -> DataFrame:
+    """Per order id the array of its lines, by product id; with ``kind="left"`` also lines of unknown products."""
+    return gather_array(_named_lines(pos, extra, kind), ["order_id"], "product_id", item, out)
 
 
 def _item(id_: str = "ProductID", name: str = "ProductName", quantity: str = "Quantity") -> Column:
@@ -139,10 +141,16 @@ def doc_order_parts(pos: Pos) -> DataFrame:
 
 
 def doc_orders_dated(pos: Pos) -> DataFrame:
-    """Style C of the order document: with dates, and orders kept without buyer or lines."""
+    """Style C of the order document: with dates, and orders kept without buyer or lines.
+
+    A line of an unknown product keeps its quantity, with null id and name; an unknown buyer has a null id.
+    """
     fields = ("PRODUCT ID", "PRODUCT NAME", "Quantity")
-    items = order_items(pos, _item(*fields), "_items").withColumnRenamed("order_id", "id")
-    buyers = pos.customers.select(F.col("id").alias("customer_id"), "firstName", "lastName")
+    item = _named(**dict(zip(fields, (F.col("known_id"), F.col("name"), F.col("quantity")), strict=True)))
+    items = order_items(pos, item, "_items", kind="left").withColumnRenamed("order_id", "id")
+    buyers = pos.customers.select(
+        F.col("id").alias("customer_id"), F.col("id").alias("buyer_id"), "firstName", "lastName"
+    )
     return (
         pos.orders.join(buyers, "customer_id", "left")
         .join(items, "id", "left")
@@ -150,7 +158,7 @@ def doc_orders_dated(pos: Pos) -> DataFrame:
             F.col("id").alias("Order ID"),
             F.col("datePlaced").alias("Order Placed"),
             F.col("dateShipped").alias("Order Shipped"),
-            _buyer().alias("Customer"),
+            _buyer("buyer_id").alias("Customer"),
             _or_empty(F.col("_items"), _no_item(*fields), "null_object").alias("Product"),
         )
     )
@@ -162,11 +170,13 @@ def _orders_with_items(pos: Pos, item: Column, extra: tuple[str, ...] = ()) -> D
 
 
 def _order(fields: tuple[str, ...]) -> Column:
+    """One order; style C shows its total with tax, the others the subtotal."""
     id_, total, placed, shipped, items = fields
+    taxed = fields == CUSTOMER_ORDER_FIELDS["C"]
     return _named(
         **{
             id_: F.col("id"),
-            total: F.col("subtotal"),
+            total: order_total() if taxed else F.col("subtotal"),
             placed: F.col("datePlaced"),
             shipped: F.col("dateShipped"),
             items: F.col("_items"),
@@ -235,9 +245,7 @@ def doc_top_customers(pos: Pos, k: int = 10) -> DataFrame:
         .orderBy(F.col("_spent").desc_nulls_last(), "customer_id")
         .limit(k)
     )
-    # At most k rows, so the broadcast has a fixed size.
-    few = F.broadcast(top.select("customer_id"))
-    orders = pos.orders.join(few, "customer_id", "left_semi")
+    orders = pos.orders.join(top.select("customer_id"), "customer_id", "left_semi")
     lines = pos.lines.join(orders.select(F.col("id").alias("order_id")), "order_id", "left_semi")
     item = _named(
         **{
@@ -252,7 +260,7 @@ def doc_top_customers(pos: Pos, k: int = 10) -> DataFrame:
         pos.with_(orders=orders, lines=lines), CUSTOMER_ORDER_FIELDS["B"], item, ("unitPrice", "lineTotal")
     )
     return (
-        pos.customers.join(F.broadcast(top.withColumnRenamed("customer_id", "id")), "id")
+        pos.customers.join(top.withColumnRenamed("customer_id", "id"), "id")
         .join(nested, "id")
         .orderBy(F.col("_spent").desc_nulls_last(), "id")
         .select(

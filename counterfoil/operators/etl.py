@@ -56,6 +56,18 @@ def one_city_per_zip(cities: DataFrame) -> DataFrame:
     return first.select("zip", "c.city", "c.state")
 
 
+def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
+    """Keeps a declared key unique, so that joins on it repeat nothing.
+
+    Of several rows with one key the least by its other columns, in their order and NULLs
+    first, stays; a row whose key is NULL cannot be referred to and goes. Both kinds are
+    what ``quality.pk_violations`` reports of the input.
+    """
+    others = [c for c in df.columns if c != key]
+    first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
+    return first.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in df.columns])
+
+
 def clean_orders(raw: DataFrame, customers: DataFrame) -> DataFrame:
     """Typed orders of known customers; money columns start NULL."""
     typed = raw.select(

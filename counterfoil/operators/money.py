@@ -45,8 +45,12 @@ def fill_order_total(orders: DataFrame, lines: DataFrame, column: str = "subtota
     )
 
 
+def order_total() -> Column:
+    return (F.col("subtotal") + F.col("salesTax")).cast(MONEY)
+
+
 def with_order_total(orders: DataFrame) -> DataFrame:
-    return orders.withColumn("total", (F.col("subtotal") + F.col("salesTax")).cast(MONEY))
+    return orders.withColumn("total", order_total())
 
 
 def priced(pos: Pos) -> Pos:

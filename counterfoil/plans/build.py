@@ -11,19 +11,24 @@ from counterfoil.sources.snapshots import latest, materialize
 
 
 def build_pos(spark: SparkSession, folder: str, missing: str = "error", multi_line: bool = True) -> Pos:
-    """The model as loaded: products, cities, customers, orders, lines, in reference order."""
+    """The model as loaded: products, cities, customers, orders, lines, in reference order.
+
+    Ids and zips that the files repeat are made unique by ``etl.one_row_per_key``.
+    """
     options = {"missing": missing, "multi_line": multi_line}
     raw_customers = csv.read_customers(spark, f"{folder}/customers.csv", **options)
-    customers = etl.clean_customers(raw_customers)
-    orders = etl.clean_orders(csv.read_orders(spark, f"{folder}/orders.csv", **options), customers)
+    customers = etl.one_row_per_key(etl.clean_customers(raw_customers), "id")
+    placed = etl.clean_orders(csv.read_orders(spark, f"{folder}/orders.csv", **options), customers)
+    orders = etl.one_row_per_key(placed, "id")
+    products = etl.clean_products(csv.read_products(spark, f"{folder}/products.csv", **options))
     return Pos(
-        products=etl.clean_products(csv.read_products(spark, f"{folder}/products.csv", **options)),
+        products=etl.one_row_per_key(products, "id"),
         cities=etl.one_city_per_zip(etl.city_dimension(raw_customers)),
         customers=customers,
         orders=orders,
         lines=etl.orderlines_from_scans(csv.read_orderlines(spark, f"{folder}/orderlines.csv", **options), orders),
         price_history=spark.createDataFrame([], PRICE_HISTORY),
-        tax_rates=csv.read_sales_tax(spark, f"{folder}/TAXRATES.csv", **options),
+        tax_rates=etl.one_row_per_key(csv.read_sales_tax(spark, f"{folder}/TAXRATES.csv", **options), "zip"),
     )
 
 

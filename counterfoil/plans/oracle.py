@@ -206,6 +206,9 @@ def _doc_products(id_first: list[tuple[str, str]], array: str, empty: str) -> st
     return _with(["product", "sale", "cust"], f'select id as "ProductID", {doc} as doc from product')
 
 
+_TAX = "cast(round(subtotal * coalesce(rate, 0) + cast(0.000001 as decimal(7,6)), 2) as decimal(18,2))"
+
+
 def _customer_orders(style: str) -> str:
     names = {
         "A": ("OrderID", "OrderTotal", "OrderDate", "ShippingDate", "Items"),
@@ -220,7 +223,7 @@ def _customer_orders(style: str) -> str:
     order = _object_of(
         [
             (names[0], _plain("ordt.id")),
-            (names[1], _plain("subtotal")),
+            (names[1], _plain(f"cast(subtotal + {_TAX} as decimal(18,2))" if style == "C" else "subtotal")),
             (names[2], _day("dp")),
             (names[3], _day("ds")),
             (names[4], "coalesce(items, 'null')"),
@@ -236,12 +239,13 @@ def _customer_orders(style: str) -> str:
         ]
     )
     return _with(
-        ["product", "city", "cust", "ordt"],
+        ["product", "city", "cust", "ordt", "rate"],
         f"""
         , item as (select oid, {_array(_object_of(item_fields), 'pid')} as items
                    from ol join product on pid = product.id group by oid),
         os as (select cid, {_array(order, 'ordt.id')} as orders
-               from ordt left join item on oid = ordt.id group by cid)
+               from ordt left join item on oid = ordt.id join cust on cust.id = cid
+               left join rate on rate.zip = cust.zip group by cid)
         select {doc} as doc from cust join city on cust.zip = city.zip left join os on os.cid = cust.id""",
     )
 
@@ -350,6 +354,19 @@ _BOOKS = f"""
     )"""
 
 
+# The lines after the feed, with the number of the insert that made them, if one did.
+_NOW = """
+    , last as (select pid, oid, arg_max(op, seq) as op, arg_max(q, seq) as q,
+                      max(case when op = 'insert' then seq end) as birth
+               from walk where n > 0 and reason is null group by 1, 2),
+    now as (
+        select pid, oid, q, cast(null as bigint) as birth from ol where (pid, oid) not in (select pid, oid from last)
+        union all
+        select pid, oid, q, birth from last where op <> 'delete'
+    )"""
+_NOW_LINE = 'select oid as order_id, pid as product_id, q as quantity, {price} as "unitPrice" from now join product on pid = id'
+
+
 def _books(feed: str) -> str:
     return _walked(feed, _BOOKS, ["cust", "ordt", "rate"])
 
@@ -482,6 +499,24 @@ def _doc_orders_dated() -> str:
     )
 
 
+def _doc_orders_dated_orphans() -> str:
+    item = _object_of([("PRODUCT ID", _plain("p.id")), ("PRODUCT NAME", _string("name")), ("Quantity", _plain("q"))])
+    empty = "'[{\"PRODUCT ID\":null,\"PRODUCT NAME\":null,\"Quantity\":null}]'"
+    doc = _object_of(
+        [
+            ("Order ID", _plain("ord.id")), ("Order Placed", _day("dp")), ("Order Shipped", _day("ds")),
+            ("Customer", _BUYER), ("Product", f"coalesce(items, {empty})"),
+        ]
+    )
+    return _with(
+        ["clean_product", "cust", "ord", "ol"],
+        f"""
+        , item as (select oid, {_array(item, 'pid')} as items from ol left join clean_product p on pid = p.id group by oid)
+        select {doc} as doc from ord
+        left join (select * from cust where a2 is not null) cust on cid = cust.id left join item on oid = ord.id""",
+    )
+
+
 def _doc_price_history() -> str:
     change = _object_of(
         [
@@ -584,7 +619,7 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
             ("Customers", _array(_BUYER, "cust.id")),
         ]
     )
-    return {
+    texts = {
         "etl_clean_products": _with(
             ["clean_product"], 'select id, name, price as "currentPrice", qty as "availableQuantity" from clean_product'
         ),
@@ -826,3 +861,87 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
             from p""",
         ),
     }
+    loaded = {
+        "product": "clean_product", "customer": "clean_customer", "order": "clean_order",
+    }
+    counts = [f"select '{name}' as table_name, count(*) as n from {source}" for name, source in loaded.items()]
+    counts += ["select 'city', count(distinct zip) from clean_city", "select 'orderline', 0", "select 'sales_tax', 0"]
+    price_then = """coalesce((select arg_max(f.price, f.seq) from price_feed f where f.pid = now.pid and f.seq <= birth),
+                             product.price)"""
+    texts |= {
+        "csv_products": texts["etl_clean_products"],
+        "csv_customers": texts["etl_clean_customers"],
+        "csv_orders": texts["etl_clean_orders"],
+        "csv_orderlines": texts["etl_orderlines"],
+        "csv_sales_tax": _with(
+            ["rate"],
+            """select rate.zip, substr(r_name, 1, 2) as state, n_name as "taxRegionName", rate as "estimatedCombinedRate"
+               from rate join nation on rate.zip = lpad(cast(n_nationkey as varchar), 5, '0')
+               join region on n_regionkey = r_regionkey""",
+        ),
+        "csv_narrow_sales_tax": _with(["rate"], 'select zip, rate as "taxRate" from rate'),
+        "csv_counts_without_lines": _with(
+            ["clean_product", "clean_city", "clean_customer", "clean_order"], " union all ".join(counts)
+        ),
+        "etl_products_repeated_ids": texts["etl_clean_products"],
+        "sales_tax_repeated_zip": texts["sales_tax"],
+        "price_history_stamped": _with(
+            ["price_step"],
+            f"""select pid as product_id, seq,
+                       strftime(case when seq % 2 = 0 then ts else timestamp '{end} 00:00:00' end, '%Y-%m-%d %H:%M:%S') as ts
+                from price_step where old <> price""",
+        ),
+        "doc_orders_dated_orphans": _doc_orders_dated_orphans(),
+        "stream_price_documents": texts["doc_price_history"],
+        "changed_lines": _walked("line_feed", _NOW + _NOW_LINE.format(price="product.price")),
+        "event_lines": _walked("line_feed", _NOW + _NOW_LINE.format(price=price_then), ["price_feed"]),
+        "event_prices": texts["price_history"],
+        "changed_purchases": _walked(
+            "line_feed",
+            _NOW
+            + """
+            select cust.id as "customer number", fn, ln, (
+                select string_agg(product.id || ' ' || name, '|' order by product.id)
+                from (select distinct pid from now join ord on oid = ord.id where cid = cust.id) s
+                join product on pid = product.id) as products
+            from cust""",
+            ["cust"],
+        ),
+        "null_subtotal_keep": _walked(
+            "line_feed",
+            f"""
+            select o.id, case when m.moved is null then o.subtotal else cast(o.subtotal + m.moved as decimal(18,2)) end
+                       as subtotal
+            from ordt o left join (
+                select oid, cast(sum(({_DELTA}) * product.price) as decimal(18,2)) as moved
+                from walk join product on walk.pid = product.id where n > 0 and reason is null group by oid
+            ) m on m.oid = o.id""",
+            ["ordt"],
+        ),
+        "deletes_or_fail": _with(
+            ["ol"],
+            """select oid as order_id, pid as product_id, true as accepted, -q as delta from ol
+               where (oid, pid) in (select l_orderkey, l_partkey from lineitem where l_returnflag = 'R')""",
+        ),
+        "compare_exports": _with(
+            ["product", "cust", "city", "sale"],
+            """
+            select 'cust1.json' as dataset, 'compared' as status, count(*) as common, cast(0 as bigint) as only_left,
+                   cast(0 as bigint) as only_right
+            from cust join city on cust.zip = city.zip
+            union all
+            select 'prod.json', 'compared', count(*) filter (where sold), count(*) filter (where not sold),
+                   count(*) filter (where not sold)
+            from (select id in (select pid from sale) as sold from product)
+            union all
+            select 'ord.json', 'not found', null, null, null""",
+        ),
+        "same_ids_from_files": _with(
+            ["ord", "ol"],
+            """select 'itself' as "case", true as same
+               union all
+               select 'all', not exists (select * from ord where id not in (select oid from ol))""",
+        ),
+    }
+    questions = ("best_customer", "top10_customers", "best_product", "unsold_products", "recall", "fraud")
+    return texts | {f"mongo_{name}_docs": texts[f"mongo_{name}"] for name in questions}

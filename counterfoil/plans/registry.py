@@ -10,16 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from counterfoil.functions import cleaning
-from counterfoil.model import MONEY, Pos
+from counterfoil.model import MONEY, RATE, Pos
 from counterfoil.operators import changes as ch
-from counterfoil.operators import compare, documents, etl, money, prices, quality, views
+from counterfoil.operators import compare, documents, etl, money, prices, quality, questions, views
 from counterfoil.operators import document_queries as dq
-from counterfoil.plans.build import refresh_full
+from counterfoil.plans.build import build_pos, refresh_full
 from counterfoil.plans.checks import quality_report
 from counterfoil.plans.statements import run_statement
 from counterfoil.session import pin, scratch_path
-from counterfoil.sources import raw_exports, tables
-from counterfoil.sources.documents import as_json, read_documents, write_documents
+from counterfoil.sources import csv, raw_exports, tables
+from counterfoil.sources.documents import as_json, read_documents, read_lines, write_documents
 from counterfoil.sources.snapshots import latest, materialize
 from counterfoil.streaming import jobs
 
@@ -106,6 +106,80 @@ def etl_counts(spark, folder):
     return reduce(DataFrame.unionByName, counts)
 
 
+# --- CSV files --------------------------------------------------------------------------
+
+_EXPORTS = {
+    "products": raw_exports.raw_products,
+    "customers": raw_exports.raw_customers,
+    "orders": raw_exports.raw_orders,
+    "orderlines": raw_exports.raw_orderlines,
+    "TAXRATES": raw_exports.raw_tax_rates,
+}
+
+
+def _csv(spark, folder, *names: str) -> str:
+    """A folder with the named exports as CSV files."""
+    root = scratch_path(spark, "exports")
+    for name in names:
+        raw_exports.write_csv(_EXPORTS[name](spark, folder), f"{root}/{name}.csv")
+    return root
+
+
+@query
+def csv_products(spark, folder):
+    return etl.clean_products(csv.read_products(spark, f"{_csv(spark, folder, 'products')}/products.csv"))
+
+
+@query
+def csv_customers(spark, folder):
+    return etl.clean_customers(csv.read_customers(spark, f"{_csv(spark, folder, 'customers')}/customers.csv"))
+
+
+@query
+def csv_sales_tax(spark, folder):
+    rates = csv.read_sales_tax(spark, f"{_csv(spark, folder, 'TAXRATES')}/TAXRATES.csv")
+    return rates.select("zip", "state", "taxRegionName", "estimatedCombinedRate")
+
+
+@query
+def csv_narrow_sales_tax(spark, folder):
+    path = f"{scratch_path(spark, 'exports')}/rates.csv"
+    raw = raw_exports.raw_tax_rates(spark, folder).select("zip", F.col("estimatedCombinedRate").alias("taxRate"))
+    return csv.read_narrow_sales_tax(spark, raw_exports.write_csv(raw, path))
+
+
+@query
+def csv_orders(spark, folder):
+    pos = build_pos(spark, _csv(spark, folder, "products", "customers", "orders"), missing="empty")
+    return pos.orders.select("id", "datePlaced", "dateShipped", "customer_id")
+
+
+@query
+def csv_orderlines(spark, folder):
+    return build_pos(spark, _csv(spark, folder, *_EXPORTS)).lines.select("order_id", "product_id", "quantity")
+
+
+@query
+def csv_counts_without_lines(spark, folder):
+    """The model of a folder in which two files are missing."""
+    pos = build_pos(spark, _csv(spark, folder, "products", "customers", "orders"), missing="empty")
+    loaded = {
+        "product": pos.products, "city": pos.cities, "customer": pos.customers, "order": pos.orders,
+        "orderline": pos.lines, "sales_tax": pos.tax_rates,
+    }
+    counts = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n")) for name, df in loaded.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def etl_products_repeated_ids(spark, folder):
+    """Products exported twice, the second time under a later name."""
+    again = F.when(F.col("name") != "", F.concat("name", F.lit(" (again)"))).otherwise(F.col("name"))
+    raw = raw_exports.raw_products(spark, folder)
+    both = etl.clean_products(raw.unionByName(raw.withColumn("name", again)))
+    return etl.one_row_per_key(both, "id")
+
+
 # --- views ----------------------------------------------------------------------------
 
 
@@ -236,6 +310,16 @@ def sales_tax_touched(spark, folder):
     return _taxed(spark, folder, touched=opened)
 
 
+@query
+def sales_tax_repeated_zip(spark, folder):
+    """Every zip stands in the rate file twice, the second time with a higher rate."""
+    pos = _priced(spark, folder)
+    higher = (F.col("estimatedCombinedRate") + F.lit("0.01").cast(RATE)).cast(RATE)
+    repeated = pos.tax_rates.unionByName(pos.tax_rates.withColumn("estimatedCombinedRate", higher))
+    taxed = money.sales_tax(pos.orders, pos.customers, etl.one_row_per_key(repeated, "zip"))
+    return money.with_order_total(taxed).select("id", "customer_id", "subtotal", "salesTax", "total")
+
+
 @query
 def sales_report(spark, folder):
     return money.sales_report(_priced(spark, folder), REPORT_START, REPORT_END, REPORT_PRODUCT)
@@ -280,6 +364,15 @@ def price_history_unchanged(spark, folder):
     return _price_run(spark, folder, True)[1].select("product_id", "oldPrice", "newPrice", "seq")
 
 
+@query
+def price_history_stamped(spark, folder):
+    """Changes that come without a stamp get the one of the run."""
+    feed = tables.price_changes(spark, folder)
+    partly = feed.withColumn("ts", F.when(F.col("seq") % 2 == 0, F.col("ts")))
+    log = prices.apply_price_changes(tables.products(spark, folder), partly, as_of=F.lit(REPORT_END).cast("timestamp"))
+    return log[1].select("product_id", "seq", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
 @query
 def update_price(spark, folder):
     return _price_run(spark, folder)[0]
@@ -347,6 +440,14 @@ def doc_orders_dated(spark, folder):
     return _json(documents.doc_orders_dated(_pos(spark, folder)))
 
 
+@query
+def doc_orders_dated_orphans(spark, folder):
+    """The same where nameless products and customers without a unit are unknown."""
+    pos = _pos(spark, folder)
+    known = pos.customers.where(F.col("address2").isNotNull())
+    return _json(documents.doc_orders_dated(pos.with_(products=etl_clean_products(spark, folder), customers=known)))
+
+
 @query
 def doc_orders_roundtrip(spark, folder):
     docs = documents.doc_orders(_pos(spark, folder))
@@ -367,7 +468,9 @@ def doc_customer_orders_outer(spark, folder):
 
 @query
 def doc_customer_orders_plain(spark, folder):
-    return _json(documents.doc_customer_orders(_priced(spark, folder), "C"))
+    pos = _priced(spark, folder)
+    taxed = pos.with_(orders=money.sales_tax(pos.orders, pos.customers, pos.tax_rates))
+    return _json(documents.doc_customer_orders(taxed, "C"))
 
 
 @query
@@ -397,32 +500,65 @@ def mongo_customers_in_region(spark, folder):
 
 @query
 def mongo_best_customer(spark, folder):
-    return dq.best_customers(documents.doc_customer_orders(_priced(spark, folder)), 1)
+    return questions.best_customers(_priced(spark, folder), 1)
 
 
 @query
 def mongo_top10_customers(spark, folder):
-    return dq.best_customers(documents.doc_customer_orders(_priced(spark, folder), "B"), 10)
+    return questions.best_customers(_priced(spark, folder), 10)
 
 
 @query
 def mongo_best_product(spark, folder):
-    return dq.best_products(documents.doc_products(_pos(spark, folder)), 1)
+    return questions.best_products(_pos(spark, folder), 1)
 
 
 @query
 def mongo_unsold_products(spark, folder):
+    return questions.unsold_products(_pos(spark, folder))
+
+
+@query
+def mongo_recall(spark, folder):
+    return questions.recall(_pos(spark, folder), RECALLED_PRODUCT)
+
+
+@query
+def mongo_fraud(spark, folder):
+    return questions.suspicious_orders(_priced(spark, folder))
+
+
+# The same questions to the documents themselves.
+
+
+@query
+def mongo_best_customer_docs(spark, folder):
+    return dq.best_customers(documents.doc_customer_orders(_priced(spark, folder)), 1)
+
+
+@query
+def mongo_top10_customers_docs(spark, folder):
+    return dq.best_customers(documents.doc_customer_orders(_priced(spark, folder), "B"), 10)
+
+
+@query
+def mongo_best_product_docs(spark, folder):
+    return dq.best_products(documents.doc_products(_pos(spark, folder)), 1)
+
+
+@query
+def mongo_unsold_products_docs(spark, folder):
     docs = documents.doc_products(_pos(spark, folder), "B")
     return dq.unsold_products(docs).select("ProductID", "Product Name")
 
 
 @query
-def mongo_recall(spark, folder):
+def mongo_recall_docs(spark, folder):
     return dq.recall(documents.doc_orders(_pos(spark, folder)), RECALLED_PRODUCT)
 
 
 @query
-def mongo_fraud(spark, folder):
+def mongo_fraud_docs(spark, folder):
     pos = _priced(spark, folder)
     docs = dq.with_order_totals(documents.doc_orders(pos), pos.orders)
     return dq.suspicious_orders(docs).select(
@@ -489,6 +625,57 @@ def apply_deletes(spark, folder):
     return _books(_priced(spark, folder), _line_feed(spark, folder, "delete", returned))
 
 
+def _after(spark, folder, null_subtotal="zero", prices_too=False) -> Pos:
+    """The model after the mixed event feed, with the price feed between its changes if wanted."""
+    pos = _priced(spark, folder)
+    feed = tables.line_changes(spark, folder)
+    if prices_too:
+        # One numbering for both: the price of an event is set just before its line changes.
+        ordered = feed.withColumn("seq", F.col("seq") * 2 + 1)
+        return ch.apply_events(pos, ordered, tables.price_changes(spark, folder).withColumn("seq", F.col("seq") * 2))[0]
+    ok, _ = ch.validate_changes(feed, pos.lines, pos.products, pos.orders)
+    return ch.apply_changes(pos, ok, null_subtotal)[0]
+
+
+@query
+def changed_lines(spark, folder):
+    return _after(spark, folder).lines
+
+
+@query
+def changed_purchases(spark, folder):
+    return views.customer_purchases(_after(spark, folder))
+
+
+@query
+def null_subtotal_keep(spark, folder):
+    """Orders without lines keep their NULL subtotal when one is added."""
+    return _after(spark, folder, "keep").orders.select("id", "subtotal")
+
+
+@query
+def event_lines(spark, folder):
+    """Lines after line and price changes of one feed, each at the price of the moment it was inserted."""
+    return _after(spark, folder, prices_too=True).lines
+
+
+@query
+def event_prices(spark, folder):
+    """Price history of the same feed."""
+    history = _after(spark, folder, prices_too=True).price_history
+    return history.select("product_id", "oldPrice", "newPrice", F.shiftright("seq", 1).alias("seq"))
+
+
+@query
+def deletes_or_fail(spark, folder):
+    """Decisions of a feed of which no change may be rejected."""
+    pos = _pos(spark, folder)
+    returned = tables.table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R")
+    feed = _line_feed(spark, folder, "delete", returned)
+    decided = ch.or_fail(ch.decide_changes(feed, pos.lines, pos.products, pos.orders))
+    return decided.select("order_id", "product_id", "accepted", "delta")
+
+
 _DECIDED = ("seq", "op", "order_id", "product_id", "accepted", "reason", "old_quantity", "delta")
 
 
@@ -549,7 +736,18 @@ def stream_price_history(spark, folder):
     ledger = jobs.create_ledger(spark, root, pos, with_views=False)
     source = jobs.price_change_stream(spark, f"{root}-feed")
     jobs.stream_prices(spark, source, root, f"{root}-checkpoint", once=True).awaitTermination()
-    return ledger.log("price_log").select("product_id", "oldPrice", "newPrice", "seq")
+    return jobs.ledger_pos(ledger).price_history.select("product_id", "oldPrice", "newPrice", "seq")
+
+
+@query
+def stream_price_documents(spark, folder):
+    """Price history documents of a ledger after the price stream."""
+    pos, root = _pos(spark, folder), scratch_path(spark, "prices")
+    tables.price_changes(spark, folder).write.json(f"{root}-feed")
+    ledger = jobs.create_ledger(spark, root, pos, with_views=False)
+    source = jobs.price_change_stream(spark, f"{root}-feed")
+    jobs.stream_prices(spark, source, root, f"{root}-checkpoint", once=True).awaitTermination()
+    return _json(documents.doc_price_history(jobs.ledger_pos(ledger)), "ProductID")
 
 
 # --- quality and comparison -----------------------------------------------------------------
@@ -642,6 +840,8 @@ def check_ids(spark, folder):
 def doc_diff(spark, folder):
     """The same four exports in two house styles, compared as multisets."""
     pos = _priced(spark, folder)
+    # Read by eight document sets, so written once.
+    pos = pos.with_(lines=pin(pos.lines), orders=pin(pos.orders))
     pairs = {
         "cust1.json": (documents.doc_customers(pos), documents.doc_customers(pos, "B")),
         "cust2.json": (documents.doc_customer_orders(pos), documents.doc_customer_orders(pos, "B")),
@@ -649,7 +849,36 @@ def doc_diff(spark, folder):
         "prod.json": (documents.doc_products(pos), documents.doc_products(pos, "B")),
     }
     rows = [
-        compare.dataset_diff(_json(a), _json(b)).select(F.lit(name).alias("dataset"), "*")
+        compare.typed_diff(a, b).select(F.lit(name).alias("dataset"), "*")
         for name, (a, b) in pairs.items()
     ]
     return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def compare_exports(spark, folder):
+    """Export folders of two house styles, file by file; one side lacks a file."""
+    pos, root = _priced(spark, folder), scratch_path(spark, "compare")
+    pos = pos.with_(lines=pin(pos.lines), orders=pin(pos.orders))
+    write_documents(documents.doc_customers(pos), f"{root}/left/cust1.json")
+    write_documents(documents.doc_customers(pos, "B"), f"{root}/right/cust1.json")
+    write_documents(documents.doc_products(pos), f"{root}/left/prod.json")
+    write_documents(documents.doc_products(pos, "B"), f"{root}/right/prod.json")
+    write_documents(documents.doc_orders(pos), f"{root}/left/ord.json")
+    names = ["cust1.json", "prod.json", "ord.json", "custom.json"]
+    return compare.compare_folders(spark, f"{root}/left", f"{root}/right", names)
+
+
+@query
+def same_ids_from_files(spark, folder):
+    """Whether two order files hold the same ids: with and without orders that have no lines, and a file with itself."""
+    pos, root = _pos(spark, folder), scratch_path(spark, "ids")
+    write_documents(documents.doc_orders(pos), f"{root}/ord.json")
+    write_documents(documents.doc_orders(pos, outer=True), f"{root}/all.json")
+
+    def ids(name: str) -> DataFrame:
+        return read_lines(spark, f"{root}/{name}").select(F.get_json_object("doc", "$.OrderID").cast("long").alias("OrderID"))
+
+    cases = {"itself": "ord.json", "all": "all.json"}
+    rows = [compare.same_ids(ids("ord.json"), ids(b)).select(F.lit(case).alias("case"), "same") for case, b in cases.items()]
+    return reduce(DataFrame.unionByName, rows)

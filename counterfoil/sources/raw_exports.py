@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from counterfoil.functions.cleaning import CANCELLED, NO_DATE
-from counterfoil.sources.tables import table
+from counterfoil.sources.csv import TAX_COLUMNS
+from counterfoil.sources.tables import table, tax_rates
 
 # Fixed value: added to a key to make it name nothing.
 UNKNOWN = 1_000_000_000_000
@@ -96,3 +97,21 @@ def raw_orderlines(spark: SparkSession, folder: str) -> DataFrame:
         _text("l_partkey").alias("productId"),
         _text(F.col("l_quantity").cast("int")).alias("quantity"),
     )
+
+
+def raw_tax_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide rate file; zips lack their leading zeros, only the combined rate is known."""
+    rates = tax_rates(spark, folder)
+    known = {
+        "state": F.col("state"), "zip": F.regexp_replace("zip", "^0+(?=.)", ""),
+        "taxRegionName": F.col("taxRegionName"), "estimatedCombinedRate": _text("estimatedCombinedRate"),
+    }
+    return rates.select(*[known.get(c, F.lit("")).alias(c) for c in TAX_COLUMNS])
+
+
+def write_csv(raw: DataFrame, path: str) -> str:
+    """Text columns as CSV files with a header each, quotes doubled, Windows line ends on the last column."""
+    texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in raw.columns]
+    last = F.concat(texts[-1], F.lit("\r")).alias(raw.columns[-1])
+    raw.select(*texts[:-1], last).write.options(header=True, quote='"', escape='"', emptyValue="", nullValue="").csv(path)
+    return path

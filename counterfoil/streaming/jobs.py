@@ -48,6 +48,12 @@ def create_ledger(spark: SparkSession, root: str, pos: Pos, with_views: bool = T
     return Ledger(spark, root).create(**tables)
 
 
+def _price_history(ledger: Ledger) -> DataFrame:
+    """The history the ledger began with and what finished batches logged since."""
+    began, since = ledger.table("price_history"), ledger.log("price_log")
+    return began if since is None else began.unionByName(since.select(*began.columns))
+
+
 def ledger_pos(ledger: Ledger, also: int | None = None) -> Pos:
     """The model as it stands in the ledger."""
     return Pos(
@@ -56,7 +62,7 @@ def ledger_pos(ledger: Ledger, also: int | None = None) -> Pos:
         customers=ledger.table("customers"),
         orders=ledger.table("orders", also),
         lines=ledger.table("lines", also),
-        price_history=ledger.table("price_history"),
+        price_history=_price_history(ledger),
         tax_rates=ledger.table("tax_rates"),
     )
 

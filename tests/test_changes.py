@@ -291,3 +291,40 @@ def test_new_ids_mean_something_on_updates_only(spark, priced_shop, stock):
     ]
     got = {seq: r["accepted"] for seq, r in decide(spark, pos, data).items()}
     assert got == {1: True, 2: False, 3: True, 4: True}
+
+
+def test_price_and_line_changes_of_one_feed(spark, priced_shop):
+    """Every line keeps the price of the moment it was inserted, as a walk over the feed gives it."""
+    rng = random.Random(11)
+    for _ in range(3):
+        numbers = rng.sample(range(1, 200_000), 90)
+        feed, prices = [], []
+        for seq in numbers:
+            product = rng.choice([1, 2, 3, 8])
+            if rng.random() < 0.4:
+                prices.append((product, D(rng.randrange(100, 900)), None, seq))
+            else:
+                op = rng.choice(["insert", "insert", "update", "delete"])
+                feed.append((op, seq, rng.choice([10, 11, 12, 14]), product, rng.randrange(1, 3), None, None))
+        lines = spark.createDataFrame(feed, LINE_CHANGE)
+        sets = spark.createDataFrame(prices, PRICE_CHANGE)
+        decided = ch.decide_changes(lines, priced_shop.lines, priced_shop.products, priced_shop.orders)
+        accepted = {r["seq"] for r in decided.collect() if r["accepted"]}
+        now = {r["id"]: r["currentPrice"] for r in priced_shop.products.collect()}
+        held = {(r["order_id"], r["product_id"]): (r["quantity"], r["unitPrice"]) for r in priced_shop.lines.collect()}
+        for change in sorted(feed + prices, key=lambda c: c[1] if isinstance(c[0], str) else c[3]):
+            if not isinstance(change[0], str):
+                now[change[0]] = change[1]
+                continue
+            op, seq, order, product, quantity = change[:5]
+            if seq not in accepted:
+                continue
+            if op == "delete":
+                held.pop((order, product))
+            else:
+                held[order, product] = (quantity, now[product] if op == "insert" else held[order, product][1])
+        after, _, rejected = ch.apply_events(priced_shop, lines, sets)
+        got = {(r["order_id"], r["product_id"]): (r["quantity"], r["unitPrice"]) for r in after.lines.collect()}
+        assert got == held
+        assert {r["id"]: r["currentPrice"] for r in after.products.collect()} == now
+        assert rejected.count() == len(feed) - len(accepted)

@@ -6,9 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from counterfoil.plans import registry
 
 FOLDER = os.environ.get("COUNTERFOIL_TABLES", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+# The corpus queries have their own tests, where they are present.
+QUERIES = registry.QUERIES
+ORACLE = {name: text for name, text in entry_points.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +41,21 @@ def test_query(spark, duck, name):
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == want
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+
+
+@pytest.mark.parametrize("name", ["best_customer", "top10_customers", "best_product", "unsold_products", "recall", "fraud"])
+def test_questions_build_no_documents(spark, name):
+    plan = QUERIES[f"mongo_{name}"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
+def test_typed_comparison_needs_no_python(spark):
+    plan = QUERIES["doc_diff"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 

@@ -170,3 +170,13 @@ def test_unparsed_counts(spark, exports):
     raw = csv.read_products(spark, f"{exports}/products.csv")
     checks = {"price": money(F.col("price")), "quantity_on_hand": whole_number(F.col("quantity_on_hand"))}
     assert rows(quality.unparsed_counts(raw, checks)) == [(1, 2)]
+
+
+def test_repeated_keys_leave_one_row_each(spark):
+    rates = spark.createDataFrame(
+        [("00501", "NY", 0.08), ("00501", "NY", 0.07), ("00601", None, 0.1), ("00601", "PR", 0.05), (None, "TX", 0.01)],
+        "zip string, state string, rate double",
+    )
+    assert rows(etl.one_row_per_key(rates, "zip")) == [("00501", "NY", 0.07), ("00601", None, 0.1)]
+    assert etl.one_row_per_key(rates, "zip").columns == rates.columns
+    assert etl.one_row_per_key(rates.limit(0), "zip").count() == 0
