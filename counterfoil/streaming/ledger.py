@@ -83,7 +83,8 @@ class Ledger:
 
     def images(self, table: str, batches: Sequence[int]) -> DataFrame | None:
         folder = f"{self.root}/images/{table}"
-        paths = [p for b in batches if exists(self.spark, p := f"{folder}/batch={b}")]
+        written = set(subfolders(self.spark, folder))
+        paths = [f"{folder}/batch={b}" for b in batches if f"batch={b}" in written]
         if not paths:
             return None
         return self.spark.read.option("basePath", folder).parquet(*paths)
