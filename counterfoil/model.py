@@ -40,6 +40,11 @@ LINE_CHANGE = _schema(
     op=_TEXT, seq=_LONG, order_id=_LONG, product_id=_LONG, quantity=_INT,
     new_order_id=_LONG, new_product_id=_LONG,
 )
+#: One feed of both: ``op`` is that of a line change, or price.
+EVENT = _schema(
+    op=_TEXT, seq=_LONG, order_id=_LONG, product_id=_LONG, quantity=_INT,
+    new_order_id=_LONG, new_product_id=_LONG, price=PRICE, ts=T.TimestampType(),
+)
 PRICE_CHANGE = _schema(product_id=_LONG, price=PRICE, ts=T.TimestampType(), seq=_LONG)
 
 # Declared text lengths, checked by quality.length_violations.

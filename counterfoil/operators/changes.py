@@ -163,7 +163,13 @@ def _decide_tight(rows: DataFrame, slice_rows: int) -> DataFrame:
         return _fold(rows)
     line = ["product_id", "order_id"]
     columns = rows.columns
-    sliced = pin(rows.withColumn("_chunk", block_of("seq")).join(slices, ["product_id", "_chunk"]).drop("_chunk"))
+    sliced = pin(
+        rows.withColumn("_chunk", block_of("seq"))
+        .join(slices, ["product_id", "_chunk"])
+        .drop("_chunk")
+        .repartitionByRange("_slice", "product_id", "seq"),
+        "_slice",
+    )
     decided, used, images = [], None, None
     for number in range(last + 1):
         part = sliced.where(F.col("_slice") == number).drop("_slice")

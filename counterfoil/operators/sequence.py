@@ -4,7 +4,7 @@ A plain window sorts a whole key group in one task. Here the order column, a uni
 whole number, is cut into blocks of 2**16 positions. The row-level window runs inside
 (key, block), which holds at most 65,536 rows whatever the skew of the key. What a block
 passes on to later ones is worked out the same way, over blocks of blocks, so that with
-two levels no window holds more than 65,536 rows for any positions below 2**48.
+three levels no window holds more than 65,536 rows of a key, whatever its 64-bit positions.
 
 The rows are repartitioned by (key, block) by name. Left to itself Spark keeps rows that
 a join has already brought together by key alone, and a hot key would stay in one task.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 BLOCK_BITS = 16
 BLOCK_ROWS = 1 << BLOCK_BITS
-LEVELS = 2
+LEVELS = 3
 _BLOCK = "_seq_block"
 
 

@@ -121,16 +121,17 @@ MODEL = {
     "line_feed": """
         select case event_type when 'view' then 'update' when 'error' then 'delete' else 'insert' end as op,
                event_id as seq, cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as oid, user_id as pid,
-               greatest(cast(floor(value / 25) as integer), 1) as q
+               greatest(cast(floor(value / 25) as integer), 1) as q,
+               event_id % 3 = 0 and event_type = 'view' as moved
         from events""",
-    "insert_feed": "select 'insert' as op, seq, seq as oid, pid, q from line_feed",
+    "insert_feed": "select 'insert' as op, seq, seq as oid, pid, q, false as moved from line_feed",
     "update_feed": """
         select 'update' as op, l_orderkey * 1000000000 + l_partkey as seq, l_orderkey as oid, l_partkey as pid,
-               cast(max(l_quantity) as integer) as q
+               cast(max(l_quantity) as integer) as q, false as moved
         from lineitem group by l_orderkey, l_partkey""",
     "delete_feed": """
         select distinct 'delete' as op, l_orderkey * 1000000000 + l_partkey as seq, l_orderkey as oid,
-               l_partkey as pid, 1 as q
+               l_partkey as pid, 1 as q, false as moved
         from lineitem where l_returnflag = 'R'""",
 }
 
@@ -303,11 +304,12 @@ _WALK = """
                    case when op <> 'insert' and old = 0 then 'No such line'
                         when op = 'insert' and oid not in (select id from ord) then 'No such order'
                         when op = 'insert' and old > 0 then 'Line already exists'
+                        when moved then 'Cannot change product_id or order_id in Orderline'
                         when used > 0 and used > stock then 'Not enough product quantity available' end as reason
             from (
                 select *, case op when 'delete' then -old when 'update' then q - old else q end as used
                 from (
-                    select s.pid, s.n, w.stock, w.lines, s.seq, s.op, s.oid, s.q,
+                    select s.pid, s.n, w.stock, w.lines, s.seq, s.op, s.oid, s.q, s.moved,
                            coalesce(w.lines[s.oid], 0) as old
                     from walk w join step s on s.pid = w.pid and s.n = w.n + 1
                 )
@@ -896,6 +898,8 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
         "changed_lines": _walked("line_feed", _NOW + _NOW_LINE.format(price="product.price")),
         "event_lines": _walked("line_feed", _NOW + _NOW_LINE.format(price=price_then), ["price_feed"]),
         "event_prices": texts["price_history"],
+        "stream_event_lines": _walked("line_feed", _NOW + _NOW_LINE.format(price=price_then), ["price_feed"]),
+        "stream_event_prices": texts["price_history"],
         "changed_purchases": _walked(
             "line_feed",
             _NOW

@@ -653,6 +653,32 @@ def null_subtotal_keep(spark, folder):
     return _after(spark, folder, "keep").orders.select("id", "subtotal")
 
 
+def _event_ledger(spark, folder) -> Pos:
+    """The ledger's model after the line and price feeds ran through one stream."""
+    root = scratch_path(spark, "events")
+    sets = tables.price_changes(spark, folder).withColumn("seq", F.col("seq") * 2)
+    lines = tables.line_changes(spark, folder).withColumn("seq", F.col("seq") * 2 + 1)
+    feed = lines.unionByName(sets.withColumn("op", F.lit(jobs.SET_PRICE)), allowMissingColumns=True)
+    feed.write.json(f"{root}-feed")
+    ledger = jobs.create_ledger(spark, root, _priced(spark, folder))
+    source = jobs.event_stream(spark, f"{root}-feed")
+    jobs.stream_events(spark, source, root, f"{root}-checkpoint", once=True).awaitTermination()
+    return jobs.ledger_pos(ledger)
+
+
+@query
+def stream_event_lines(spark, folder):
+    """The lines of ``event_lines``, from a stream."""
+    return _event_ledger(spark, folder).lines
+
+
+@query
+def stream_event_prices(spark, folder):
+    """The price history of ``event_prices``, from a stream."""
+    history = _event_ledger(spark, folder).price_history
+    return history.select("product_id", "oldPrice", "newPrice", F.shiftright("seq", 1).alias("seq"))
+
+
 @query
 def event_lines(spark, folder):
     """Lines after line and price changes of one feed, each at the price of the moment it was inserted."""
@@ -705,9 +731,9 @@ def stream_line_changes(spark, folder):
     pos = _priced(spark, folder)
     root = scratch_path(spark, "ledger")
     tables.line_changes(spark, folder).write.json(f"{root}-feed")
-    ledger = jobs.create_ledger(spark, root, pos)
+    ledger = jobs.create_ledger(spark, root, pos, with_views=True)
     source = jobs.line_change_stream(spark, f"{root}-feed")
-    jobs.stream_changes(spark, source, root, f"{root}-checkpoint", once=True).awaitTermination()
+    jobs.stream_changes(spark, source, root, f"{root}-checkpoint", once=True, with_views=True).awaitTermination()
     stock = ledger.table("products").select(
         F.lit("stock").alias("kind"), "id", F.col("availableQuantity").cast("string").alias("value")
     )

@@ -5,9 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_JOB: ContextVar[str | None] = ContextVar("job folder", default=None)
+
 
 def local_session(cores: str = "8", app: str = "counterfoil") -> SparkSession:
     """A session for tests and the benchmark; a cluster job brings its own."""
@@ -45,17 +50,39 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is ever overwritten."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder or the one of the job; nothing is ever overwritten."""
+    folder = _JOB.get() or shared_folder(spark)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for all scratch tables of a job, removed with them when the job ends.
+
+    For jobs that write their results inside: a DataFrame that leaves the block and still
+    reads a pinned table finds it gone.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
+    token = _JOB.set(folder)
+    try:
+        yield folder
+    finally:
+        _JOB.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, *folders: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it from there.
 
+    With ``folders`` rows lie in a folder per value of these columns, and filters on them read
+    no others.
+
     Cuts the lineage, survives the loss of executors, and lets several readers see the
     same rows, each reading only its own columns. ``checkpoint()`` would do the same but
     computes its last stage twice.
     """
     path = scratch_path(df.sparkSession, "pinned")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    return written.select(*[f"`{c}`" for c in df.columns]) if folders else written

@@ -140,7 +140,10 @@ def price_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_changes(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as a feed of order-line changes; the event type names the operation."""
+    """Events as a feed of order-line changes; the event type names the operation.
+
+    Every third change names another product; that refuses updates and means nothing to the rest.
+    """
     kind = F.col("event_type")
     op = F.when(kind == "view", "update").when(kind == "error", "delete").otherwise("insert")
     return table(spark, folder, "events").select(
@@ -150,7 +153,7 @@ def line_changes(spark: SparkSession, folder: str) -> DataFrame:
         F.col("user_id").alias("product_id"),
         F.floor(F.col("value") / 25).cast("int").alias("quantity"),
         _null("long").alias("new_order_id"),
-        _null("long").alias("new_product_id"),
+        F.when(F.col("event_id") % 3 == 0, F.col("user_id") + 1).alias("new_product_id"),
     )
 
 

@@ -1,7 +1,8 @@
 """Streams of order-line and price changes, applied micro-batch by micro-batch.
 
 Within a micro-batch changes are taken in ``seq`` order. A change older than the last one
-seen for its product is late and goes to the rejects.
+seen for its product is late and goes to the rejects. Line and price changes may share one
+feed and one ledger (``stream_events``): a line then gets the price of the moment.
 """
 
 from __future__ import annotations
@@ -11,13 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from counterfoil.model import LINE_CHANGE, PRICE_CHANGE, Pos
+from counterfoil.model import EVENT, LINE_CHANGE, PRICE, PRICE_CHANGE, Pos
 from counterfoil.operators import changes as ch
 from counterfoil.operators import prices, views
-from counterfoil.session import pin, shared_folder
+from counterfoil.session import job_scratch, pin, shared_folder
 from counterfoil.streaming.ledger import Ledger
 
 LATE = "Late change"
+#: The operation of an event that sets a price.
+SET_PRICE = "price"
+#: Batches that readers look through before they are folded into a new base.
+COMPACT_EVERY = 100
 
 
 def read_changes(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -30,8 +35,8 @@ def _no_positions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "product_id long, last_seq long")
 
 
-def create_ledger(spark: SparkSession, root: str, pos: Pos, with_views: bool = True) -> Ledger:
-    """A ledger that starts from the given tables."""
+def create_ledger(spark: SparkSession, root: str, pos: Pos, with_views: bool = False) -> Ledger:
+    """A ledger that starts from the given tables, with both views if a stream is to keep them."""
     tables = {
         "products": pos.products,
         "orders": pos.orders,
@@ -88,10 +93,13 @@ def _decide(ledger: Ledger, batch: DataFrame, number: int, pos: Pos, orders: Dat
     return decided.where("accepted")
 
 
-def _touched_pos(pos: Pos, accepted: DataFrame) -> Pos:
-    """Products and orders cut down to the touched ones, before anything is joined."""
+def _touched_pos(pos: Pos, accepted: DataFrame, priced: DataFrame | None = None) -> Pos:
+    """Products and orders cut down to the touched ones, before anything is joined; ``priced`` touches products too."""
+    products = accepted.select("product_id")
+    if priced is not None:
+        products = products.unionByName(priced.select("product_id"))
     by_id = {
-        "products": accepted.select(F.col("product_id").alias("id")).distinct(),
+        "products": products.select(F.col("product_id").alias("id")).distinct(),
         "orders": accepted.select(F.col("order_id").alias("id")).distinct(),
     }
     return pos.with_(
@@ -100,7 +108,13 @@ def _touched_pos(pos: Pos, accepted: DataFrame) -> Pos:
     )
 
 
-def apply_line_batch(ledger: Ledger, batch: DataFrame, number: int, with_views: bool = True) -> None:
+def _write_views(ledger: Ledger, number: int, touched: ch.Touched) -> None:
+    now = ledger_pos(ledger, also=number)
+    ledger.write_images("mv_product_buyers", number, views.product_rows(now, touched.products))
+    ledger.write_images("mv_customer_purchases", number, views.customer_rows(now, touched.customers))
+
+
+def apply_line_batch(ledger: Ledger, batch: DataFrame, number: int, with_views: bool = False) -> None:
     """One micro-batch of line changes: stock, lines, totals, tax and the touched view rows."""
     if ledger.is_committed(number):
         return
@@ -111,9 +125,7 @@ def apply_line_batch(ledger: Ledger, batch: DataFrame, number: int, with_views:
     ledger.write_images("orders", number, after.orders)
     ledger.write_images("lines", number, ch.line_images(accepted))
     if with_views:
-        now = ledger_pos(ledger, also=number)
-        ledger.write_images("mv_product_buyers", number, views.product_rows(now, touched.products))
-        ledger.write_images("mv_customer_purchases", number, views.customer_rows(now, touched.customers))
+        _write_views(ledger, number, touched)
     ledger.commit(number)
 
 
@@ -157,6 +169,48 @@ def apply_price_batch(ledger: Ledger, batch: DataFrame, number: int, log_unchang
     ledger.commit(number)
 
 
+def apply_event_batch(
+    ledger: Ledger, batch: DataFrame, number: int, with_views: bool = False, log_unchanged: bool = False
+) -> None:
+    """One micro-batch of line and price changes with one numbering: a line is inserted at the last price before it.
+
+    Prices that earlier batches set are the products' own; stock decisions do not depend on prices.
+    """
+    if ledger.is_committed(number):
+        return
+    pos, batch = ledger_pos(ledger), pin(batch)
+    on_time, late = _split_late(ledger, batch)
+    is_price = F.coalesce(F.col("op") == SET_PRICE, F.lit(False))
+    sets = on_time.where(is_price).select(*PRICE_CHANGE.names)
+    changes = on_time.where(~is_price).select(*LINE_CHANGE.names)
+    decided = pin(ch.decide_changes(changes, pos.lines, pos.products, pos.orders))
+    accepted = pin(ch.at_price(decided.where("accepted"), sets))
+    after, touched = ch.apply_changes(_touched_pos(pos, accepted, sets), accepted)
+    products, history = prices.apply_price_changes(after.products, sets, log_unchanged)
+    ledger.write_images("decisions", number, decided)
+    ledger.write_images("products", number, products)
+    ledger.write_images("price_log", number, history)
+    ledger.write_images("orders", number, after.orders)
+    ledger.write_images("lines", number, ch.line_images(accepted))
+
+    refusal = ["op", "seq", "order_id", "product_id", "quantity", "price", "reason"]
+    known = pos.products.select(F.col("id").alias("product_id"))
+    unknown = on_time.where(is_price).join(known, "product_id", "left_anti")
+    refused = decided.where(~F.col("accepted")).withColumn("price", F.lit(None).cast(PRICE))
+    ledger.write_images(
+        "rejected",
+        number,
+        refused.select(*refusal)
+        .unionByName(late.withColumn("reason", F.lit(LATE)).select(*refusal))
+        .unionByName(unknown.withColumn("reason", F.lit(ch.NO_PRODUCT)).select(*refusal)),
+    )
+    formed = on_time.where(F.col("op").isin("insert", "update", "delete", SET_PRICE))
+    ledger.write_images("positions", number, formed.groupBy("product_id").agg(F.max("seq").alias("last_seq")))
+    if with_views:
+        _write_views(ledger, number, touched)
+    ledger.commit(number)
+
+
 def _start(
     source: DataFrame, ledger: Ledger, kind: str, step, checkpoint: str, once: bool, compact_every: int | None
 ) -> StreamingQuery:
@@ -164,7 +218,9 @@ def _start(
     ledger.claim(kind, checkpoint)
 
     def apply(batch: DataFrame, number: int) -> None:
-        step(batch, number)
+        # All that a batch leaves is in the ledger; its scratch tables go.
+        with job_scratch(ledger.spark):
+            step(batch, number)
         if compact_every and len(ledger.committed()) >= compact_every:
             ledger.compact()
 
@@ -178,8 +234,8 @@ def stream_changes(
     root: str,
     checkpoint: str,
     once: bool = False,
-    with_views: bool = True,
-    compact_every: int | None = None,
+    with_views: bool = False,
+    compact_every: int | None = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Apply a stream of line changes to the ledger at ``root``."""
     ledger = Ledger(spark, root)
@@ -187,13 +243,29 @@ def stream_changes(
     return _start(source, ledger, "changes", step, checkpoint, once, compact_every)
 
 
+def stream_events(
+    spark: SparkSession,
+    source: DataFrame,
+    root: str,
+    checkpoint: str,
+    once: bool = False,
+    with_views: bool = False,
+    log_unchanged: bool = False,
+    compact_every: int | None = COMPACT_EVERY,
+) -> StreamingQuery:
+    """Apply one stream of line and price changes (``model.EVENT``) to the ledger at ``root``."""
+    ledger = Ledger(spark, root)
+    step = lambda df, n: apply_event_batch(ledger, df, n, with_views, log_unchanged)
+    return _start(source, ledger, "events", step, checkpoint, once, compact_every)
+
+
 def stream_stock_guard(
     spark: SparkSession,
     source: DataFrame,
     root: str,
     checkpoint: str,
     once: bool = False,
-    compact_every: int | None = None,
+    compact_every: int | None = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Accept or reject a stream of line changes by stock; see the ledger's ``decisions`` log."""
     ledger = Ledger(spark, root)
@@ -208,7 +280,7 @@ def stream_prices(
     checkpoint: str,
     once: bool = False,
     log_unchanged: bool = False,
-    compact_every: int | None = None,
+    compact_every: int | None = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Log a stream of price changes and keep the last price of every product."""
     ledger = Ledger(spark, root)
@@ -220,5 +292,9 @@ def line_change_stream(spark: SparkSession, path: str, files_per_batch: int | No
     return read_changes(spark, path, LINE_CHANGE, files_per_batch)
 
 
+def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    return read_changes(spark, path, EVENT, files_per_batch)
+
+
 def price_change_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     return read_changes(spark, path, PRICE_CHANGE, files_per_batch)

@@ -1,11 +1,15 @@
+import datetime as dt
 import json
 import os
+import random
 import time
 from decimal import Decimal as D
 
 import pytest
 
+from counterfoil.operators import changes as ch
 from counterfoil.operators import views
+from counterfoil.session import job_scratch, pin
 from counterfoil.streaming import jobs
 from tests.conftest import rows
 from tests.test_changes import FEED
@@ -35,8 +39,8 @@ def run(spark, start, source_path, root, make_source, **options):
 def test_line_stream_equals_one_batch(spark, priced_shop, tmp_path):
     feed, root = f"{tmp_path}/feed", f"{tmp_path}/ledger"
     line_files(feed, [(0, 4), (4, 9)])
-    ledger = jobs.create_ledger(spark, root, priced_shop)
-    run(spark, jobs.stream_changes, feed, root, jobs.line_change_stream)
+    ledger = jobs.create_ledger(spark, root, priced_shop, with_views=True)
+    run(spark, jobs.stream_changes, feed, root, jobs.line_change_stream, with_views=True)
     assert ledger.committed() == [0, 1]
     now = jobs.ledger_pos(ledger)
     stock = {r["id"]: r["availableQuantity"] for r in now.products.collect()}
@@ -50,7 +54,7 @@ def test_line_stream_equals_one_batch(spark, priced_shop, tmp_path):
     # A late change is refused; a batch that was done already changes nothing.
     late = [dict(zip(NAMES, ("insert", 3, 14, 1, 1, None, None))), dict(zip(NAMES, ("insert", 20, 14, 1, 1, None, None)))]
     drop(feed, "f9", late, int(time.time()))
-    run(spark, jobs.stream_changes, feed, root, jobs.line_change_stream)
+    run(spark, jobs.stream_changes, feed, root, jobs.line_change_stream, with_views=True)
     assert rows(ledger.log("rejected").where("batch = 2").select("seq", "reason")) == [(3, jobs.LATE)]
     before = rows(ledger.table("products"))
     jobs.apply_line_batch(ledger, ledger.log("decisions"), 2)
@@ -125,3 +129,61 @@ def test_malformed_changes_make_nothing_late(spark, shop, tmp_path):
     jobs.apply_guard_batch(ledger, spark.createDataFrame([("drop", 900, 10, 3, 1, None, None)], jobs.LINE_CHANGE), 0)
     jobs.apply_guard_batch(ledger, spark.createDataFrame([("insert", 5, 10, 3, 1, None, None)], jobs.LINE_CHANGE), 1)
     assert {r["seq"]: r["accepted"] for r in ledger.log("decisions").collect()} == {900: False, 5: True}
+
+
+def test_event_stream_equals_one_batch(spark, priced_shop, tmp_path):
+    """Line and price changes of one feed, cut into three micro-batches."""
+    rng = random.Random(5)
+    lines, sets = [], []
+    for seq in range(1, 61):
+        product = rng.choice([1, 2, 3, 8])
+        if rng.random() < 0.4:
+            sets.append((product, D(rng.randrange(100, 900)), dt.datetime(2024, 3, 1, 10, 0, seq % 60), seq))
+        else:
+            op = rng.choice(["insert", "insert", "update", "delete"])
+            lines.append((op, seq, rng.choice([10, 11, 12, 14]), product, rng.randrange(1, 3), None, None))
+    sets.append((99, D(7), None, 61))
+    records = [dict(zip(NAMES, row)) for row in lines]
+    records += [{"op": "price", "product_id": p, "price": float(v), "ts": t and t.isoformat(), "seq": s} for p, v, t, s in sets]
+    records.sort(key=lambda r: r["seq"])
+    feed, root, now = f"{tmp_path}/feed", f"{tmp_path}/ledger", int(time.time()) - 1000
+    for n in range(3):
+        drop(feed, f"f{n}", records[n * 21 : (n + 1) * 21], now + 10 * n)
+    ledger = jobs.create_ledger(spark, root, priced_shop, with_views=True)
+    run(spark, jobs.stream_events, feed, root, jobs.event_stream, with_views=True)
+    assert ledger.committed() == [0, 1, 2]
+
+    after, _, rejected = ch.apply_events(
+        priced_shop, spark.createDataFrame(lines, jobs.LINE_CHANGE), spark.createDataFrame(sets, jobs.PRICE_CHANGE)
+    )
+    got = jobs.ledger_pos(ledger)
+    for table in ("lines", "products", "orders"):
+        columns = getattr(after, table).columns
+        assert rows(getattr(got, table).select(*columns)) == rows(getattr(after, table))
+    steps = ("product_id", "oldPrice", "newPrice", "seq")
+    assert rows(got.price_history.select(*steps)) == rows(after.price_history.select(*steps))
+    refused = rows(ledger.log("rejected").select("seq", "reason"))
+    assert refused == sorted([*rows(rejected.select("seq", "reason")), (61, "No such product")], key=repr)
+    assert rows(ledger.table("mv_product_buyers")) == rows(views.product_buyers(got))
+
+    # Prices are late like line changes; the views and prices stay.
+    drop(feed, "f9", [{"op": "price", "product_id": 1, "price": 1.0, "seq": 1}], int(time.time()))
+    run(spark, jobs.stream_events, feed, root, jobs.event_stream, with_views=True)
+    assert rows(ledger.log("rejected").where("batch = 3").select("seq", "reason")) == [(1, jobs.LATE)]
+    assert rows(ledger.table("products")) == rows(got.products)
+
+
+def test_scratch_tables_of_a_job_go_with_it(spark):
+    with job_scratch(spark) as folder:
+        pinned = pin(spark.range(5))
+        path = pinned.inputFiles()[0].removeprefix("file:").replace("//", "")
+        assert pinned.count() == 5 and os.path.exists(path) and os.path.basename(folder) in path
+    assert not os.path.exists(path)
+    kept = pin(spark.range(3))
+    assert kept.count() == 3
+
+
+def test_a_table_pinned_by_folders_keeps_its_rows(spark):
+    df = spark.range(10).selectExpr("id % 3 as part", "id")
+    pinned = pin(df, "part")
+    assert pinned.columns == ["part", "id"] and rows(pinned) == rows(df)
