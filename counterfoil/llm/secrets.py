@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from counterfoil.session import scratch_path
 
@@ -77,7 +78,8 @@ def _pieces(text: Column, rule: Rule) -> Column:
 
 def create_ledger(spark: SparkSession, path: str) -> str:
     """An empty ledger; fails if there is one."""
-    spark.createDataFrame([], LEDGER).write.mode("errorifexists").parquet(path)
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(LEDGER)]
+    spark.range(0).select(*nothing).write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -95,7 +97,8 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> D
         .agg(F.first("text").alias("text"))
     )
     version = {r.kind: r.version for r in rules}
-    wanted = spark.createDataFrame(list(version.items()), "rule string, version int")
+    pairs = [F.struct(F.lit(kind).alias("rule"), F.lit(number).alias("version")) for kind, number in version.items()]
+    wanted = spark.range(1).select(F.inline(F.array(*pairs)))
     known = (
         spark.read.schema(LEDGER)
         .parquet(ledger)
