@@ -2,9 +2,11 @@
 
 A zstandard dictionary is built from labelled good text and another from bad. A text is
 compressed whole with both; the difference of the two sizes, over the larger, says which
-it resembles. A logistic curve over that difference and the logarithm of the compression
-ratio (at a high ratio both sizes are small and the difference says little) turns it into
-a probability; it is fitted on labelled rows that built no dictionary.
+it resembles. A dictionary helps the start of what it compresses only, so a text goes in
+blocks of the length that dictionaries are built from, each with a fresh dictionary, and
+the sizes are summed. A logistic curve over that difference and the logarithm of the
+compression ratio (at a high ratio both sizes are small and the difference says little)
+turns it into a probability; it is fitted on whole labelled texts that built no dictionary.
 """
 
 from __future__ import annotations
@@ -23,9 +25,11 @@ from pyspark.sql import functions as F
 
 from counterfoil.llm.common import held_out, learnable
 
-#: The sample: texts per label, and the first characters of each that are learned from.
+#: The sample: texts per label, the first characters of each that dictionaries are built from, and
+#: the characters of a block. The curve is fitted on whole texts.
 SAMPLE_TEXTS = 1024
 SAMPLE_CHARS = 6000
+BLOCK_CHARS = SAMPLE_CHARS
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
 THRESHOLD = 0.3
@@ -49,9 +53,14 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 
 def measures(text: str | None, good: bytes, bad: bytes) -> tuple[float, float]:
     """Normalised size difference (above 0: good text helps more) and logarithm of the compression ratio."""
-    raw = (text or "").encode("utf-8", "replace")
-    as_good, as_bad = len(_compressor(good).compress(raw)), len(_compressor(bad).compress(raw))
-    return (as_bad - as_good) / max(as_good, as_bad), math.log((min(as_good, as_bad) + 16) / (len(raw) + 16))
+    text = text or ""
+    size = as_good = as_bad = 0
+    for at in range(0, len(text) or 1, BLOCK_CHARS):
+        raw = text[at : at + BLOCK_CHARS].encode("utf-8", "replace")
+        size += len(raw)
+        as_good += len(_compressor(good).compress(raw))
+        as_bad += len(_compressor(bad).compress(raw))
+    return (as_bad - as_good) / max(as_good, as_bad), math.log((min(as_good, as_bad) + 16) / (size + 16))
 
 
 def probability(text: str | None, model: QualityModel) -> float:
@@ -71,17 +80,10 @@ def _dictionary(texts: list[str]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:] or b" "
 
 
-def fit(good: list[str], bad: list[str], good_rows: int, bad_rows: int) -> QualityModel:
-    """``good`` and ``bad`` are samples without order; the counts say how common the labels are."""
-    if not good or not bad:
-        share = (good_rows + 0.5) / (good_rows + bad_rows + 1)
-        return QualityModel(None, None, (math.log(share / (1 - share)), 0.0, 0.0))
-    halves = [(g[::2], g[1::2] or g) for g in (good, bad)]
-    built = [_dictionary(first) for first, _ in halves]
-    points = np.array([measures(t, *built) for _, rest in halves for t in rest])
-    label = np.repeat([1.0, 0.0], [len(rest) for _, rest in halves])
+def fit(built: tuple[bytes, bytes], points: np.ndarray, label: np.ndarray, rows: dict[int, int]) -> QualityModel:
+    """The curve over ``points``, the measures of texts with these labels; ``rows`` says how common the labels are."""
     # Each label weighs as much as it has rows, so that scores are probabilities.
-    weight = np.where(label == 1, good_rows / label.sum(), bad_rows / (1 - label).sum())
+    weight = np.where(label == 1, rows[1] / label.sum(), rows[0] / (1 - label).sum())
     weight *= len(label) / weight.sum()
     middle, spread = points.mean(axis=0), points.std(axis=0) + 1e-9
     inputs = np.column_stack([np.ones(len(points)), (points - middle) / spread])
@@ -97,8 +99,8 @@ def fit(good: list[str], bad: list[str], good_rows: int, bad_rows: int) -> Quali
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, texts: int = SAMPLE_TEXTS
-) -> tuple[dict[int, list[str]], dict[int, int]]:
-    """Different texts per label, and the number of labelled rows of each.
+) -> tuple[dict[int, list[tuple[str, int]]], dict[int, int]]:
+    """Different beginnings per label with a doc_id of each, and the number of labelled rows of each.
 
     Ids are chosen from ``labels`` alone: hashes fall into ``texts`` classes, of each label
     and class the smallest is taken. At most 2 * ``texts`` beginnings reach the driver.
@@ -118,23 +120,56 @@ def labelled_sample(
         rows[part["quality"]] = rows.get(part["quality"], 0) + part["n"]
         label.setdefault(part["doc_id"], part["quality"])
     chosen = docs.sparkSession.createDataFrame([(i, q) for i, q in label.items()], "doc_id long, quality int")
-    texts_of = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").substr(1, SAMPLE_CHARS).alias("text"))
+    least = _texts_of(docs, chosen).groupBy("doc_id", "quality").agg(F.min("start").alias("start"))
+    found: dict[int, dict[str, int]] = {0: {}, 1: {}}
+    for row in sorted(least.collect()):
+        found[row["quality"]].setdefault(row["start"], row["doc_id"])
+    # In the order of a hash, so that neighbours of the alphabet do not share a half.
+    order = {q: sorted(ts, key=lambda t: (zlib.crc32(t.encode("utf-8", "replace")), t)) for q, ts in found.items()}
+    return {q: [(t, found[q][t]) for t in ts] for q, ts in order.items()}, rows
+
+
+def _texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows with text of the ids in ``chosen`` (doc_id, quality), with their beginnings."""
+    return (
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .filter(F.length("text") > 0)
         .join(F.broadcast(chosen), "doc_id")  # 2 * texts rows at most
+        .withColumn("start", F.col("text").substr(1, SAMPLE_CHARS))
+    )
+
+
+def whole_measures(docs: DataFrame, label: dict[int, int], built: tuple[bytes, bytes]) -> pd.DataFrame:
+    """doc_id, quality, difference and ratio of the whole text of each id; texts are measured where they lie.
+
+    Of an id's texts it is the one whose beginning the sample has, as far as the beginning tells.
+    """
+    chosen = docs.sparkSession.createDataFrame(sorted(label.items()), "doc_id long, quality int")
+
+    @F.pandas_udf("difference double, ratio double")
+    def measured(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in texts:
+            yield pd.DataFrame([measures(t, *built) for t in batch], columns=["difference", "ratio"], dtype="float64")
+
+    least = (
+        _texts_of(docs, chosen)
+        .select("doc_id", "quality", "start", measured("text").alias("of"))
         .groupBy("doc_id", "quality")
-        .agg(F.min("text").alias("text"))
+        .agg(F.min(F.struct("start", "of.difference", "of.ratio")).alias("least"))
+        .select("doc_id", "quality", "least.difference", "least.ratio")
     )
-    found: dict[int, set[str]] = {0: set(), 1: set()}
-    for row in texts_of.collect():
-        found[row["quality"]].add(row["text"])
-    # In the order of a hash, so that neighbours of the alphabet do not share a half.
-    return {q: sorted(ts, key=lambda t: (zlib.crc32(t.encode("utf-8", "replace")), t)) for q, ts in found.items()}, rows
+    return pd.DataFrame([tuple(r) for r in sorted(least.collect())], columns=least.columns)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> QualityModel:
     texts, rows = labelled_sample(docs, labels)
-    return fit(texts[1], texts[0], rows.get(1, 0), rows.get(0, 0))
+    if not texts[0] or not texts[1]:
+        share = (rows.get(1, 0) + 0.5) / (rows.get(0, 0) + rows.get(1, 0) + 1)
+        return QualityModel(None, None, (math.log(share / (1 - share)), 0.0, 0.0))
+    built = (_dictionary([t for t, _ in texts[1][::2]]), _dictionary([t for t, _ in texts[0][::2]]))
+    rest = {doc_id: q for q in (1, 0) for _, doc_id in texts[q][1::2] or texts[q]}
+    points = whole_measures(docs, rest, built)
+    return fit(built, points[["difference", "ratio"]].to_numpy(), points["quality"].to_numpy(dtype="float64"), rows)
 
 
 def quality_score(text: str | Column, model: QualityModel) -> Column:

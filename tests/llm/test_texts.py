@@ -224,3 +224,28 @@ def test_classifier_edges(spark):
     assert {r["score"] for r in none} == {0.5}
     assert quality_classifier.score_quality(docs.limit(0), labels).collect() == []
     assert quality_classifier.keep_good(docs, labels.limit(0)).count() == 7
+
+
+def test_classifier_judges_long_texts_as_it_judges_short_ones(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels").select("doc_id", "quality")
+    model = quality_classifier.train(docs.select("doc_id", "text"), labels)
+    rows = docs.join(labels, "doc_id").filter("text != '' and crc32(cast(doc_id as string)) % 5 = 0").collect()
+    for quality in (1, 0):
+        texts = sorted(r["text"] for r in rows if r["lang"] == "en" and r["quality"] == quality)
+        joined = "\n".join(texts)
+        start = quality_classifier.probability(joined[:6000], model)
+        assert (start >= quality_classifier.THRESHOLD) == (quality == 1)
+        for whole in ("\n".join([joined[:6000]] * 170), "\n".join([joined] * (1 + 1_000_000 // len(joined)))):
+            score = quality_classifier.probability(whole, model)
+            assert (score >= quality_classifier.THRESHOLD) == (quality == 1) and len(whole) > 1_000_000
+
+
+def test_classifier_curve_sees_whole_texts(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] * 20 for r in docs.collect() if r["text"]}
+    long = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    built = (b"some good words " * 20, b"# $ % bad bad " * 20)
+    points = quality_classifier.whole_measures(long, dict.fromkeys(texts, 1), built)
+    got = {r.doc_id: (r.difference, r.ratio) for r in points.itertuples()}
+    assert got == {i: quality_classifier.measures(t, *built) for i, t in texts.items()}
