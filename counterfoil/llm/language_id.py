@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,13 +31,13 @@ SAMPLE_TEXTS = 96
 SAMPLE_CHARS = 2048
 SAMPLE_SYMBOLS = 40_000
 ALL_SYMBOLS = 640_000
-#: Letters that get a symbol of their own, by frequency in the sample; the rest never match.
-LETTERS = 120
 PIECE = 512
+#: Symbols of a gap and of letters that no sample holds; each other letter has its own.
 GAP, OTHER = 0, 1
 UNKNOWN = "und"
 ANSWER = "lang_pred string, score double"
 _END = 0x110000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(maxsize=1)
@@ -61,8 +60,47 @@ def letters(text: str) -> np.ndarray:
     return points[: -1 if len(points) and points[-1] == 0 else None][1 if len(points) and points[0] == 0 else 0 :]
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Transitions, a row of ``alphabet`` per state, 0 where there is none; state 0 is the empty string."""
+class Moves:
+    """Transitions of an automaton by state * alphabet + symbol, in a hash table at most half full."""
+
+    def __init__(self, keys: np.ndarray, to: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.to = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits, dtype=np.int32)
+        place = self._places(keys)
+        while len(keys):
+            free = self.keys[place] == -1
+            self.keys[place[free]] = keys[free]
+            put = self.keys[place] == keys
+            self.to[place[put]] = to[put]
+            keys, to, place = keys[~put], to[~put], (place[~put] + 1) & self.last
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        places = keys.view(np.uint64) * _MIX
+        places >>= self.shift
+        return places.view(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The next states, 0 where there is no transition."""
+        place = self._places(keys)
+        found = self.keys.take(place)
+        to = self.to.take(place).astype(np.int64)
+        other = np.flatnonzero(found != keys)
+        to[other] = 0
+        other = other[found[other] != -1]
+        place = place[other]
+        while len(other):
+            place = (place + 1) & self.last
+            found = self.keys.take(place)
+            same = found == keys[other]
+            to[other[same]] = self.to.take(place[same])
+            on = np.flatnonzero(~same & (found != -1))
+            other, place = other[on], place[on]
+        return to
+
+
+def suffix_automaton(symbols: list[int], alphabet: int) -> Moves:
+    """Its transitions; state 0 is the empty string, to which none leads."""
     moves: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for s in symbols:
@@ -88,11 +126,8 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     moves[p][s] = copy
                     p = link[p]
         last = new
-    table = np.zeros((len(moves), alphabet), dtype=np.int32)
-    for state, out in enumerate(moves):
-        for s, to in out.items():
-            table[state, s] = to
-    return table
+    keys = [state * alphabet + s for state, out in enumerate(moves) for s in out]
+    return Moves(np.array(keys, dtype=np.int64), np.array([to for out in moves for to in out.values()], dtype=np.int32))
 
 
 class Model:
@@ -116,27 +151,22 @@ class Model:
             if parts:
                 learned[lang] = np.concatenate(parts)
         self.langs = sorted(learned)
-        counts: Counter = Counter()
-        for points in learned.values():
-            counts.update(points[points != 0].tolist())
-        kept = sorted(counts, key=lambda p: (-counts[p], p))[:LETTERS]
+        kept = np.unique(np.concatenate([np.zeros(1, np.uint32), *learned.values()]))[1:]
         self.alphabet = len(kept) + 2
-        self.code = np.full(_END, OTHER, dtype=np.uint8)
+        self.code = np.full(_END, OTHER, dtype=np.int32)
         self.code[0] = GAP
-        for place, point in enumerate(kept):
-            self.code[point] = place + 2
-        self.moves, self.bits = [], []
+        self.code[kept] = np.arange(len(kept)) + 2
+        self.moves, self.starts, self.bits = [], [], []
         for lang in self.langs:
-            symbols = [s if s != OTHER else -1 for s in self.code[learned[lang]].tolist()]
-            table = suffix_automaton([s if s >= 0 else OTHER for s in symbols], self.alphabet)
-            table[:, OTHER] = 0
-            self.moves.append(table.reshape(-1))
-            self.bits.append(math.log2(len(symbols) + 1))
+            moves = suffix_automaton(self.code[learned[lang]].tolist(), self.alphabet)
+            self.moves.append(moves)
+            self.starts.append(moves.of(np.arange(self.alphabet)))
+            self.bits.append(math.log2(len(learned[lang]) + 1))
 
     def phrases(self, pieces: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each piece and language; ``pieces`` has a column per piece, longest first."""
         found = np.zeros((len(self.langs), pieces.shape[1]), dtype=np.int64)
-        for at, moves in enumerate(self.moves):
+        for at, (moves, start) in enumerate(zip(self.moves, self.starts)):
             state = np.zeros(pieces.shape[1], dtype=np.int64)
             count = found[at]
             live = pieces.shape[1]
@@ -145,12 +175,12 @@ class Model:
                     live -= 1
                 symbol = pieces[step, :live].astype(np.int64)
                 here = state[:live]
-                to = moves.take(here * self.alphabet + symbol).astype(np.int64)
+                to = moves.of(here * self.alphabet + symbol)
                 stuck = np.flatnonzero(to == 0)
                 if len(stuck):
                     # The phrase ends here and the next begins with this symbol; a symbol that the
                     # sample lacks is a phrase of its own.
-                    again = moves.take(symbol[stuck])
+                    again = start.take(symbol[stuck])
                     count[stuck] += (here[stuck] != 0).astype(np.int64) + (again == 0)
                     to[stuck] = again
                 state[:live] = to

@@ -145,6 +145,34 @@ def test_language_edges(spark):
     assert language_id.identify(docs.limit(0)).collect() == []
 
 
+def test_languages_with_many_letters():
+    import random
+
+    # Words of as many letters as Chinese and Korean have, among languages with alphabets.
+    rng = random.Random(5)
+    kinds = {"ko": (0xAC00, 1500), "zh": (0x4E00, 2500), "xx": (0x61, 26), "yy": (0x430, 32), "zz": (0x5D0, 27)}
+    words = {
+        lang: ["".join(chr(first + rng.randrange(many)) for _ in range(rng.randint(1, 4))) for _ in range(800)]
+        for lang, (first, many) in kinds.items()
+    }
+    sizes = {"ko": 2500, "zh": 2500, "xx": 1200, "yy": 4000, "zz": 4000}
+    model = language_id.Model({lang: [" ".join(rng.choices(words[lang], k=sizes[lang]))] for lang in kinds})
+    held = [(lang, " ".join(rng.choices(words[lang], k=60))) for lang in kinds for _ in range(20)]
+    answers = model.scored([t for _, t in held])
+    assert [lang for lang, _ in answers] == [lang for lang, _ in held]
+
+
+def test_moves_are_exact():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 10**10, 5000))
+    moves = language_id.Moves(keys, np.arange(1, len(keys) + 1, dtype=np.int32))
+    asked = np.concatenate([keys, rng.integers(0, 10**10, 5000)])
+    known = dict(zip(keys.tolist(), range(1, len(keys) + 1)))
+    assert moves.of(asked).tolist() == [known.get(k, 0) for k in asked.tolist()]
+
+
 # ---- rules
 
 
