@@ -25,12 +25,11 @@ from pyspark.sql import functions as F
 from counterfoil.llm.common import held_out, learnable
 from counterfoil.session import pin
 
-#: The sample: texts per language, their first characters that are sent, symbols per language
-#: and over all languages. Nothing else is bounded.
+#: The sample: texts per language, their first characters that are sent, and symbols per language,
+#: however many languages there are. Nothing else is bounded.
 SAMPLE_TEXTS = 96
 SAMPLE_CHARS = 2048
 SAMPLE_SYMBOLS = 40_000
-ALL_SYMBOLS = 640_000
 PIECE = 512
 #: Symbols of a gap and of letters that no sample holds; each other letter has its own.
 GAP, OTHER = 0, 1
@@ -134,13 +133,12 @@ class Model:
     """Automata of all languages over one alphabet."""
 
     def __init__(self, samples: dict[str, list[str]]):
-        each = max(1000, min(SAMPLE_SYMBOLS, ALL_SYMBOLS // max(1, len(samples))))
         learned = {}
         for lang in sorted(samples):
             # In turn from all texts, so that a long one does not fill the sample.
             texts = [t for t in (letters(t) for t in samples[lang]) if len(t)]
-            share = max(1, each // max(1, len(texts)))
-            spare = each
+            share = max(1, SAMPLE_SYMBOLS // max(1, len(texts)))
+            spare = SAMPLE_SYMBOLS
             parts = []
             for text in sorted(texts, key=len):
                 share = max(share, spare // max(1, len(texts) - len(parts)))

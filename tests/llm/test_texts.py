@@ -1,5 +1,6 @@
 """Token counts, language, rules, classifier and codec against libraries and plain versions."""
 
+import math
 import re
 import zlib
 
@@ -162,6 +163,13 @@ def test_languages_with_many_letters():
     assert [lang for lang, _ in answers] == [lang for lang, _ in held]
 
 
+def test_sample_of_a_language_does_not_depend_on_the_others():
+    text = "".join(chr(0x61 + (k * k * 7 + k // 3) % 26) for k in range(9000))
+    alone = language_id.Model({"a": [text]})
+    many = language_id.Model({"a": [text]} | {f"b{k:03}": ["x y z"] for k in range(100)})
+    assert many.bits[0] == alone.bits[0] == pytest.approx(math.log2(9002))
+
+
 def test_moves_are_exact():
     import numpy as np
 
