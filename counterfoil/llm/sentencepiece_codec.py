@@ -6,8 +6,8 @@ become merges, best first. Batches are encoded by the library's threads.
 
 A text is cut where no piece of the vocabulary reaches over the cut. Each distinct chunk
 of a batch is encoded once, its identifiers are compared with those of the sentencepiece
-library and decoded again, and texts are put together from chunks. Where the two
-libraries differ, sentencepiece's identifiers are taken and ``parity`` is false.
+library and decoded again, and texts are put together from chunks. Identifiers are those
+of the rebuilt tokenizer; where the two libraries differ ``parity`` is false.
 """
 
 from __future__ import annotations
@@ -116,11 +116,11 @@ class Codec:
 
     def _encoded(self, parts: list[str]) -> dict[str, bytes]:
         found = {}
+        encoded = [e.ids for e in self.ours.encode_batch_fast(parts, add_special_tokens=False)]
         theirs = self.theirs.encode(parts, num_threads=1)
-        back = self.ours.decode_batch(theirs, skip_special_tokens=False)
-        encoded = self.ours.encode_batch_fast(parts, add_special_tokens=False)
-        for part, ours, ids, text in zip(parts, encoded, theirs, back):
-            agree, same = ours.ids == ids, text == part
+        back = self.ours.decode_batch(encoded, skip_special_tokens=False)
+        for part, ids, other, text in zip(parts, encoded, theirs, back):
+            agree, same = ids == other, text == part
             if not (agree and same):
                 self.odd[part] = (agree, same)
             found[part] = array("i", ids).tobytes()

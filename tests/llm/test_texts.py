@@ -83,6 +83,18 @@ def test_codec_of_all_documents(spark, processor):
         assert list(row["ids"]) == processor.encode(texts[row["doc_id"]] or "") and row["parity"] and row["round_trip"]
 
 
+def test_ids_are_those_of_the_rebuilt_tokenizer():
+    codec = sentencepiece_codec.Codec(piece_model())
+    proto = sentencepiece_codec.parse(piece_model())
+    proto.normalizer_spec.add_dummy_prefix = False
+    for piece in proto.pieces:
+        piece.score = -piece.score
+    codec.ours = sentencepiece_codec.build(proto.SerializeToString())  # wrong merges
+    ids, parity, _ = codec.encode(["hello", ""])
+    assert list(memoryview(ids[0]).cast("i")) == codec.ours.encode(" hello", add_special_tokens=False).ids
+    assert parity == [False, True] and ids[1] == b""
+
+
 def test_unigram_model_keeps_its_scores():
     proto = sentencepiece_codec.parse(piece_model())
     proto.trainer_spec.model_type = sentencepiece_codec.UNIGRAM
