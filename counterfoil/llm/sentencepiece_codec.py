@@ -6,8 +6,9 @@ become merges, best first. Batches are encoded by the library's threads.
 
 A text is cut where no piece of the vocabulary reaches over the cut. Each distinct chunk
 of a batch is encoded once, its identifiers are compared with those of the sentencepiece
-library and decoded again, and texts are put together from chunks. Identifiers are those
-of the rebuilt tokenizer; where the two libraries differ ``parity`` is false.
+library, and texts are put together from chunks. Identifiers are those of the rebuilt
+tokenizer; where the two libraries differ ``parity`` is false. The identifiers of each
+text are decoded whole; ``round_trip`` says whether that gives the text back.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ NORMAL, CONTROL, USER_DEFINED = 1, 3, 4
 #: Chunks that a Python worker remembers, twice this many at most, and the longest of them.
 REMEMBERED = 250_000
 LONGEST = 64
+#: Identifiers that are decoded at a time, but one text at least.
+DECODED = 250_000
 
 
 def parse(model: bytes) -> sentencepiece_model_pb2.ModelProto:
@@ -96,7 +99,7 @@ def crosses_no_mark(proto) -> bool:
 class Codec:
     """Encodes and decodes whole texts; remembers the identifiers, as bytes, of recent short chunks.
 
-    ``odd`` holds the chunks, of those remembered, on which the libraries differ or that do not decode back.
+    ``odd`` holds the chunks, of those remembered, on which the libraries differ.
     """
 
     def __init__(self, model: bytes):
@@ -112,17 +115,15 @@ class Codec:
         self.ours, self.theirs = build(inner), sentencepiece.SentencePieceProcessor(model_proto=inner)
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.odd: dict[str, tuple[bool, bool]] = {}
+        self.odd: set[str] = set()
 
     def _encoded(self, parts: list[str]) -> dict[str, bytes]:
         found = {}
         encoded = [e.ids for e in self.ours.encode_batch_fast(parts, add_special_tokens=False)]
         theirs = self.theirs.encode(parts, num_threads=1)
-        back = self.ours.decode_batch(encoded, skip_special_tokens=False)
-        for part, ids, other, text in zip(parts, encoded, theirs, back):
-            agree, same = ids == other, text == part
-            if not (agree and same):
-                self.odd[part] = (agree, same)
+        for part, ids, other in zip(parts, encoded, theirs):
+            if ids != other:
+                self.odd.add(part)
             found[part] = array("i", ids).tobytes()
         return found
 
@@ -134,19 +135,28 @@ class Codec:
         cut = [(self.cut(marked(t)) if self.marks else [t]) if t else [] for t in texts]
         if len(self.parts) > REMEMBERED:
             self.older, self.parts = self.parts, {}
-            self.odd = {p: o for p, o in self.odd.items() if p in self.older}
+            self.odd.intersection_update(self.older)
         missing = set().union(*cut).difference(self.parts)
         self.parts.update((p, self.older[p]) for p in missing.intersection(self.older))
         self.parts.update(self._encoded(list(missing.difference(self.older))))
         ids = [b"".join(map(self.parts.__getitem__, parts)) for parts in cut]
         odd = self.odd
-        parity = [all(odd[p][0] for p in parts if p in odd) if odd else True for parts in cut]
-        same = [all(odd[p][1] for p in parts if p in odd) if odd else True for parts in cut]
-        if self.marks:
-            same = [s and MARK not in (t or "") for s, t in zip(same, texts)]
+        parity = [odd.isdisjoint(parts) if odd else True for parts in cut]
+        del cut
         for part in [p for p in missing if len(p) > LONGEST]:
             del self.parts[part]
-        return ids, parity, same
+        return ids, parity, self._given_back(texts, ids)
+
+    def _given_back(self, texts: list[str | None], ids: list[bytes]) -> list[bool]:
+        """Whether the identifiers of a text, decoded whole, are the text."""
+        same, some, size = [], [], 0
+        for at, coded in enumerate(ids):
+            some.append(memoryview(coded).cast("i").tolist())
+            size += len(some[-1])
+            if size >= DECODED or at + 1 == len(ids):
+                same += [back == (t or "") for back, t in zip(self.decode(some), texts[len(same) :])]
+                some, size = [], 0
+        return same
 
     def decode(self, ids: list[list[int] | None]) -> list[str | None]:
         some = [[] if i is None else i for i in ids]

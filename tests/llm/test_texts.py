@@ -95,6 +95,16 @@ def test_ids_are_those_of_the_rebuilt_tokenizer():
     assert parity == [False, True] and ids[1] == b""
 
 
+def test_round_trip_is_that_of_the_whole_text(monkeypatch):
+    texts = ["hello world", None, "", "a▁b", "éé 😀"] + ["one two three"] * 3
+    codec = sentencepiece_codec.Codec(piece_model())
+    for decoded in (1, 5, 250_000):
+        monkeypatch.setattr(sentencepiece_codec, "DECODED", decoded)
+        assert codec.encode(texts)[2] == [True, True, True, False, True, True, True, True]
+    codec.built.decoder = sentencepiece_codec.decoders.Fuse()  # leaves marks in what users get
+    assert codec.encode(texts)[2] == [False, True, True, False, False, False, False, False]
+
+
 def test_unigram_model_keeps_its_scores():
     proto = sentencepiece_codec.parse(piece_model())
     proto.trainer_spec.model_type = sentencepiece_codec.UNIGRAM
