@@ -6,7 +6,8 @@ k-means centres. A query probes its nearest lists. In a list, distances grow blo
 columns by block of columns; after each block a hypothesis test compares what a candidate
 has so far, scaled to all dimensions, with the distance of the query's k-th best among a
 sample, and candidates that fail are abandoned. What survives gets its inner product on the original
-vectors in double precision.
+vectors in double precision. A query left with fewer than k answers although there are more
+candidates is searched again in all lists without a bound.
 
 Lists are cut into groups of bounded size and queries into blocks of bounded size; each
 pair of a group and a block is one step of a task.
@@ -208,26 +209,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     # Lists larger than a group are cut by a hash of the id.
     groups = candidates.groupBy("list").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("groups"))
     asked = pin(rows.filter(is_query).groupBy("embedding").agg(F.min("vec_id").alias("asker")))
-    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     cells = candidates.join(groups, "list").select(
         "vec_id", "embedding", "list", F.pmod(F.xxhash64("vec_id"), F.col("groups")).cast("int").alias("part")
     )
-    probing = pin(
-        asked.withColumn("to", probes("embedding"))
-        .select(
-            "asker",
-            "embedding",
-            "to.bound",
-            F.pmod(F.xxhash64("asker"), F.lit(blocks)).cast("int").alias("block"),
-            F.explode("to.lists").alias("list"),
-        )
-        .join(groups, "list")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-    )
-    # Each block of queries meets each group it probes.
-    met = probing.select("list", "part", "block").distinct()
     asking = [F.col(c).alias(f"_{c}") for c in ("list", "part", "block")]
-    left = cells.join(met, ["list", "part"]).select("list", "part", "block", "vec_id", "embedding")
 
     def scanned(key, near: pd.DataFrame, far: pd.DataFrame) -> pd.DataFrame:
         if not len(near) or not len(far):
@@ -248,13 +233,37 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         return pd.DataFrame({"asker": far["asker"].to_numpy()[at], "vec_id": ids, "score": scores})
 
     keys = ["list", "part", "block"]
-    found = (
-        left.groupBy(*keys)
-        .cogroup(probing.select(*asking, "asker", "embedding", "bound").groupBy("_list", "_part", "_block"))
-        .applyInPandas(scanned, "asker long, vec_id long, score double")
-    )
     best = Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id")
-    top = pin(found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place"))
+
+    def best_in(lists: DataFrame, askers: int) -> DataFrame:
+        """The k + 1 best of each asker in the cells of ``lists`` (asker, embedding, bound, list, groups)."""
+        blocks = max(1, -(-askers // BLOCK_QUERIES))
+        probing = pin(
+            lists.withColumn("block", F.pmod(F.xxhash64("asker"), F.lit(blocks)).cast("int"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+        )
+        # Each block of queries meets each group it probes.
+        met = probing.select("list", "part", "block").distinct()
+        left = cells.join(met, ["list", "part"]).select("list", "part", "block", "vec_id", "embedding")
+        found = (
+            left.groupBy(*keys)
+            .cogroup(probing.select(*asking, "asker", "embedding", "bound").groupBy("_list", "_part", "_block"))
+            .applyInPandas(scanned, "asker long, vec_id long, score double")
+        )
+        return pin(found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place"))
+
+    probed = asked.withColumn("to", probes("embedding")).select(
+        "asker", "embedding", "to.bound", F.explode("to.lists").alias("list")
+    )
+    top = best_in(probed.join(groups, "list"), asked.count())
+    # An asker is a candidate of its own, so k answers are k + 1 rows.
+    enough = min(k + 1, candidates.count())
+    counts = top.groupBy("asker").agg(F.count("*").alias("n"))
+    short = pin(asked.join(counts, "asker", "left").filter(F.coalesce("n", F.lit(0)) < enough).drop("n"))
+    again = short.count()
+    if again:
+        everywhere = short.withColumn("bound", F.lit(float("inf"))).crossJoin(groups)
+        top = top.join(short.select("asker"), "asker", "left_anti").unionByName(best_in(everywhere, again))
     # Every query with the answers to its vector, less itself.
     answers = (
         rows.filter(is_query)

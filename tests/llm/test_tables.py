@@ -72,6 +72,16 @@ def test_neighbours_of_copies_and_bad_vectors(spark):
     assert nearest.search(frame.limit(0), F.col("vec_id") % 20 == 0, 5).collect() == []
 
 
+def test_queries_left_short_are_searched_again(spark):
+    some = table(spark, "/root/testdata/sf0.1", "embeddings").filter("vec_id < 400").select("vec_id", "embedding")
+    rows = [(r["vec_id"], r["embedding"]) for r in some.collect()]
+    asked = [i for i, _ in rows if i % 20 == 0]
+    counts: dict = {}
+    for r in nearest.search(spark.createDataFrame(rows, some.schema), F.col("vec_id") % 20 == 0).collect():
+        counts[r["query_id"]] = counts.get(r["query_id"], 0) + 1
+    assert counts == dict.fromkeys(asked, 20)
+
+
 # ---- secrets
 
 KINDS = {
