@@ -24,7 +24,7 @@ from urllib.parse import quote, urlsplit
 
 import pandas as pd
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from counterfoil.session import pin, scratch_path
@@ -34,6 +34,8 @@ LEAST_BYTES = 0
 #: Captures of an archive, at most, and how many bytes of one archive a task reads.
 ARCHIVE_RECORDS = 5000
 READ_BYTES = 16_000_000
+#: About the rows of the index that a range of the merge holds in memory.
+RANGE_ROWS = 100_000
 # Ids are texts here: pandas would turn whole numbers beside NULL into floats.
 INDEX = (
     "urlkey string, stamp string, record_id string, record_type string, refers_to string, "
@@ -211,12 +213,12 @@ class LoserTree:
             self.winner = at
 
 
-def merge_index(index: DataFrame) -> DataFrame:
+def merge_index(index: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The captures of all runs (``INDEX``) in one order by URL key, time and record, with ``place`` and ``capture``.
 
     Partitions are ranges of the order; ``place`` is the range and the row in it, the k-th
-    smallest pair is the k-th capture of all. ``capture`` counts captures of a URL key within the range.
-    A range is held in memory (rows of the index, without payloads) and merged from its runs.
+    smallest pair is the k-th capture of all. ``capture`` counts captures of a URL key over all ranges.
+    A range, about ``range_rows`` rows of the index without payloads, is held in memory and merged from its runs.
     Equal keys (repeated rows) go by archive and offset.
     """
     columns = index.columns
@@ -238,11 +240,26 @@ def merge_index(index: DataFrame) -> DataFrame:
         yield out
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in index.schema]
-    ranges = index.repartitionByRange(*_ORDER, "archive", "offset").sortWithinPartitions("archive", *_ORDER, "offset")
-    return (
-        ranges.withColumn("part", F.spark_partition_id())
+    least = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = max(least, -(-index.count() // range_rows))
+    ranges = index.repartitionByRange(number, *_ORDER, "archive", "offset")
+    rows = pin(
+        ranges.sortWithinPartitions("archive", *_ORDER, "offset")
+        .withColumn("part", F.spark_partition_id())
         .mapInPandas(merged, ", ".join([*kinds, "part int", "place bigint", "capture bigint"]))
-        .select(*columns, F.struct("part", "place").alias("place"), "capture")
+    )
+    # Only the first key of a range can have begun in earlier ones: one row a range at most.
+    before = Window.partitionBy("urlkey").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        rows.groupBy("urlkey", "part")
+        .agg(F.count("*").alias("n"))
+        .select("urlkey", "part", F.sum("n").over(before).alias("earlier"))
+        .filter("earlier > 0")
+    )
+    return rows.join(earlier, ["urlkey", "part"], "left").select(
+        *columns,
+        F.struct("part", "place").alias("place"),
+        (F.col("capture") + F.coalesce("earlier", F.lit(0))).alias("capture"),
     )
 
 

@@ -335,6 +335,27 @@ def test_archive_edges(spark):
     assert warc.round_trip(pages.limit(0), stamp).collect() == []
 
 
+def test_captures_of_a_hot_url_are_counted_over_ranges(spark):
+    rows = [(k, "http://hot.de/x" if k % 3 else f"http://u{k}.de/", f"text {k}") for k in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    stamp = F.format_string("2024-01-01T00:%02d:%02dZ", F.floor(F.col("page_id") / 60), F.col("page_id") % 60)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index, _ = warc.archive_pages(pages, stamp)
+        merged = index.orderBy("place").collect()
+        small = warc.merge_index(index.drop("place", "capture"), range_rows=50)
+        ranges = small.select("place.part").distinct().count()
+        assert {r["capture"] for r in small.filter("urlkey like '%hot%'").collect()} == set(range(1, 401))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r["place"]["part"] for r in merged}) > 1 and ranges > 4
+    seen: dict = {}
+    for r in merged:
+        seen[r["urlkey"]] = seen.get(r["urlkey"], 0) + 1
+        assert r["capture"] == seen[r["urlkey"]]
+    assert max(seen.values()) == 400 and len(seen) == 201
+
+
 def test_loser_tree():
     rng = np.random.default_rng(5)
     for count in (0, 1, 2, 3, 7, 8):
