@@ -51,4 +51,44 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
        CASE WHEN page_id > first THEN first END AS refers_to
 FROM raw JOIN words USING (html)"""
 
-ORACLE_SQL = {"op4_secret_scan": secret_scan_sql(), "op7_warc": WARC_SQL}
+FILTER_AUDIT_SQL = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM docs GROUP BY text),
+marks AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+failing AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           CASE WHEN len(words) < 100 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails
+    FROM docs JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)),
+cells AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM failing GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+prefixes(prefix, letter, earlier) AS (
+    SELECT '', '', ''
+    UNION ALL
+    SELECT prefix || l.letter, l.letter, prefix FROM prefixes JOIN letters AS l ON NOT contains(prefix, l.letter)),
+steps AS (
+    SELECT part, prefix, p.letter,
+           coalesce(sum(n) FILTER (NOT touched AND NOT contains(fails, p.letter)), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (NOT touched AND contains(fails, p.letter)), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (touched AND contains(fails, p.letter)), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (fails = p.letter), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (NOT touched AND contains(fails, p.letter)), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (NOT touched AND contains(fails, p.letter)), 0)::BIGINT AS toxic_lost
+    FROM (SELECT c.*, p.*, translate(fails, earlier, '') <> fails AS touched
+          FROM cells AS c, prefixes AS p WHERE p.letter <> '') AS p
+    GROUP BY part, prefix, p.letter)
+SELECT part, o.prefix AS filter_order, length(s.prefix)::INTEGER AS step, letter, kept, removed, redundant, unique_fails,
+       good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+FROM (SELECT prefix FROM prefixes WHERE length(prefix) = 5) AS o JOIN steps AS s ON starts_with(o.prefix, s.prefix)"""
+
+ORACLE_SQL = {"op4_secret_scan": secret_scan_sql(), "op7_warc": WARC_SQL, "op12_filter_audit": FILTER_AUDIT_SQL}

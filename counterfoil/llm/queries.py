@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from counterfoil.llm import (
+    filter_audit,
     language_id,
     mixing,
     nearest,
@@ -85,6 +86,11 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.encode(docs, piece_model())
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return filter_audit.filter_audit(docs, table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,5 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_quality_classifier,
         op10_sentencepiece,
+        op12_filter_audit,
     )
 }
