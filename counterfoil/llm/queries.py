@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.llm import (
     filter_audit,
+    hard_negatives,
     language_id,
     mixing,
     nearest,
@@ -18,6 +19,7 @@ from counterfoil.llm import (
     secrets,
     sentencepiece_codec,
     simhash,
+    substring_dedup,
     token_counts,
     warc,
 )
@@ -27,6 +29,7 @@ from counterfoil.session import scratch_path
 PIECE_MODEL = "piece_bpe_32k.model"
 NEIGHBOURS = 20
 QUERY_EVERY = 20
+ANCHOR_EVERY, SHIFTED_EVERY, LABELS = 100, 7, 10
 
 
 @lru_cache(maxsize=1)
@@ -86,11 +89,22 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.encode(docs, piece_model())
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % SHIFTED_EVERY == 0, (F.col("label") + 1) % LABELS).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", shifted)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % ANCHOR_EVERY == 0)
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     return filter_audit.filter_audit(docs, table(spark, folder, "labels"))
 
 
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -104,6 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_quality_classifier,
         op10_sentencepiece,
+        op11_hard_negatives,
         op12_filter_audit,
+        op13_substring_dedup,
     )
 }
