@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -62,13 +63,22 @@ class Reader:
     def read(self, words: list[str]) -> np.ndarray:
         return np.array(list(map(self.hashes.__getitem__, words)), dtype=np.uint64)
 
-    def paths(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First window, last window and seed of each path of a text."""
+    def paths(self, texts: list[list[str]]) -> tuple[np.ndarray, ...]:
+        """Place of the text, first window, last window, seed and edge of each path of the texts, looked at together."""
+        hashes = self.read(list(chain.from_iterable(texts)))
+        text_of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         room = (1 << PLACE_BITS) - self.window
-        parts = [self._paths(hashes[at : at + room + self.window - 1], at) for at in range(0, max(1, len(hashes)), room)]
-        return tuple(np.concatenate(part) for part in zip(*parts))
-
-    def _paths(self, hashes: np.ndarray, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        parts = []
+        for at in range(0, max(1, len(hashes)), room):
+            piece = slice(at, at + room + self.window - 1)
+            first, last, seeds = self._paths(hashes[piece], text_of[piece])
+            parts.append((first + at, last + at, seeds))
+        first, last, seeds = (np.concatenate(part) for part in zip(*parts))
+        source = text_of[first]
+        return source, first, last, first - begins[source], last - begins[source], seeds, hashes
+
+    def _paths(self, hashes: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         windows = len(hashes) - self.window + 1
         if windows < 1:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -87,9 +97,13 @@ class Reader:
             least = np.minimum(least[:-step], least[step:])
             width += step
         place = (least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        # Windows that reach into the next text are none.
+        own = text_of[:windows] == text_of[self.window - 1 :]
+        starts = (place[1:] != place[:-1]) | (own[1:] != own[:-1]) | (text_of[1:windows] != text_of[: windows - 1])
+        first = np.flatnonzero(np.concatenate([[True], starts]))
         last = np.concatenate([first[1:] - 1, [windows - 1]])
-        return first + offset, last + offset, seeds[place[first]].astype(np.int64)
+        first, last = first[own[first]], last[own[first]]
+        return first, last, seeds[place[first]].astype(np.int64)
 
 
 def _edges(hashes: np.ndarray, first: list[int], last: list[int], window: int, mask: int) -> np.ndarray:
@@ -99,12 +113,13 @@ def _edges(hashes: np.ndarray, first: list[int], last: list[int], window: int, m
     return np.array(names, dtype=np.uint64).astype(np.int64)
 
 
-def _per_text(
-    rows: DataFrame, columns: str, work: Callable[[list[str], dict], list], copied: tuple[str, ...] = ()
+def _per_batch(
+    rows: DataFrame, columns: str, work: Callable[[list[list[str]], dict[str, list]], list], copied: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Rows that ``work`` finds in the words of each text, with the text's key and the columns ``copied``.
+    """Rows that ``work`` finds in the words of texts, with the text's key and the columns ``copied``.
 
-    ``work`` takes the words and the row's other columns and returns one sequence per column of ``columns``.
+    ``work`` takes the words of some texts and their other columns, and returns the place of the text of each row found and
+    one sequence per column of ``columns``.
     """
     kept = [*KEY, *copied]
     given = [c for c in rows.columns if c not in (*kept, "text")]
@@ -117,18 +132,10 @@ def _per_text(
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                sources, values = [], [[] for _ in names]
-                for place, text in enumerate(batch.column("text").to_pylist()):
-                    row = {c: batch.column(c)[place].as_py() for c in given}
-                    result = work(WORD.findall(text), row)
-                    sources.append(np.full(len(result[0]), place))
-                    for column, part in zip(values, result):
-                        column.append(part)
-                taken = pa.array(np.concatenate(sources)) if sources else pa.array([], pa.int64())
-                joined = [
-                    pa.array(np.concatenate(v) if v and isinstance(v[0], np.ndarray) else [x for p in v for x in p], kind)
-                    for v, kind in zip(values, kinds)
-                ]
+                words = [WORD.findall(t) for t in batch.column("text").to_pylist()]
+                source, *values = work(words, {c: batch.column(c).to_pylist() for c in given})
+                taken = pa.array(source, pa.int64())
+                joined = [pa.array(v, kind) for v, kind in zip(values, kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column(c).take(taken) for c in kept] + joined, [*kept, *names])
 
     return rows.mapInArrow(found, f"{plain}, {columns}")
@@ -168,20 +175,23 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW_WORDS, seed: int = SEE
     mask = (1 << bits) - 1
     reader = Reader(window, seed)
 
-    def paths_of(words: list[str], row: dict) -> list:
-        hashes = reader.read(words)
-        first, last, seeds = reader.paths(hashes)
-        return [first.astype(np.int32), last.astype(np.int32), seeds, _edges(hashes, first.tolist(), last.tolist(), window, mask)]
+    def paths_of(texts: list[list[str]], given: dict[str, list]) -> list:
+        source, first, last, at, to, seeds, hashes = reader.paths(texts)
+        return [source, at, to, seeds, _edges(hashes, first.tolist(), last.tolist(), window, mask)]
 
-    def windows_of(words: list[str], row: dict) -> list:
-        hashes = reader.read(words)
-        starts = [(at, p["seed"], p["weight"]) for p in row["asked"] for at in range(p["first"], p["last"] + 1)]
-        at, seeds, weights = (list(c) for c in zip(*starts))
-        return [np.array(at, np.int32), np.array(seeds, np.int64), _edges(hashes, at, at, window, mask), np.array(weights, np.int32)]
+    def windows_of(texts: list[list[str]], given: dict[str, list]) -> list:
+        found = []
+        for place, (words, asked) in enumerate(zip(texts, given["asked"])):
+            for p in asked:
+                first, last = p["first"], p["last"]
+                starts = list(range(last - first + 1))
+                edges = _edges(reader.read(words[first : last + window]), starts, starts, window, mask)
+                found += [(place, first + at, p["seed"], edge, p["weight"]) for at, edge in zip(starts, edges.tolist())]
+        return [list(c) for c in zip(*found)] if found else [[]] * 5
 
     # A text that occurs twice with its doc_id repeats itself.
     weighed = texts.select(*KEY, F.least("copies", F.lit(2)).cast("int").alias("weight"), "text")
-    paths = pin(_per_text(weighed, "first int, last int, seed long, edge long", paths_of, ("weight",)))
+    paths = pin(_per_batch(weighed, "first int, last int, seed long, edge long", paths_of, ("weight",)))
     shared = pin(
         paths.groupBy("seed")
         .agg(F.sum("weight").alias("n"), F.min("edge").alias("_least"), F.max("edge").alias("_most"))
@@ -199,7 +209,7 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW_WORDS, seed: int = SEE
         "one.*", "seed", F.least("n", F.lit(2)).cast("int").alias("weight")
     ).groupBy(*KEY).agg(F.collect_list(F.struct("first", "last", "seed", "weight")).alias("asked"))
     opened = pin(
-        _per_text(
+        _per_batch(
             texts.select(*KEY, "text").join(asked, KEY), "at int, seed long, edge long, weight int", windows_of
         )
     )
@@ -254,17 +264,17 @@ def _compacted(whole: DataFrame) -> DataFrame:
 def _verified(texts: DataFrame, spans: DataFrame, window: int) -> DataFrame:
     """``spans`` whose words, read at their coordinates, are those of another span of the same name and length."""
 
-    def digests_of(words: list[str], row: dict) -> list:
-        held = row["spans"]
-        texts_of = (" ".join(words[s["first"] : s["last"] + window]) for s in held)
-        digests = [hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts_of]
-        return [
-            np.array([s["first"] for s in held], np.int32), np.array([s["last"] for s in held], np.int32),
-            np.array([s["seed"] for s in held], np.int64), np.array([s["edge"] for s in held], np.int64), digests,
-        ]
+    def digests_of(texts: list[list[str]], given: dict[str, list]) -> list:
+        found = []
+        for place, (words, held) in enumerate(zip(texts, given["spans"])):
+            for s in held:
+                read = " ".join(words[s["first"] : s["last"] + window]).encode("utf-8", "surrogatepass")
+                digest = hashlib.blake2b(read, digest_size=16).digest()
+                found.append((place, s["first"], s["last"], s["seed"], s["edge"], digest))
+        return [list(c) for c in zip(*found)] if found else [[]] * 6
 
     lists = spans.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last", "seed", "edge")).alias("spans"))
-    read = _per_text(
+    read = _per_batch(
         texts.select(*KEY, F.least("copies", F.lit(2)).cast("int").alias("weight"), "text").join(lists, KEY),
         "first int, last int, seed long, edge long, digest binary", digests_of, ("weight",),
     )
@@ -293,16 +303,20 @@ def remove_repeats(
     gone = repeated_spans(texts, window, seed, bits).filter("gone")
     lists = gone.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
 
-    def kept_of(words: list[str], row: dict) -> list:
-        gone = np.zeros(len(words) + 1, np.int64)
-        for s in row["spans"] or ():
-            gone[s["first"]] += 1
-            gone[s["last"] + window] -= 1
-        stays = np.cumsum(gone[:-1]) == 0
-        kept = words if stays.all() else [w for w, s in zip(words, stays.tolist()) if s]
-        return [[" ".join(kept)], np.array([len(words)]), np.array([len(words) - len(kept)])]
-
-    rows = _per_text(
+    def kept_of(texts: list[list[str]], given: dict[str, list]) -> list:
+        kept = []
+        for words, spans in zip(texts, given["spans"]):
+            if spans:
+                gone = np.zeros(len(words) + 1, np.int64)
+                for s in spans:
+                    gone[s["first"]] += 1
+                    gone[s["last"] + window] -= 1
+                words = [w for w, covered in zip(words, np.cumsum(gone[:-1]).tolist()) if not covered]
+            kept.append(words)
+        sizes = [len(words) for words in texts]
+        return [list(range(len(texts))), [" ".join(k) for k in kept], sizes, [n - len(k) for n, k in zip(sizes, kept)]]
+
+    rows = _per_batch(
         texts.join(lists, KEY, "left"), "kept string, n_words long, n_removed long", kept_of, ("doc_id", "copies")
     )
     every = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))

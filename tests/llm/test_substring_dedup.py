@@ -81,21 +81,25 @@ def test_no_rows(spark):
     assert substring_dedup.remove_repeats(docs).collect() == []
 
 
+def check_paths(texts, limit=None):
+    """Paths cover the windows of each text one after the other."""
+    source, first, last, at, to, seeds, hashes = substring_dedup.Reader(35, 8).paths(texts)
+    assert len(hashes) == sum(map(len, texts)) and len(seeds) == len(first)
+    for n, words in enumerate(texts):
+        mine = [(a, b) for s, a, b in zip(source, at, to) if s == n]
+        assert [w for a, b in mine for w in range(a, b + 1)] == list(range(len(words) - 34))
+    assert limit is None or len(first) < limit
+
+
 def test_paths_cover_all_windows():
-    reader = substring_dedup.Reader(35, 8)
-    words = [str(random.Random(1).random())] * 40 + [str(i % 400) for i in range(3000)]
-    first, last, seeds = reader.paths(reader.read(words))
-    assert first[0] == 0 and last[-1] == len(words) - 35
-    assert (first[1:] == last[:-1] + 1).all()
-    assert len(first) < 500
+    words = ["same"] * 40 + [str(i % 400) for i in range(3000)]
+    check_paths([words, [], ["a"] * 34, words[:35], words[5:50], ["b"]], 600)
 
 
 def test_long_texts_in_parts(monkeypatch):
     """Texts longer than places have bits are cut; every window is still in one path."""
     monkeypatch.setattr(substring_dedup, "PLACE_BITS", 8)
-    reader = substring_dedup.Reader(35, 8)
-    first, last, _ = reader.paths(reader.read([str(i) for i in range(1000)]))
-    assert first[0] == 0 and last[-1] == 965 and (first[1:] == last[:-1] + 1).all()
+    check_paths([[str(i) for i in range(1000)], ["x"] * 300])
 
 
 def test_query_on_documents(spark):
