@@ -7,13 +7,14 @@ changes were made. The new ids are only set on an update that tries to move a li
 Whether a change is accepted can depend on every earlier change of its product, because
 a rejected change uses no stock. Only products that could run out need that row-by-row
 look: a product whose known stock covers all quantities asked for in the batch, or whose
-stock is unknown, is decided with window functions alone. The rest goes through a fold
-per product. A product with very many changes is not folded in one go: inserts alone are
-decided in a few rounds on all machines, mixed changes in slices of bounded size.
+stock is unknown, is decided with window functions alone. The rest is walked, product by
+product; the changes of a product are cut into blocks of bounded size, and where there are
+several, ``stock_blocks`` finds out what each block starts from, so that all are walked at once.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,23 +22,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from counterfoil.functions.stock_fold import (
-    ALREADY_THERE, FOLDED, KEY_CHANGE, NO_LINE, fold_products,
+    ALREADY_THERE, BAD_OP, FOLDED, KEY_CHANGE, NO_KEY, NO_LINE, NO_ORDER, NO_PRODUCT, fold_products,
 )
 from counterfoil.model import MONEY, PRICE, Pos
 from counterfoil.operators.money import sales_tax
 from counterfoil.operators.prices import apply_price_changes
-from counterfoil.operators.sequence import BLOCK_ROWS, LEVELS, block_of, sum_before, value_before
-from counterfoil.operators.stock_rounds import decide_inserts
+from counterfoil.operators.sequence import BLOCK_ROWS, LEVELS, value_before
+from counterfoil.operators.stock_blocks import exact_starts
 from counterfoil.session import pin
 
-NO_ORDER = "No such order"
-NO_PRODUCT = "No such product"
-BAD_OP = "Unknown operation"
-NO_KEY = "Change without order, product or sequence number"
 BATCH = "Another change of the batch was rejected"
 
-# Most changes of one product that one task folds at a time.
-SLICE_ROWS = 500_000
+_log = logging.getLogger(__name__)
 
 DECISION = [
     "op", "seq", "order_id", "product_id", "quantity", "accepted", "reason", "old_quantity", "delta", "unit_price",
@@ -92,16 +88,14 @@ def _prepared(changes: DataFrame, lines: DataFrame, products: DataFrame, orders:
 
 
 def _short_products(changes: DataFrame, products: DataFrame) -> DataFrame:
-    """Products whose known stock is below all that is asked for, with number and kind of their changes."""
+    """Products whose known stock is below all that is asked for, with the number of their changes."""
     asked = F.sum(F.when(F.col("op") != "delete", clamp_quantity(F.col("quantity"))))
-    demand = changes.groupBy("product_id").agg(
-        asked.alias("_asked"), F.count("*").alias("_changes"), F.bool_and(F.col("op") == "insert").alias("_inserts")
-    )
+    demand = changes.groupBy("product_id").agg(asked.alias("_asked"), F.count("*").alias("_changes"))
     stock = products.select(F.col("id").alias("product_id"), "availableQuantity")
     return (
         demand.join(stock, "product_id")
         .where(F.col("_asked") > F.col("availableQuantity"))
-        .select("product_id", "_changes", "_inserts")
+        .select("product_id", "_changes")
     )
 
 
@@ -132,12 +126,6 @@ def _decide_free(rows: DataFrame, levels: int) -> DataFrame:
     return rows.withColumn("old_quantity", old).withColumn("born", F.coalesce("reborn", F.col("born")))
 
 
-def _fold(rows: DataFrame) -> DataFrame:
-    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(FOLDED).fields])
-    in_order = rows.repartition("product_id").sortWithinPartitions("product_id", "seq")
-    return in_order.mapInArrow(fold_products, schema).drop("born").withColumnRenamed("was_born", "born")
-
-
 def _delta() -> Column:
     """Stock taken by the change; negative when it gives stock back."""
     op = F.col("op")
@@ -148,59 +136,20 @@ def _delta() -> Column:
     )
 
 
-def _decide_tight(rows: DataFrame, slice_rows: int) -> DataFrame:
-    """Decisions where stock may run out. A product with many changes is folded slice by slice.
-
-    Slice k holds the changes of a product after its first k * slice_rows ones, so all
-    ordinary products are done in the first round; what a round leaves behind, used
-    stock and changed lines, is written out and joined to the next.
-    """
-    blocks = rows.groupBy("product_id", block_of("seq").alias("_chunk")).agg(F.count("*").alias("_n"))
-    earlier = sum_before(blocks, ["product_id"], "_chunk", {"_earlier": "_n"}, levels=1)
-    slices = pin(earlier.select("product_id", "_chunk", F.floor(F.col("_earlier") / slice_rows).alias("_slice")))
-    last = slices.agg(F.max("_slice")).first()[0]
-    if not last:
-        return _fold(rows)
-    line = ["product_id", "order_id"]
-    columns = rows.columns
-    sliced = pin(
-        rows.withColumn("_chunk", block_of("seq"))
-        .join(slices, ["product_id", "_chunk"])
-        .drop("_chunk")
-        .repartitionByRange("_slice", "product_id", "seq"),
-        "_slice",
+def _decide_tight(rows: DataFrame, block_rows: int, crowded: bool) -> DataFrame:
+    """Decisions where stock may run out: each block of a product's changes is walked from its exact start."""
+    many = F.col("_changes") > block_rows
+    blocks = rows.where(~many).withColumn("_block", F.lit(0).cast("long")) if crowded else rows.withColumn(
+        "_block", F.lit(0).cast("long")
     )
-    decided, used, images = [], None, None
-    for number in range(last + 1):
-        part = sliced.where(F.col("_slice") == number).drop("_slice")
-        if decided:
-            changed = F.col("_image").isNotNull()
-            image = F.col("_image")
-            part = part.join(used, "product_id", "left").join(images, line, "left").select(
-                *[
-                    {
-                        "available": F.col("available") - F.coalesce("_used", F.lit(0)).cast("int"),
-                        "has_line": F.when(changed, image["op"] != "delete").otherwise(F.col("has_line")),
-                        "held": F.when(changed, image["quantity"]).otherwise(F.col("held")),
-                        "born": F.when(changed, image["born"]).otherwise(F.col("born")),
-                    }.get(name, F.col(name)).alias(name)
-                    for name in columns
-                ]
-            )
-        part = pin(_fold(part))
-        decided.append(part)
-        done = part.where("accepted")
-        new_used = done.groupBy("product_id").agg(F.sum(_delta()).alias("_used"))
-        image = F.struct("seq", "op", "quantity", (F.col("born") | (F.col("op") == "insert")).alias("born"))
-        new_images = done.groupBy(*line).agg(F.max(image).alias("_image"))
-        if number > 0:
-            new_used = used.unionByName(new_used).groupBy("product_id").agg(F.sum("_used").alias("_used"))
-            new_images = images.unionByName(new_images).groupBy(*line).agg(F.max("_image").alias("_image"))
-        used, images = pin(new_used), pin(new_images)
-    result = decided[0]
-    for part in decided[1:]:
-        result = result.unionByName(part)
-    return result
+    if crowded:
+        cut, rounds = exact_starts(rows.where(many), block_rows)
+        _log.info("starts of all blocks of changes exact after %d rounds", rounds)
+        blocks = blocks.unionByName(cut)
+    schema = T.StructType([*blocks.schema.fields, *T.StructType.fromDDL(FOLDED).fields])
+    in_order = blocks.repartition("product_id", "_block").sortWithinPartitions("product_id", "_block", "seq")
+    walked = in_order.mapInArrow(fold_products, schema)
+    return walked.drop("born", "_block", "_changes").withColumnRenamed("was_born", "born")
 
 
 def decide_changes(
@@ -209,7 +158,6 @@ def decide_changes(
     products: DataFrame,
     orders: DataFrame | None = None,
     mode: str = "row",
-    slice_rows: int = SLICE_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Every change with ``accepted``, the ``reason`` if not, and what it does to stock and totals.
@@ -218,32 +166,19 @@ def decide_changes(
     rejected change rejects all. With ``orders`` given, inserts for unknown orders are
     rejected as well.
     """
-    # Looked up once and written out; the three ways to decide below all read it.
+    # Looked up once and written out; both ways to decide below read it.
     short = _short_products(changes, products)
     prepared = pin(_prepared(changes, lines, products, orders).join(short, "product_id", "left"))
     ready = prepared.where(F.col("refused").isNull()).drop("refused")
-    crowded, inserts = F.coalesce(F.col("_changes") > slice_rows, F.lit(False)), F.col("_inserts")
     per_line = prepared.groupBy("product_id", "order_id").agg(
-        F.count("*").alias("n"),
-        F.bool_or(F.col("_changes").isNotNull() & ~crowded).alias("few"),
-        F.bool_or(crowded & inserts).alias("inserts"),
-        F.bool_or(crowded & ~inserts).alias("mixed"),
+        F.count("*").alias("n"), F.max("_changes").alias("_changes")
     )
-    most, few, many_inserts, many_mixed = per_line.agg(
-        F.max("n"), F.bool_or("few"), F.bool_or("inserts"), F.bool_or("mixed")
-    ).first()
-
-    def part(condition) -> DataFrame:
-        return ready.where(condition).drop("_changes", "_inserts")
-
-    decided = [_decide_free(part(F.col("_changes").isNull()), levels=LEVELS if (most or 0) > block_rows else 0)]
-    if few:
-        decided.append(_fold(part(F.col("_changes").isNotNull() & ~crowded)))
-    if many_inserts:
-        decided.append(decide_inserts(part(crowded & inserts)))
-    if many_mixed:
-        decided.append(_decide_tight(part(crowded & ~inserts), slice_rows))
-    refused = prepared.where(F.col("refused").isNotNull()).drop("_changes", "_inserts")
+    longest, most = per_line.agg(F.max("n"), F.max("_changes")).first()
+    free = ready.where(F.col("_changes").isNull()).drop("_changes")
+    decided = [_decide_free(free, levels=LEVELS if (longest or 0) > block_rows else 0)]
+    if most:
+        decided.append(_decide_tight(ready.where(F.col("_changes").isNotNull()), block_rows, most > block_rows))
+    refused = prepared.where(F.col("refused").isNotNull()).drop("_changes")
     decided.append(
         refused.withColumnsRenamed({"refused": "reason"})
         .withColumn("accepted", F.lit(False))
@@ -272,10 +207,10 @@ def validate_changes(
     products: DataFrame,
     orders: DataFrame | None = None,
     mode: str = "row",
-    slice_rows: int = SLICE_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected with reason); decided once and written out."""
-    decided = pin(decide_changes(changes, lines, products, orders, mode, slice_rows))
+    decided = pin(decide_changes(changes, lines, products, orders, mode, block_rows))
     return decided.where("accepted"), decided.where(~F.col("accepted"))
 
 
@@ -407,7 +342,7 @@ def at_price(accepted: DataFrame, price_changes: DataFrame) -> DataFrame:
         "_price", F.when(F.col("_set").isNotNull(), F.col("_set.price")).otherwise(F.col("unit_price"))
     )
     last_insert = F.when(inserted, F.struct(F.col("_price").alias("price")))
-    placed = value_before(born, ["order_id", "product_id"], "seq", {"_birth": last_insert})
+    placed = value_before(born, ["order_id", "product_id"], "seq", {"_birth": last_insert}, levels=0)
     price = (
         F.when(inserted, F.col("_price")).when(F.col("_birth").isNotNull(), F.col("_birth.price")).otherwise(F.col("unit_price"))
     )
@@ -415,11 +350,18 @@ def at_price(accepted: DataFrame, price_changes: DataFrame) -> DataFrame:
 
 
 def apply_events(pos: Pos, changes: DataFrame, price_changes: DataFrame) -> tuple[Pos, Touched, DataFrame]:
-    """Line and price changes of one feed, in ``seq`` order; returns the tables, touched keys and rejected line changes.
+    """Line and price changes of one feed, in ``seq`` order; returns the tables, touched keys and rejected changes.
 
-    The price history grows by the real price changes; those of unknown products change nothing.
+    The price history grows by the real price changes; those of unknown products are rejected, with the columns of a
+    rejected line change and their price.
     """
     ok, rejected = validate_changes(changes, pos.lines, pos.products, pos.orders)
+    known = pos.products.select(F.col("id").alias("product_id"))
+    unknown = price_changes.join(known, "product_id", "left_anti").select(
+        F.lit("price").alias("op"), "seq", "product_id", F.col("price").cast(PRICE).alias("price"),
+        F.lit(False).alias("accepted"), F.lit(NO_PRODUCT).alias("reason"),
+    )
+    rejected = rejected.unionByName(unknown, allowMissingColumns=True)
     after, touched = apply_changes(pos, pin(at_price(ok, price_changes)))
     products, history = apply_price_changes(after.products, price_changes)
     return after.with_(products=products, price_history=pos.price_history.unionByName(history)), touched, rejected

@@ -678,6 +678,14 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
         ),
         "mv_refresh_customers": _customer_purchases(),
         "mv_refresh_products": _product_buyers(),
+        "mv_refresh_products_all": _product_buyers(False),
+        "mv_refresh_customers_all": _customer_purchases(False),
+        "mv_recomputed_keys": _with(
+            ["product", "cust", "sale"],
+            f"""select 'mv_product_buyers' as view_name, id, {_buyers(True)} as list from product
+                union all
+                select 'mv_customer_purchases', id, {_goods(True)} from cust""",
+        ),
         "fill_unit_price": _with(
             ["olp"],
             """select oid as order_id, pid as product_id, q as quantity, up as "unitPrice", lt as "lineTotal" from olp""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from counterfoil.functions import cleaning
 from counterfoil.model import MONEY, RATE, Pos
 from counterfoil.operators import changes as ch
-from counterfoil.operators import compare, documents, etl, money, prices, quality, questions, views
+from counterfoil.operators import compare, counted, documents, etl, money, prices, quality, questions, views
 from counterfoil.operators import document_queries as dq
 from counterfoil.plans.build import build_pos, refresh_full
 from counterfoil.plans.checks import quality_report
@@ -243,7 +243,10 @@ def mv_refresh_full(spark, folder):
     root, pos = scratch_path(spark, "mv_refresh_full"), _pos(spark, folder)
     refresh_full(pos.with_(lines=_lines_with_status(spark, folder, "F")), root)
     refresh_full(pos, root)
-    buyers, purchases = latest(spark, f"{root}/mv_product_buyers"), latest(spark, f"{root}/mv_customer_purchases")
+    return _both_views(latest(spark, f"{root}/mv_product_buyers"), latest(spark, f"{root}/mv_customer_purchases"))
+
+
+def _both_views(buyers: DataFrame, purchases: DataFrame) -> DataFrame:
     return buyers.select(
         F.lit("mv_product_buyers").alias("view_name"), F.col("productID").alias("id"), F.col("customers").alias("list")
     ).unionByName(
@@ -255,22 +258,52 @@ def mv_refresh_full(spark, folder):
     )
 
 
+def _counted(spark, folder, view: counted.View) -> tuple[counted.CountedView, Pos]:
+    """A counted view of the fulfilled lines, brought up to date by the open ones."""
+    pos = _pos(spark, folder)
+    fulfilled = _lines_with_status(spark, folder, "F")
+    stored = counted.CountedView(spark, scratch_path(spark, "counted"), view, folders=16)
+    stored.create(pos.with_(lines=fulfilled))
+    keys = ["order_id", "product_id"]
+    opened = _lines_with_status(spark, folder, "O").join(fulfilled.select(*keys), keys, "left_anti")
+    inserted = opened.select(F.lit("insert").alias("op"), *keys)
+    stored.refresh(counted.changed_pairs(inserted, pos.orders), 1, pos)
+    return stored, pos
+
+
 @query
 def mv_refresh_customers(spark, folder):
-    """A view of the fulfilled lines, brought up to date for the customers of open lines."""
-    pos = _pos(spark, folder)
-    mv = views.customer_purchases(pos.with_(lines=_lines_with_status(spark, folder, "F")))
-    opened = _lines_with_status(spark, folder, "O").select(F.col("order_id").alias("id"))
-    keys = pos.orders.join(opened, "id", "left_semi").select("customer_id")
-    return views.refresh_customers(mv, pos, keys)
+    """Purchases of the fulfilled lines, brought up to date by the pairs of open lines."""
+    return counted.purchases_of(*_counted(spark, folder, counted.PURCHASES))
 
 
 @query
 def mv_refresh_products(spark, folder):
-    """A view of the fulfilled lines, brought up to date for the products of open lines."""
-    pos = _pos(spark, folder)
-    mv = views.product_buyers(pos.with_(lines=_lines_with_status(spark, folder, "F")))
-    return views.refresh_products(mv, pos, _lines_with_status(spark, folder, "O").select("product_id"))
+    """Buyers of the fulfilled lines, brought up to date by the pairs of open lines."""
+    return counted.buyers_of(*_counted(spark, folder, counted.BUYERS))
+
+
+@query
+def mv_refresh_products_all(spark, folder):
+    """The same with a label per order line."""
+    return counted.buyers_of(*_counted(spark, folder, counted.ALL_BUYERS))
+
+
+@query
+def mv_refresh_customers_all(spark, folder):
+    """The same for purchases."""
+    return counted.purchases_of(*_counted(spark, folder, counted.ALL_PURCHASES))
+
+
+@query
+def mv_recomputed_keys(spark, folder):
+    """Views of the fulfilled lines in which the customers and products of open lines are computed afresh."""
+    pos, fulfilled = _pos(spark, folder), _lines_with_status(spark, folder, "F")
+    old, opened = pos.with_(lines=fulfilled), _lines_with_status(spark, folder, "O")
+    customers = pos.orders.join(opened.select(F.col("order_id").alias("id")), "id", "left_semi").select("customer_id")
+    buyers = views.refresh_products(views.product_buyers(old), pos, opened.select("product_id"))
+    purchases = views.refresh_customers(views.customer_purchases(old), pos, customers)
+    return _both_views(buyers, purchases)
 
 
 # --- money ----------------------------------------------------------------------------
@@ -653,29 +686,33 @@ def null_subtotal_keep(spark, folder):
     return _after(spark, folder, "keep").orders.select("id", "subtotal")
 
 
-def _event_ledger(spark, folder) -> Pos:
-    """The ledger's model after the line and price feeds ran through one stream."""
-    root = scratch_path(spark, "events")
+def _streamed(spark, folder, name, feed: DataFrame, pos: Pos, source, **options) -> DataFrame:
+    """The log of a stream over ``feed``."""
+    root = scratch_path(spark, name)
+    feed.write.json(f"{root}-feed")
+    jobs.start(source(spark, f"{root}-feed"), pos, root, once=True, **options).awaitTermination()
+    return jobs.log(spark, root)
+
+
+def _streamed_events(spark, folder) -> Pos:
+    """The model after the line and price feeds ran through one stream."""
+    pos = _priced(spark, folder)
     sets = tables.price_changes(spark, folder).withColumn("seq", F.col("seq") * 2)
     lines = tables.line_changes(spark, folder).withColumn("seq", F.col("seq") * 2 + 1)
     feed = lines.unionByName(sets.withColumn("op", F.lit(jobs.SET_PRICE)), allowMissingColumns=True)
-    feed.write.json(f"{root}-feed")
-    ledger = jobs.create_ledger(spark, root, _priced(spark, folder))
-    source = jobs.event_stream(spark, f"{root}-feed")
-    jobs.stream_events(spark, source, root, f"{root}-checkpoint", once=True).awaitTermination()
-    return jobs.ledger_pos(ledger)
+    return jobs.settled(pos, _streamed(spark, folder, "events", feed, pos, jobs.event_stream))[0]
 
 
 @query
 def stream_event_lines(spark, folder):
     """The lines of ``event_lines``, from a stream."""
-    return _event_ledger(spark, folder).lines
+    return _streamed_events(spark, folder).lines
 
 
 @query
 def stream_event_prices(spark, folder):
     """The price history of ``event_prices``, from a stream."""
-    history = _event_ledger(spark, folder).price_history
+    history = _streamed_events(spark, folder).price_history
     return history.select("product_id", "oldPrice", "newPrice", F.shiftright("seq", 1).alias("seq"))
 
 
@@ -727,53 +764,42 @@ def batch_stock_check(spark, folder):
 
 @query
 def stream_line_changes(spark, folder):
-    """The event feed run as a stream against a ledger; returns its stock and touched views."""
+    """The event feed decided by a stream; returns stock and buyers after its log is settled, of touched products anew."""
     pos = _priced(spark, folder)
-    root = scratch_path(spark, "ledger")
-    tables.line_changes(spark, folder).write.json(f"{root}-feed")
-    ledger = jobs.create_ledger(spark, root, pos, with_views=True)
-    source = jobs.line_change_stream(spark, f"{root}-feed")
-    jobs.stream_changes(spark, source, root, f"{root}-checkpoint", once=True, with_views=True).awaitTermination()
-    stock = ledger.table("products").select(
+    entries = _streamed(spark, folder, "lines", tables.line_changes(spark, folder), pos, jobs.line_change_stream)
+    after, touched = jobs.settled(pos, entries)
+    buyers = views.refresh_products(views.product_buyers(pos), after, touched.products)
+    stock = after.products.select(
         F.lit("stock").alias("kind"), "id", F.col("availableQuantity").cast("string").alias("value")
     )
-    lists = ledger.table("mv_product_buyers").select(
-        F.lit("buyers").alias("kind"), F.col("productID").alias("id"), F.col("customers").alias("value")
-    )
+    lists = buyers.select(F.lit("buyers").alias("kind"), F.col("productID").alias("id"), F.col("customers").alias("value"))
     return stock.unionByName(lists)
 
 
 @query
 def stream_stock_guard(spark, folder):
     """The event feed checked by a stream against stock."""
-    pos, root = _pos(spark, folder), scratch_path(spark, "guard")
-    tables.line_changes(spark, folder).write.json(f"{root}-feed")
-    ledger = jobs.create_ledger(spark, root, pos, with_views=False)
-    source = jobs.line_change_stream(spark, f"{root}-feed")
-    jobs.stream_stock_guard(spark, source, root, f"{root}-checkpoint", once=True).awaitTermination()
-    return ledger.log("decisions").select(*_DECIDED)
+    feed, pos = tables.line_changes(spark, folder), _pos(spark, folder)
+    entries = _streamed(spark, folder, "guard", feed, pos, jobs.line_change_stream, check_orders=False)
+    return entries.select(*_DECIDED)
+
+
+def _streamed_prices(spark, folder) -> Pos:
+    pos = _pos(spark, folder)
+    feed = tables.price_changes(spark, folder)
+    return jobs.settled(pos, _streamed(spark, folder, "prices", feed, pos, jobs.price_change_stream))[0]
 
 
 @query
 def stream_price_history(spark, folder):
     """The price feed logged by a stream."""
-    pos, root = _pos(spark, folder), scratch_path(spark, "prices")
-    tables.price_changes(spark, folder).write.json(f"{root}-feed")
-    ledger = jobs.create_ledger(spark, root, pos, with_views=False)
-    source = jobs.price_change_stream(spark, f"{root}-feed")
-    jobs.stream_prices(spark, source, root, f"{root}-checkpoint", once=True).awaitTermination()
-    return jobs.ledger_pos(ledger).price_history.select("product_id", "oldPrice", "newPrice", "seq")
+    return _streamed_prices(spark, folder).price_history.select("product_id", "oldPrice", "newPrice", "seq")
 
 
 @query
 def stream_price_documents(spark, folder):
-    """Price history documents of a ledger after the price stream."""
-    pos, root = _pos(spark, folder), scratch_path(spark, "prices")
-    tables.price_changes(spark, folder).write.json(f"{root}-feed")
-    ledger = jobs.create_ledger(spark, root, pos, with_views=False)
-    source = jobs.price_change_stream(spark, f"{root}-feed")
-    jobs.stream_prices(spark, source, root, f"{root}-checkpoint", once=True).awaitTermination()
-    return _json(documents.doc_price_history(jobs.ledger_pos(ledger)), "ProductID")
+    """Price history documents after the price stream."""
+    return _json(documents.doc_price_history(_streamed_prices(spark, folder)), "ProductID")
 
 
 # --- quality and comparison -----------------------------------------------------------------

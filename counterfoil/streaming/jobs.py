@@ -1,28 +1,33 @@
-"""Streams of order-line and price changes, applied micro-batch by micro-batch.
+"""Streams of order-line and price changes.
 
-Within a micro-batch changes are taken in ``seq`` order. A change older than the last one
-seen for its product is late and goes to the rejects. Line and price changes may share one
-feed and one ledger (``stream_events``): a line then gets the price of the moment.
+A stream decides each event with what Spark's state store holds of its product and appends it, with the outcome, to a
+log: Parquet that Spark's file sink writes, each batch once. Batch identity, restart and state are Spark's own; the log
+lies beside the checkpoint in one folder, so neither can be used with the other of another stream.
+
+    <root>/log           every event once, with accepted, reason and what it does
+    <root>/checkpoint    Spark's
+
+``settled`` applies the accepted events of a log to the tables that the stream started from, as one batch job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from counterfoil.model import EVENT, LINE_CHANGE, PRICE, PRICE_CHANGE, Pos
 from counterfoil.operators import changes as ch
-from counterfoil.operators import prices, views
-from counterfoil.session import job_scratch, pin, shared_folder
-from counterfoil.streaming.ledger import Ledger
+from counterfoil.operators.prices import logged
+from counterfoil.sources.snapshots import exists
+from counterfoil.streaming.keyed import LATE, LOG, SET_PRICE, ProductState  # noqa: F401
 
-LATE = "Late change"
-#: The operation of an event that sets a price.
-SET_PRICE = "price"
-#: Batches that readers look through before they are folded into a new base.
-COMPACT_EVERY = 100
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Events without product need no state; they are spread over so many keys.
+SPREAD = 1024
 
 
 def read_changes(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -31,270 +36,113 @@ def read_changes(spark: SparkSession, path: str, schema: StructType, files_per_b
     return spark.readStream.schema(schema).options(**options).json(path)
 
 
-def _no_positions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "product_id long, last_seq long")
-
-
-def create_ledger(spark: SparkSession, root: str, pos: Pos, with_views: bool = False) -> Ledger:
-    """A ledger that starts from the given tables, with both views if a stream is to keep them."""
-    tables = {
-        "products": pos.products,
-        "orders": pos.orders,
-        "lines": pos.lines,
-        "customers": pos.customers,
-        "cities": pos.cities,
-        "tax_rates": pos.tax_rates,
-        "price_history": pos.price_history,
-        "positions": _no_positions(spark),
-    }
-    if with_views:
-        tables["mv_product_buyers"] = views.product_buyers(pos)
-        tables["mv_customer_purchases"] = views.customer_purchases(pos)
-    return Ledger(spark, root).create(**tables)
-
-
-def _price_history(ledger: Ledger) -> DataFrame:
-    """The history the ledger began with and what finished batches logged since."""
-    began, since = ledger.table("price_history"), ledger.log("price_log")
-    return began if since is None else began.unionByName(since.select(*began.columns))
-
-
-def ledger_pos(ledger: Ledger, also: int | None = None) -> Pos:
-    """The model as it stands in the ledger."""
-    return Pos(
-        products=ledger.table("products", also),
-        cities=ledger.table("cities"),
-        customers=ledger.table("customers"),
-        orders=ledger.table("orders", also),
-        lines=ledger.table("lines", also),
-        price_history=_price_history(ledger),
-        tax_rates=ledger.table("tax_rates"),
-    )
+def line_change_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    return read_changes(spark, path, LINE_CHANGE, files_per_batch)
 
 
-def _split_late(ledger: Ledger, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    seen = batch.join(ledger.table("positions"), "product_id", "left")
-    late = F.coalesce(F.col("seq") <= F.col("last_seq"), F.lit(False))
-    return seen.where(~late).drop("last_seq"), seen.where(late).drop("last_seq")
-
-
-def _decide(ledger: Ledger, batch: DataFrame, number: int, pos: Pos, orders: DataFrame | None) -> DataFrame:
-    """Decide a micro-batch and store its log, stock, lines and positions; returns the accepted rows."""
-    batch = pin(batch)
-    on_time, late = _split_late(ledger, batch)
-    decided = pin(ch.decide_changes(on_time, pos.lines, pos.products, orders))
-    ledger.write_images("decisions", number, decided)
-    refused = decided.where(~F.col("accepted")).select("op", "seq", "order_id", "product_id", "quantity", "reason")
-    too_late = late.select("op", "seq", "order_id", "product_id", "quantity", F.lit(LATE).alias("reason"))
-    ledger.write_images("rejected", number, refused.unionByName(too_late))
-    # A malformed change moves nothing, its number must not make good ones late.
-    formed = on_time.where(F.col("op").isin("insert", "update", "delete"))
-    ledger.write_images("positions", number, formed.groupBy("product_id").agg(F.max("seq").alias("last_seq")))
-    return decided.where("accepted")
-
-
-def _touched_pos(pos: Pos, accepted: DataFrame, priced: DataFrame | None = None) -> Pos:
-    """Products and orders cut down to the touched ones, before anything is joined; ``priced`` touches products too."""
-    products = accepted.select("product_id")
-    if priced is not None:
-        products = products.unionByName(priced.select("product_id"))
-    by_id = {
-        "products": products.select(F.col("product_id").alias("id")).distinct(),
-        "orders": accepted.select(F.col("order_id").alias("id")).distinct(),
-    }
-    return pos.with_(
-        products=pos.products.join(by_id["products"], "id", "left_semi"),
-        orders=pos.orders.join(by_id["orders"], "id", "left_semi"),
-    )
+def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    return read_changes(spark, path, EVENT, files_per_batch)
+
+
+def price_change_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    return read_changes(spark, path, PRICE_CHANGE, files_per_batch)
+
+
+def _as_events(source: DataFrame) -> DataFrame:
+    """Line changes, price changes or events, as events."""
+    only_prices = "op" not in source.columns
+    given = {c: F.col(c) for c in source.columns} | ({"op": F.lit(SET_PRICE)} if only_prices else {})
+    return source.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT.fields])
 
 
-def _write_views(ledger: Ledger, number: int, touched: ch.Touched) -> None:
-    now = ledger_pos(ledger, also=number)
-    ledger.write_images("mv_product_buyers", number, views.product_rows(now, touched.products))
-    ledger.write_images("mv_customer_purchases", number, views.customer_rows(now, touched.customers))
-
-
-def apply_line_batch(ledger: Ledger, batch: DataFrame, number: int, with_views: bool = False) -> None:
-    """One micro-batch of line changes: stock, lines, totals, tax and the touched view rows."""
-    if ledger.is_committed(number):
-        return
-    pos = ledger_pos(ledger)
-    accepted = _decide(ledger, batch, number, pos, pos.orders)
-    after, touched = ch.apply_changes(_touched_pos(pos, accepted), accepted)
-    ledger.write_images("products", number, after.products)
-    ledger.write_images("orders", number, after.orders)
-    ledger.write_images("lines", number, ch.line_images(accepted))
-    if with_views:
-        _write_views(ledger, number, touched)
-    ledger.commit(number)
-
-
-def apply_guard_batch(ledger: Ledger, batch: DataFrame, number: int) -> None:
-    """One micro-batch of line changes checked against stock; only stock and lines move on."""
-    if ledger.is_committed(number):
-        return
-    pos = ledger_pos(ledger)
-    accepted = _decide(ledger, batch, number, pos, None)
-    use = ch.stock_use(accepted).withColumnRenamed("product_id", "id")
-    stock = (F.col("availableQuantity") - F.col("used")).cast("int")
-    ledger.write_images(
-        "products", number, pos.products.join(use, "id").withColumn("availableQuantity", stock).drop("used")
+def decide(source: DataFrame, pos: Pos, check_orders: bool = True) -> DataFrame:
+    """The stream ``source`` with the outcome of every event (``keyed.LOG``).
+
+    ``pos`` holds the tables as they are before the first event; they must not change while the stream lives. Products
+    are the initial state. Lines and orders are looked up per micro-batch; what the stream changed itself is in the state.
+    """
+    line = F.col("op") != SET_PRICE
+    moved = (F.col("op") == "update") & (
+        F.coalesce(F.col("new_order_id") != F.col("order_id"), F.lit(False))
+        | F.coalesce(F.col("new_product_id") != F.col("product_id"), F.lit(False))
     )
-    ledger.write_images("lines", number, ch.line_images(accepted))
-    ledger.commit(number)
-
-
-def apply_price_batch(ledger: Ledger, batch: DataFrame, number: int, log_unchanged: bool = False) -> None:
-    """One micro-batch of price changes: the log grows, the touched products get their last price."""
-    if ledger.is_committed(number):
-        return
-    batch = pin(batch)
-    on_time, late = _split_late(ledger, batch)
-    products = ledger.table("products").join(
-        on_time.select(F.col("product_id").alias("id")).distinct(), "id", "left_semi"
+    quantity = F.when(line & (F.col("op") != "delete"), ch.clamp_quantity(F.col("quantity"))).cast("int")
+    events = _as_events(source).select(
+        "op", "seq", "order_id", "product_id", quantity.alias("quantity"), F.coalesce(moved, F.lit(False)).alias("moved"),
+        "price", F.when(~line, F.coalesce("ts", F.current_timestamp())).alias("ts"),
     )
-    priced, history = prices.apply_price_changes(products, on_time, log_unchanged)
-    ledger.write_images("price_log", number, history)
-    ledger.write_images("products", number, priced)
-    known = ledger.table("products").select(F.col("id").alias("product_id"))
-    unknown = on_time.join(known, "product_id", "left_anti").select(*late.columns)
-    ledger.write_images(
-        "rejected",
-        number,
-        late.withColumn("reason", F.lit(LATE)).unionByName(unknown.withColumn("reason", F.lit(ch.NO_PRODUCT))),
+    held = pos.lines.select(
+        "order_id", "product_id", F.col("quantity").alias("held"), F.col("unitPrice").cast(PRICE).alias("held_price"),
+        F.lit(True).alias("has_line"),
     )
-    ledger.write_images(
-        "positions", number, on_time.groupBy("product_id").agg(F.max("seq").alias("last_seq"))
+    events = events.join(held, ["order_id", "product_id"], "left")
+    if check_orders:
+        orders = pos.orders.select(F.col("id").alias("order_id"), F.lit(True).alias("known_order")).distinct()
+        events = events.join(orders, "order_id", "left")
+    else:
+        events = events.withColumn("known_order", F.lit(True))
+    keyless = F.col("product_id").isNull()
+    spread = F.pmod(F.xxhash64("order_id", "seq"), F.lit(SPREAD))
+    keyed = events.withColumn("keyless", keyless).withColumn("key", F.coalesce("product_id", spread))
+    state = pos.products.select(
+        F.lit(False).alias("keyless"), F.col("id").alias("key"),
+        F.col("currentPrice").cast(PRICE).alias("price"), F.col("availableQuantity").cast("int").alias("stock"),
+    )
+    return keyed.groupBy("keyless", "key").transformWithState(
+        ProductState(), T.StructType.fromDDL(LOG), "Append", "None", state.groupBy("keyless", "key")
     )
-    ledger.commit(number)
 
 
-def apply_event_batch(
-    ledger: Ledger, batch: DataFrame, number: int, with_views: bool = False, log_unchanged: bool = False
-) -> None:
-    """One micro-batch of line and price changes with one numbering: a line is inserted at the last price before it.
+def start(source: DataFrame, pos: Pos, root: str, once: bool = False, check_orders: bool = True) -> StreamingQuery:
+    """Decide a stream of line changes, price changes or events (``model.EVENT``) into the log at ``root``.
 
-    Prices that earlier batches set are the products' own; stock decisions do not depend on prices.
+    Line and price changes of one stream share one numbering: a line is inserted at the price of the moment.
     """
-    if ledger.is_committed(number):
-        return
-    pos, batch = ledger_pos(ledger), pin(batch)
-    on_time, late = _split_late(ledger, batch)
-    is_price = F.coalesce(F.col("op") == SET_PRICE, F.lit(False))
-    sets = on_time.where(is_price).select(*PRICE_CHANGE.names)
-    changes = on_time.where(~is_price).select(*LINE_CHANGE.names)
-    decided = pin(ch.decide_changes(changes, pos.lines, pos.products, pos.orders))
-    accepted = pin(ch.at_price(decided.where("accepted"), sets))
-    after, touched = ch.apply_changes(_touched_pos(pos, accepted, sets), accepted)
-    products, history = prices.apply_price_changes(after.products, sets, log_unchanged)
-    ledger.write_images("decisions", number, decided)
-    ledger.write_images("products", number, products)
-    ledger.write_images("price_log", number, history)
-    ledger.write_images("orders", number, after.orders)
-    ledger.write_images("lines", number, ch.line_images(accepted))
-
-    refusal = ["op", "seq", "order_id", "product_id", "quantity", "price", "reason"]
-    known = pos.products.select(F.col("id").alias("product_id"))
-    unknown = on_time.where(is_price).join(known, "product_id", "left_anti")
-    refused = decided.where(~F.col("accepted")).withColumn("price", F.lit(None).cast(PRICE))
-    ledger.write_images(
-        "rejected",
-        number,
-        refused.select(*refusal)
-        .unionByName(late.withColumn("reason", F.lit(LATE)).select(*refusal))
-        .unionByName(unknown.withColumn("reason", F.lit(ch.NO_PRODUCT)).select(*refusal)),
+    root = root.rstrip("/")
+    source.sparkSession.conf.set(_STORE, _ROCKSDB)
+    writer = (
+        decide(source, pos, check_orders)
+        .writeStream.format("parquet")
+        .option("path", f"{root}/log")
+        .option("checkpointLocation", f"{root}/checkpoint")
     )
-    formed = on_time.where(F.col("op").isin("insert", "update", "delete", SET_PRICE))
-    ledger.write_images("positions", number, formed.groupBy("product_id").agg(F.max("seq").alias("last_seq")))
-    if with_views:
-        _write_views(ledger, number, touched)
-    ledger.commit(number)
-
-
-def _start(
-    source: DataFrame, ledger: Ledger, kind: str, step, checkpoint: str, once: bool, compact_every: int | None
-) -> StreamingQuery:
-    shared_folder(source.sparkSession)
-    ledger.claim(kind, checkpoint)
-
-    def apply(batch: DataFrame, number: int) -> None:
-        # All that a batch leaves is in the ledger; its scratch tables go.
-        with job_scratch(ledger.spark):
-            step(batch, number)
-        if compact_every and len(ledger.committed()) >= compact_every:
-            ledger.compact()
-
-    writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def stream_changes(
-    spark: SparkSession,
-    source: DataFrame,
-    root: str,
-    checkpoint: str,
-    once: bool = False,
-    with_views: bool = False,
-    compact_every: int | None = COMPACT_EVERY,
-) -> StreamingQuery:
-    """Apply a stream of line changes to the ledger at ``root``."""
-    ledger = Ledger(spark, root)
-    step = lambda df, n: apply_line_batch(ledger, df, n, with_views)
-    return _start(source, ledger, "changes", step, checkpoint, once, compact_every)
-
-
-def stream_events(
-    spark: SparkSession,
-    source: DataFrame,
-    root: str,
-    checkpoint: str,
-    once: bool = False,
-    with_views: bool = False,
-    log_unchanged: bool = False,
-    compact_every: int | None = COMPACT_EVERY,
-) -> StreamingQuery:
-    """Apply one stream of line and price changes (``model.EVENT``) to the ledger at ``root``."""
-    ledger = Ledger(spark, root)
-    step = lambda df, n: apply_event_batch(ledger, df, n, with_views, log_unchanged)
-    return _start(source, ledger, "events", step, checkpoint, once, compact_every)
-
-
-def stream_stock_guard(
-    spark: SparkSession,
-    source: DataFrame,
-    root: str,
-    checkpoint: str,
-    once: bool = False,
-    compact_every: int | None = COMPACT_EVERY,
-) -> StreamingQuery:
-    """Accept or reject a stream of line changes by stock; see the ledger's ``decisions`` log."""
-    ledger = Ledger(spark, root)
-    step = lambda df, n: apply_guard_batch(ledger, df, n)
-    return _start(source, ledger, "guard", step, checkpoint, once, compact_every)
-
-
-def stream_prices(
-    spark: SparkSession,
-    source: DataFrame,
-    root: str,
-    checkpoint: str,
-    once: bool = False,
-    log_unchanged: bool = False,
-    compact_every: int | None = COMPACT_EVERY,
-) -> StreamingQuery:
-    """Log a stream of price changes and keep the last price of every product."""
-    ledger = Ledger(spark, root)
-    step = lambda df, n: apply_price_batch(ledger, df, n, log_unchanged)
-    return _start(source, ledger, "prices", step, checkpoint, once, compact_every)
+def log(spark: SparkSession, root: str) -> DataFrame:
+    """All events of finished batches; none before the first."""
+    path = f"{root.rstrip('/')}/log"
+    if not exists(spark, f"{path}/_spark_metadata"):
+        return spark.createDataFrame([], LOG)
+    return spark.read.schema(LOG).parquet(path)
 
 
-def line_change_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    return read_changes(spark, path, LINE_CHANGE, files_per_batch)
+def decisions(entries: DataFrame) -> DataFrame:
+    """The line changes of a log."""
+    return entries.where(F.col("op").isNull() | (F.col("op") != SET_PRICE))
 
 
-def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    return read_changes(spark, path, EVENT, files_per_batch)
+def rejected(entries: DataFrame) -> DataFrame:
+    return entries.where(~F.col("accepted")).select("op", "seq", "order_id", "product_id", "quantity", "price", "reason")
 
 
-def price_change_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    return read_changes(spark, path, PRICE_CHANGE, files_per_batch)
+def price_log(entries: DataFrame, log_unchanged: bool = False) -> DataFrame:
+    """The price history rows of a log."""
+    steps = entries.where((F.col("op") == SET_PRICE) & F.col("accepted"))
+    return logged(
+        steps.select("product_id", F.col("old_price").alias("oldPrice"), F.col("price").alias("newPrice"), "ts", "seq"),
+        log_unchanged,
+    )
+
+
+def settled(pos: Pos, entries: DataFrame, log_unchanged: bool = False) -> tuple[Pos, ch.Touched]:
+    """The tables that a stream started from, after all events of its log; and the keys that were touched."""
+    after, touched = ch.apply_changes(pos, decisions(entries).where("accepted"))
+    sets = entries.where((F.col("op") == SET_PRICE) & F.col("accepted"))
+    last = sets.groupBy(F.col("product_id").alias("id")).agg(F.max_by(F.struct("price"), "seq").alias("_last"))
+    price = F.when(F.col("_last").isNotNull(), F.col("_last.price")).otherwise(F.col("currentPrice")).cast(PRICE)
+    products = after.products.join(last, "id", "left").select(
+        *[price.alias(c) if c == "currentPrice" else F.col(c) for c in after.products.columns]
+    )
+    history = pos.price_history.unionByName(price_log(entries, log_unchanged).select(*pos.price_history.columns))
+    return after.with_(products=products, price_history=history), touched

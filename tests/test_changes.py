@@ -1,14 +1,18 @@
+import itertools
 import random
 from decimal import Decimal as D
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from counterfoil.functions.stock_fold import ALREADY_THERE, KEY_CHANGE, NO_LINE, NOT_ENOUGH
+from counterfoil.functions.stock_fold import ALREADY_THERE, KEY_CHANGE, NO_LINE, NOT_ENOUGH, Bounds
 from counterfoil.model import LINE_CHANGE, PRICE_CHANGE
 from counterfoil.operators import changes as ch
 from counterfoil.operators import money, prices, views
+from counterfoil.operators.stock_blocks import exact_starts
 from tests.conftest import rows
 
 FEED = [
@@ -153,11 +157,10 @@ def simulate(feed, stock, lines):
 
 
 @pytest.mark.parametrize(
-    "seed, plenty, slice_rows, block_rows",
-    [(1, False, 500_000, 65_536), (2, True, 500_000, 65_536), (2, True, 500_000, 0), (3, False, 40, 65_536)],
+    "seed, plenty, block_rows", [(1, False, 65_536), (2, True, 65_536), (2, True, 0), (3, False, 40), (4, False, 7)]
 )
-def test_random_feeds_against_the_row_rules(spark, seed, plenty, slice_rows, block_rows):
-    """Free, folded and sliced decisions all equal the row-by-row simulation; one product is hot."""
+def test_random_feeds_against_the_row_rules(spark, seed, plenty, block_rows):
+    """Decisions by windows, in one walk and in blocks all equal the row-by-row simulation; one product is hot."""
     rng = random.Random(seed)
     seqs = rng.sample(range(0, 20 << 16), 500)
     feed = [
@@ -176,7 +179,7 @@ def test_random_feeds_against_the_row_rules(spark, seed, plenty, slice_rows, blo
         [(o, p, q, D("1.00")) for (o, p), q in held.items()], "order_id long, product_id long, quantity int, unitPrice decimal(6,2)"
     )
     want, stock_after, lines_after = simulate(feed, stock, held)
-    decided = ch.decide_changes(feed_of(spark, feed), lines, products, slice_rows=slice_rows, block_rows=block_rows)
+    decided = ch.decide_changes(feed_of(spark, feed), lines, products, block_rows=block_rows)
     got = {r["seq"]: r for r in decided.collect()}
     assert {s: r["reason"] for s, r in got.items()} == want
     accepted = decided.where("accepted")
@@ -197,7 +200,7 @@ def test_random_feeds_against_the_row_rules(spark, seed, plenty, slice_rows, blo
 
 @pytest.mark.parametrize("seed, stock", [(21, (0, 1, 7, 64, 300)), (22, (1, 2, 3, 1000, None)), (23, (15, 16, 17, 31, 33))])
 def test_many_inserts_of_a_product(spark, seed, stock):
-    """Rounds on all machines accept exactly what the row rules accept, repeated lines included."""
+    """Blocks accept exactly what the row rules accept, repeated lines included."""
     rng = random.Random(seed)
     size = lambda: rng.choice([None, 1, 1, 2, 3, rng.randrange(1, 20), rng.randrange(1, 400)])
     feed = [
@@ -215,7 +218,7 @@ def test_many_inserts_of_a_product(spark, seed, stock):
         "order_id long, product_id long, quantity int, unitPrice decimal(6,2)",
     )
     want, _, lines_after = simulate(feed, stock, held)
-    got = {r["seq"]: r for r in ch.decide_changes(feed_of(spark, feed), lines, products, slice_rows=30).collect()}
+    got = {r["seq"]: r for r in ch.decide_changes(feed_of(spark, feed), lines, products, block_rows=30).collect()}
     folded = {r["seq"]: r for r in ch.decide_changes(feed_of(spark, feed), lines, products).collect()}
     assert {s: r["reason"] for s, r in got.items()} == want
     assert got == folded
@@ -223,6 +226,64 @@ def test_many_inserts_of_a_product(spark, seed, stock):
     assert {**held, **accepted} == lines_after
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.data())
+def test_bounds_hold_what_may_happen(data):
+    """From any stock and lines within the bounds, the walk ends within the bounds, and with the net use if there is one."""
+    small = st.integers(0, 6)
+    low, high = sorted([data.draw(small), data.draw(small)])
+    starts = {}
+    for order in range(2):
+        a, b = sorted([data.draw(st.integers(1, 4)), data.draw(st.integers(1, 4))])
+        possible = data.draw(st.booleans())
+        starts[order] = (possible and data.draw(st.booleans()), possible, *((a, b) if possible else (0, 0)), None if possible else False)
+    feed = data.draw(
+        st.lists(st.tuples(st.sampled_from(["insert", "update", "delete"]), st.integers(0, 1), st.integers(1, 5), st.booleans()), max_size=8)
+    )
+    bounds = Bounds(1, 0, low, high)
+    for op, order, quantity, moved in feed:
+        bounds.apply(op, order, quantity, op == "update" and moved, starts[order])
+    for stock in range(low, high + 1):
+        ways = [[None] * (not starts[o][0]) + list(range(starts[o][2], starts[o][3] + 1)) * starts[o][1] for o in range(2)]
+        for lines in itertools.product(*ways):
+            held = {(o, 1): q for o, q in enumerate(lines) if q is not None}
+            rows = [(op, n, o, 1, q, None, None) for n, (op, o, q, moved) in enumerate(feed) if not (op == "update" and moved)]
+            _, after, left = simulate(rows, {1: stock}, held)
+            assert bounds.low <= after[1] <= bounds.high
+            assert max(stock - bounds.most, bounds.floor) <= after[1] <= max(stock - bounds.least, bounds.cap)
+            for order in range(2):
+                certain, possible, least, most, _ = bounds.lines.get(order, starts[order])
+                q = left.get((order, 1))
+                assert (possible and least <= q <= most) if q is not None else not certain
+
+
+def crowded_rows(spark, feed, stock, held):
+    """Prepared changes of products with known stock, as the decisions get them."""
+    rows = [
+        (op, seq, order, product, q if op != "delete" else None, False, stock[product], held.get((order, product)), (order, product) in held, False)
+        for op, seq, order, product, q in feed
+    ]
+    return spark.createDataFrame(
+        rows, "op string, seq long, order_id long, product_id long, quantity int, moved boolean, available int, held int, has_line boolean, born boolean"
+    )
+
+
+@pytest.mark.parametrize("kinds", [["insert"], ["insert", "insert", "update", "delete"]])
+def test_rounds_do_not_grow_with_rows(spark, kinds):
+    """Stock that runs short, and stock that lasts for most of the feed, need about as many rounds for 8 blocks as for 32."""
+    rounds = []
+    for size in (1600, 6400):
+        rng = random.Random(size)
+        feed = [(rng.choice(kinds), n * 2000, rng.randrange(size), 1 + n % 2, rng.randrange(1, 9)) for n in range(size)]
+        stock = {1: 100, 2: int(size * 1.2)}
+        exact, n = exact_starts(crowded_rows(spark, feed, stock, {}), 100)
+        rounds.append(n)
+        assert exact.select("_block").distinct().count() >= size / 400
+        firsts = {r["product_id"]: r["available"] for r in exact.where("_block = 0").select("product_id", "available").distinct().collect()}
+        assert firsts == stock
+    assert max(rounds) <= 8, rounds
+
+
 @pytest.mark.parametrize("seed", [11, 12])
 def test_totals_and_views_after_changes_equal_a_recomputation(spark, priced_shop, seed):
     rng = random.Random(seed)
