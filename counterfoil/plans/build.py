@@ -10,12 +10,12 @@ from counterfoil.sources import csv
 from counterfoil.sources.snapshots import latest, materialize
 
 
-def build_pos(spark: SparkSession, folder: str, missing: str = "error", multi_line: bool = True) -> Pos:
+def build_pos(spark: SparkSession, folder: str, missing: str = "error") -> Pos:
     """The model as loaded: products, cities, customers, orders, lines, in reference order.
 
     Ids and zips that the files repeat are made unique by ``etl.one_row_per_key``.
     """
-    options = {"missing": missing, "multi_line": multi_line}
+    options = {"missing": missing}
     raw_customers = csv.read_customers(spark, f"{folder}/customers.csv", **options)
     customers = etl.one_row_per_key(etl.clean_customers(raw_customers), "id")
     placed = etl.clean_orders(csv.read_orders(spark, f"{folder}/orders.csv", **options), customers)

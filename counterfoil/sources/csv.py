@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from counterfoil.functions.cleaning import zip_code
 from counterfoil.model import RATE
+from counterfoil.sources.quoted_lines import records
 
 # The columns of each export in file order.
 PRODUCT_COLUMNS = ("id", "name", "price", "quantity_on_hand")
@@ -24,27 +25,28 @@ TAX_COLUMNS = (
 NARROW_TAX_COLUMNS = ("zip", "taxRate")
 
 
-def read_text_csv(
-    spark: SparkSession, path: str, columns: tuple[str, ...], missing: str = "error", multi_line: bool = True
-) -> DataFrame:
-    """Columns by position, all text, the header line of every file skipped.
+#: How a record is taken apart.
+DIALECT = {"sep": ",", "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": ""}
 
-    ``multi_line`` keeps line breaks inside quotes but makes a file one split; switch it
-    off for large files that have none. ``missing="empty"`` turns an absent path into an
-    empty table.
+
+def read_text_csv(spark: SparkSession, path: str, columns: tuple[str, ...], missing: str = "error") -> DataFrame:
+    """Columns by position, all text, the header of every file skipped, line breaks inside quotes kept.
+
+    Files are read in splits, however large; see ``quoted_lines``. Blank lines are no records. ``missing="empty"``
+    turns an absent path into an empty table.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    reader = spark.read.schema(schema).options(
-        header=True, sep=",", quote='"', escape='"', multiLine=multi_line, nullValue="\\N", emptyValue=""
-    )
     try:
-        raw = reader.csv(path)
+        found = records(spark, path)
     except AnalysisException as error:
         if missing == "empty" and error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
-    # Files with Windows line ends leave a carriage return on the last column.
-    return raw.withColumn(columns[-1], F.regexp_replace(columns[-1], "\r$", ""))
+    # Files with Windows line ends leave a carriage return behind each record.
+    text = F.regexp_replace("record", "\r$", "")
+    header = (F.col("split") == 0) & (F.col("at") == 0)
+    fields = F.from_csv(text, schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), DIALECT)
+    return found.where(~header & (F.trim(text) != "")).select(fields.alias("_r")).select("_r.*")
 
 
 def read_products(spark: SparkSession, path: str, **options) -> DataFrame:
