@@ -2,40 +2,54 @@
 
 from __future__ import annotations
 
-import json
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Sent to the Python workers with the job, so that they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+_STRING = r'"(?:[^"\\]|\\.)*"'
+#: What a document consists of: keys with their colon, texts, numbers, words, empty objects and other signs.
+_TOKEN = rf"(?s){_STRING}\s*:|{_STRING}|-?[0-9][0-9.eE+-]*|[a-z]+|\{{\s*\}}|[^\s]"
+#: Numbers as they are written behind an exponent or with a decimal point, outside texts.
+_NUMBER_TOKEN = rf"(?s){_STRING}|-?[0-9][0-9.E+-]*|[^\"0-9-]+"
+_BLANK = r"(?<!\\)((?:\\\\)*)\\u0020"
+
+
+def allow_repeated_keys(spark: SparkSession) -> None:
+    """Of keys that are equal, or become so without their spaces, the last one counts; JSON may have them."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
-def _plain(value):
-    """Keys lose their spaces, objects lose their order, equal numbers look equal.
+def canonical_document(doc: str | Column) -> Column:
+    """Keys lose their spaces, objects lose their order, equal numbers look equal; no row leaves the JVM.
 
-    Objects become sorted lists of pairs, so an empty object equals an empty list;
-    true and false equal 1 and 0. Both follow the comparison this replaces.
+    The document is cut into tokens, of which keys are stripped; true and false become 1 and 0 and an empty object an empty
+    array, as the comparison this replaces has it. Parsed as a variant, objects are sorted and decimals lose
+    their zeros; what is still written with an exponent is a whole number, if it is one of up to 37 digits.
     """
-    if isinstance(value, dict):
-        stripped = {key.replace(" ", ""): item for key, item in value.items()}
-        return [[key, _plain(stripped[key])] for key in sorted(stripped)]
-    if isinstance(value, list):
-        return [_plain(item) for item in value]
-    if isinstance(value, bool):
-        return int(value)
-    if isinstance(value, float) and value.is_integer():
-        return int(value)
-    return value
-
-
-@F.pandas_udf(T.StringType())
-def canonical_document(docs: pd.Series) -> pd.Series:
-    return docs.map(lambda text: json.dumps(_plain(json.loads(text))), na_action="ignore")
+    token = F.regexp_extract_all(F.col(doc) if isinstance(doc, str) else doc, F.lit(_TOKEN), F.lit(0))
+
+    def plain(t: Column) -> Column:
+        text = t.startswith('"')
+        key = F.regexp_replace(F.regexp_replace(F.replace(t, F.lit(" "), F.lit("")), _BLANK, "$1"), r"\s+:$", ":")
+        return (
+            F.when(text & t.endswith(":"), key)
+            .when(text, t)
+            .when(t == "true", "1")
+            .when(t == "false", "0")
+            .when(t.startswith("{") & (F.length(t) > 1), "[]")
+            .otherwise(t)
+        )
+
+    def number(t: Column) -> Column:
+        value = t.cast("double")
+        whole = (value == F.rint(value)) & (F.abs(value) < 1e37)
+        return F.when(
+            t.rlike(r"^-?[0-9]+(\.[0-9]+)?E") & whole, value.cast("decimal(38,0)").cast("string")
+        ).when(t.rlike(r"^-?[0-9]+\.0$"), F.regexp_replace(t, r"\.0$", "")).otherwise(t)
+
+    sorted_ = F.to_json(F.parse_json(F.array_join(F.transform(token, plain), "")))
+    numbers = F.array_join(F.transform(F.regexp_extract_all(sorted_, F.lit(_NUMBER_TOKEN), F.lit(0)), number), "")
+    return F.when(sorted_.rlike(r"[0-9](\.0|E)"), numbers).otherwise(sorted_)
 
 
 def _leaf(value: Column, kind: T.DataType) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.functions.canonical import canonical_columns, canonical_document
+from counterfoil.functions.canonical import allow_repeated_keys, canonical_columns, canonical_document
 from counterfoil.operators.sequence import BLOCK_ROWS, block_of, sum_before
 from counterfoil.session import pin
 from counterfoil.sources.documents import read_lines
@@ -27,6 +27,7 @@ def dataset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     Documents are compared by the SHA-256 of their canonical text, so the shuffle carries
     a short digest per distinct document and not the documents.
     """
+    allow_repeated_keys(left.sparkSession)
     return _diff(*[df.select(F.sha2(canonical_document("doc"), 256).alias("digest")) for df in (left, right)])
 
 

@@ -27,6 +27,7 @@ def local_session(cores: str = "8", app: str = "counterfoil") -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .getOrCreate()
     )
 

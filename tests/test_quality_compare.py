@@ -53,6 +53,53 @@ def test_key_collision_keeps_the_last(spark):
     assert got.count() == 1
 
 
+def test_documents_are_compared_in_the_jvm(spark):
+    docs = docs_of(spark, "1")
+    plan = compare.dataset_diff(docs, docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def plain_form(value):
+    """Objects without order and spaces in keys, whole numbers as such."""
+    if isinstance(value, dict):
+        return {"o": sorted((k, json.dumps(plain_form(v))) for k, v in {k.replace(" ", ""): v for k, v in value.items()}.items())} if value else []
+    if isinstance(value, list):
+        return [plain_form(v) for v in value]
+    if isinstance(value, bool):
+        return int(value)
+    return int(value) if isinstance(value, float) and value.is_integer() else value
+
+
+def test_random_documents_fall_into_the_same_classes(spark):
+    """Two documents have one canonical text exactly if they are equal by the rules."""
+    rng = random.Random(8)
+    texts = ["", "a", "a b", 'q"', "\\", ':"', '",":', "é\n", "1", "true", "{}"]
+
+    def value(depth):
+        kind = rng.randrange(7 if depth else 5)
+        if kind == 5:
+            return [value(depth - 1) for _ in range(rng.randrange(3))]
+        if kind == 6:
+            return {rng.choice(["a b", "ab", "c", " c", 'x"y', "z:", "d\\"]): value(depth - 1) for _ in range(rng.randrange(3))}
+        return [rng.choice(texts), rng.choice([0, 1, 100, -3, 10**20]), rng.choice([1.0, 100.0, 0.5, 1e20, -3.0, 1e-7, 2.5e30]),
+                rng.choice([True, False]), None][kind]
+
+    docs = [value(3) for _ in range(400)]
+    written = [json.dumps(d, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1])) for d in docs]
+    df = spark.createDataFrame(list(enumerate(written)), "n int, doc string")
+    canonical = {r["n"]: r["c"] for r in df.select("n", canonical_document("doc").alias("c")).collect()}
+    forms = [json.dumps(plain_form(json.loads(w))) for w in written]
+    by_form, by_text = {}, {}
+    for n, form in enumerate(forms):
+        assert by_form.setdefault(form, canonical[n]) == canonical[n], (written[n], canonical[n])
+        assert by_text.setdefault(canonical[n], form) == form, (written[n], canonical[n])
+
+
+def test_escapes_in_keys(spark):
+    assert diff(spark, [r'{"a\u0020b" : {  }}'], ['{"ab":[]}']) == (1, 0, 0)
+    assert diff(spark, [r'{"a\\u0020b":1}'], ['{"ab":1}']) == (0, 1, 1)
+
+
 def test_diff_against_counters(spark):
     rng = random.Random(5)
     texts = [json.dumps({"k": rng.randrange(6), "s x": [rng.randrange(2)]}) for _ in range(400)]
