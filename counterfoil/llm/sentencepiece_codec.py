@@ -13,6 +13,7 @@ text are decoded whole; ``round_trip`` says whether that gives the text back.
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,11 +24,14 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 from counterfoil.llm.common import MARK, cutter, marked
 
+# Fixed value: how a byte piece is written.
+BYTE = re.compile("<0x[0-9A-Fa-f]{2}>")
 UNIGRAM, BPE = 1, 2
 NORMAL, CONTROL, USER_DEFINED = 1, 3, 4
 #: Chunks that a Python worker remembers, twice this many at most, and the longest of them.
@@ -92,6 +96,15 @@ def build(model: bytes) -> Tokenizer:
     return built
 
 
+def piece_bytes(built: Tokenizer) -> dict[int, bytes]:
+    """What each identifier of the tokenizer decodes to: a byte for byte pieces, else the piece with blanks for marks."""
+    vocabulary = {i: piece for piece, i in built.get_vocab(with_added_tokens=False).items()}
+    return {
+        i: bytes([int(piece[3:5], 16)]) if BYTE.fullmatch(piece) else piece.replace(MARK, " ").encode()
+        for i, piece in vocabulary.items()
+    }
+
+
 def crosses_no_mark(proto) -> bool:
     return all(MARK not in p.piece.lstrip(MARK) for p in proto.pieces)
 
@@ -105,6 +118,7 @@ class Codec:
     def __init__(self, model: bytes):
         proto = parse(model)
         norm = proto.normalizer_spec
+        norm_prefix = norm.add_dummy_prefix
         self.built = build(model)
         plain = not norm.precompiled_charsmap and not norm.remove_extra_whitespaces
         self.marks = plain and norm.add_dummy_prefix and norm.escape_whitespaces
@@ -113,6 +127,8 @@ class Codec:
         norm.add_dummy_prefix = norm.add_dummy_prefix and not self.marks
         inner = proto.SerializeToString()
         self.ours, self.theirs = build(inner), sentencepiece.SentencePieceProcessor(model_proto=inner)
+        self.pieces = piece_bytes(self.built)
+        self.blank = norm_prefix
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.odd: set[str] = set()
@@ -159,8 +175,21 @@ class Codec:
         return same
 
     def decode(self, ids: list[list[int] | None]) -> list[str | None]:
-        some = [[] if i is None else i for i in ids]
-        return [None if i is None else t for i, t in zip(ids, self.built.decode_batch(some, skip_special_tokens=False))]
+        """The bytes of the pieces one after the other, without the blank in front.
+
+        Where they are no UTF-8, or an identifier stands for no piece, the library's decoder says what the text is.
+        """
+        texts, odd = [], []
+        for at, some in enumerate(ids):
+            try:
+                read = None if some is None else b"".join(map(self.pieces.__getitem__, some)).decode()
+            except (UnicodeDecodeError, KeyError):
+                read = None
+                odd.append(at)
+            texts.append(read[1:] if read and self.blank and read[0] == " " else read)
+        for at, read in zip(odd, self.built.decode_batch([ids[at] for at in odd], skip_special_tokens=False)):
+            texts[at] = read
+        return texts
 
 
 @lru_cache(maxsize=2)
@@ -172,14 +201,13 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     """The other columns of ``docs`` with ids (array<int>), n_tokens, parity and round_trip.
 
     One pass without a shuffle, rows one to one. NULL texts are empty texts: no ids,
-    parity and round trip hold. Columns of ``docs`` with the names of results are replaced.
+    parity and round trip hold. Columns of ``docs`` with the names of results, in any case, are replaced.
     """
-    kept = [c for c in docs.columns if c not in (text, "ids", "n_tokens", "parity", "round_trip")]
-    rows = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias(text))
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema]
-        + ["ids array<int>", "n_tokens long", "parity boolean", "round_trip boolean"]
-    )
+    made = T.StructType.fromDDL("ids array<int>, n_tokens long, parity boolean, round_trip boolean")
+    taken = {name.lower() for name in (text, *made.names)}
+    kept = [c for c in docs.columns if c.lower() not in taken]
+    rows = docs.select(*[f"`{c}`" for c in kept], F.coalesce(F.col(text), F.lit("")).alias(text))
+    schema = T.StructType(rows.schema.fields[:-1] + made.fields)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
@@ -193,7 +221,7 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
                 columns = [batch.column(k) for k in range(len(kept))]
                 columns += [pa.ListArray.from_arrays(pa.array(ends), values), pa.array(sizes)]
                 columns += [pa.array(parity, pa.bool_()), pa.array(same, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(columns, [*kept, "ids", "n_tokens", "parity", "round_trip"])
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return rows.mapInArrow(encoded, schema)
 
