@@ -13,15 +13,17 @@ from counterfoil.model import MONEY, Pos
 
 
 def best_customers(pos: Pos, k: int = 1) -> DataFrame:
-    """The ``k`` names, of customers with a known zip, for which most was spent."""
+    """The ``k`` customers with a known zip who spent most; namesakes are told apart by their id."""
     spent = pos.orders.groupBy(F.col("customer_id").alias("id")).agg(F.sum("subtotal").alias("_spent"))
     buyers = pos.customers.join(pos.cities.select("zip"), "zip", "left_semi")
-    total = F.coalesce(F.sum("_spent"), F.lit(0)).cast(MONEY)
     return (
         buyers.join(spent, "id", "left")
-        .groupBy(full_name(F.col("firstName"), F.col("lastName")).alias("Customer Name"))
-        .agg(total.alias("totalSpent"))
-        .orderBy(F.col("totalSpent").desc(), "Customer Name")
+        .select(
+            F.col("id").alias("CustomerID"),
+            full_name(F.col("firstName"), F.col("lastName")).alias("Customer Name"),
+            F.coalesce("_spent", F.lit(0)).cast(MONEY).alias("totalSpent"),
+        )
+        .orderBy(F.col("totalSpent").desc(), "CustomerID")
         .limit(k)
     )
 

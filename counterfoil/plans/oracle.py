@@ -388,7 +388,14 @@ def _taxed(epsilon: str, only: str = "") -> str:
 
 _EPS = " + cast(0.000001 as decimal(7,6))"
 _HISTORY = 'select pid as product_id, old as "oldPrice", price as "newPrice", seq from price_step'
+_FULL_NAME = "fn || ' ' || ln"
 _SPENT = """
+    select cust.id as "CustomerID", {name} as "Customer Name",
+           cast(coalesce(sum(subtotal), 0) as decimal(18,2)) as "totalSpent"
+    from cust join city on cust.zip = city.zip left join ordt on cid = cust.id
+    group by cust.id, {name} order by 3 desc, 1 limit {k}"""
+#: Documents without ids tell customers by their names.
+_SPENT_BY_NAME = """
     select fn || ' ' || ln as "Customer Name", cast(coalesce(sum(subtotal), 0) as decimal(18,2)) as "totalSpent"
     from cust join city on cust.zip = city.zip left join ordt on cid = cust.id
     group by 1 order by 2 desc, 1 limit {k}"""
@@ -744,8 +751,11 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
             f"""select fn || ' ' || ln as "Customer Name", {_ADDRESS} as "Address"
                 from cust join city on cust.zip = city.zip where contains(lower({_ADDRESS}), '{region}')""",
         ),
-        "mongo_best_customer": _with(["cust", "city", "ordt"], _SPENT.format(k=1)),
-        "mongo_top10_customers": _with(["cust", "city", "ordt"], _SPENT.format(k=10)),
+        "mongo_best_customer": _with(["cust", "city", "ordt"], _SPENT.format(k=1, name=_FULL_NAME)),
+        "mongo_top10_customers": _with(["cust", "city", "ordt"], _SPENT.format(k=10, name=_FULL_NAME)),
+        "mongo_top10_namesakes": _with(["cust", "city", "ordt"], _SPENT.format(k=10, name="'Ann Lee'")),
+        "mongo_best_customer_docs": _with(["cust", "city", "ordt"], _SPENT_BY_NAME.format(k=1)),
+        "mongo_top10_customers_docs": _with(["cust", "city", "ordt"], _SPENT_BY_NAME.format(k=10)),
         "mongo_best_product": _with(
             ["sale", "cust"],
             """select pid as "ProductID", count(*) as purchases from sale join cust on cid = cust.id
@@ -955,5 +965,5 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
                select 'all', not exists (select * from ord where id not in (select oid from ol))""",
         ),
     }
-    questions = ("best_customer", "top10_customers", "best_product", "unsold_products", "recall", "fraud")
+    questions = ("best_product", "unsold_products", "recall", "fraud")
     return texts | {f"mongo_{name}_docs": texts[f"mongo_{name}"] for name in questions}

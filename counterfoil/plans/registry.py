@@ -541,6 +541,14 @@ def mongo_top10_customers(spark, folder):
     return questions.best_customers(_priced(spark, folder), 10)
 
 
+@query
+def mongo_top10_namesakes(spark, folder):
+    """The same where all customers have one name."""
+    pos = _priced(spark, folder)
+    named = pos.customers.withColumns({"firstName": F.lit("Ann"), "lastName": F.lit("Lee")})
+    return questions.best_customers(pos.with_(customers=named), 10)
+
+
 @query
 def mongo_best_product(spark, folder):
     return questions.best_products(_pos(spark, folder), 1)
