@@ -91,4 +91,113 @@ SELECT part, o.prefix AS filter_order, length(s.prefix)::INTEGER AS step, letter
        good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
 FROM (SELECT prefix FROM prefixes WHERE length(prefix) = 5) AS o JOIN steps AS s ON starts_with(o.prefix, s.prefix)"""
 
-ORACLE_SQL = {"op4_secret_scan": secret_scan_sql(), "op7_warc": WARC_SQL, "op12_filter_audit": FILTER_AUDIT_SQL}
+HARD_NEGATIVES_SQL = """
+WITH fine AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, list_dot_product(a.v, r.v)::BIGINT AS score
+    FROM fine AS a JOIN fine AS r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER best::INTEGER AS rank, vec_id AS negative_id, positive_score,
+       score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10"""
+
+
+SUBSTRING_DEDUP_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+words AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs),
+starts AS (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM docs),
+repeated AS (
+    SELECT r, i FROM (SELECT r, i, array_to_string(words[i : i + 34], ' ') AS w FROM starts)
+    QUALIFY count(*) OVER (PARTITION BY w) > 1),
+covered AS (
+    SELECT r, i, word, bool_or(d.i IS NOT NULL) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+    FROM words LEFT JOIN repeated AS d USING (r, i)),
+kept AS (
+    SELECT r, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text
+    FROM covered GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)"""
+
+# Windows of 2 to 4 words, the most frequent one's share of the characters; windows of 5 to 10, all repeats'.
+_TOP = {2: 0.20, 3: 0.18, 4: 0.16}
+_REPEATED = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+
+
+def _covered(n: int, which: str, value: str, name: str) -> str:
+    """Per text the sum of ``value`` over the words that windows of n words cover."""
+    return f"""
+{name} AS (
+    SELECT r, sum({value}) FILTER (inside) AS n FROM (
+        SELECT r, len, bool_or(coalesce({which}, false)) OVER (
+            PARTITION BY r ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS inside
+        FROM words LEFT JOIN (SELECT * FROM counted WHERE n = {n}) USING (r, i))
+    GROUP BY r)"""
+
+
+def quality_rules_sql() -> str:
+    sizes = ", ".join(map(str, [*_TOP, *_REPEATED]))
+    covered = ",".join(_covered(n, "nth > 1", "len", f"repeated_{n}") for n in _REPEATED)
+    joins = " ".join(f"LEFT JOIN repeated_{n} USING (r)" for n in _REPEATED)
+    tops = ", ".join(
+        f"coalesce(max(CASE WHEN n = {n} AND best > 1999999999 THEN"
+        f" least(1.0, ((best // 1000000000) * (best % 1000000000))::DOUBLE / word_chars) END), 0.0)::DOUBLE AS top_{n}"
+        for n in _TOP
+    )
+    shares = ", ".join(f"coalesce(repeated_{n}.n::DOUBLE / word_chars, 0.0) AS repeated_{n}" for n in _REPEATED)
+    limits = " AND ".join(
+        [f"top_{n} <= {limit}::DOUBLE" for n, limit in _TOP.items()]
+        + [f"repeated_{n} <= {limit}::DOUBLE" for n, limit in _REPEATED.items()]
+    )
+    names = ", ".join([f"top_{n}" for n in _TOP] + [f"repeated_{n}" for n in _REPEATED])
+    return rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+words AS (
+    SELECT r, i, length(word) AS len FROM (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs)),
+sizes AS (SELECT r, sum(len)::BIGINT AS word_chars FROM words GROUP BY r),
+windows AS (
+    SELECT r, n, i, array_to_string(words[i : i + n - 1], ' ') AS w
+    FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, (SELECT unnest([{sizes}]) AS n))),
+counted AS (
+    SELECT r, n, i, length(w) - n + 1 AS chars, count(*) OVER (PARTITION BY r, n, w) AS times,
+           row_number() OVER (PARTITION BY r, n, w ORDER BY i) AS nth
+    FROM windows),
+best AS (SELECT r, n, max(times * 1000000000 + chars) AS best FROM counted WHERE n <= {max(_TOP)} GROUP BY r, n),
+tops AS (SELECT r, {tops} FROM best JOIN sizes USING (r) GROUP BY r),
+lines AS (
+    SELECT r, line, row_number() OVER (PARTITION BY r, line) AS nth,
+           length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars
+    FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs)),
+doubled AS (
+    SELECT r, count(*) AS n_dup_lines, sum(chars) AS dup_chars FROM lines WHERE nth > 1 AND chars > 0 GROUP BY r),
+{covered},
+{_covered(8, "times > 1", "1", "repeat_words")},
+shares AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(word_chars, 0) AS word_chars,
+           (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+           coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(repeat_words.n, 0)::BIGINT AS n_repeat_words,
+           {", ".join(f"coalesce(top_{n}, 0.0) AS top_{n}" for n in _TOP)}, {shares},
+           coalesce(dup_chars::DOUBLE / word_chars, 0.0) AS repeated_lines
+    FROM docs LEFT JOIN sizes USING (r) LEFT JOIN tops USING (r) LEFT JOIN doubled USING (r)
+         LEFT JOIN repeat_words USING (r) {joins})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {names}, repeated_lines,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND {limits} AND repeated_lines <= 0.20::DOUBLE AS kept
+FROM shares"""
+
+ORACLE_SQL = {"op8_quality_rules": quality_rules_sql(), "op4_secret_scan": secret_scan_sql(), "op7_warc": WARC_SQL, "op11_hard_negatives": HARD_NEGATIVES_SQL, "op12_filter_audit": FILTER_AUDIT_SQL, "op13_substring_dedup": SUBSTRING_DEDUP_SQL}
