@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from counterfoil.llm.common import WORD, Memo
+from counterfoil.llm.common import Memo
 from counterfoil.session import pin, scratch_path
 
 WINDOW_WORDS = 35
@@ -49,8 +49,9 @@ ROWS = 500
 KEY = ["_row", "_tag"]
 
 
-def _word_hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+def words_of(text: bytes) -> list[bytes]:
+    """Words of a UTF-8 text; bytes split where the blank and the five controls from 9 to 13 stand, and nowhere else."""
+    return text.split()
 
 
 class Reader:
@@ -58,12 +59,12 @@ class Reader:
 
     def __init__(self, window: int, seed: int):
         self.window, self.seed = window, seed
-        self.hashes = Memo(_word_hash, REMEMBERED)
+        self.hashes = Memo(xxhash.xxh64_intdigest, REMEMBERED)
 
-    def read(self, words: list[str]) -> np.ndarray:
+    def read(self, words: list[bytes]) -> np.ndarray:
         return np.array(list(map(self.hashes.__getitem__, words)), dtype=np.uint64)
 
-    def paths(self, texts: list[list[str]]) -> tuple[np.ndarray, ...]:
+    def paths(self, texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
         """Place of the text, first window, last window, seed and edge of each path of the texts, looked at together."""
         hashes = self.read(list(chain.from_iterable(texts)))
         text_of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
@@ -113,8 +114,13 @@ def _edges(hashes: np.ndarray, first: list[int], last: list[int], window: int, m
     return np.array(names, dtype=np.uint64).astype(np.int64)
 
 
+def _column(values, kind: pa.DataType) -> pa.Array:
+    """Texts come as bytes."""
+    return pa.array(values, pa.binary()).cast(kind) if kind == pa.string() else pa.array(values, kind)
+
+
 def _per_batch(
-    rows: DataFrame, columns: str, work: Callable[[list[list[str]], dict[str, list]], list], copied: tuple[str, ...] = ()
+    rows: DataFrame, columns: str, work: Callable[[list[list[bytes]], dict[str, list]], list], copied: tuple[str, ...] = ()
 ) -> DataFrame:
     """Rows that ``work`` finds in the words of texts, with the text's key and the columns ``copied``.
 
@@ -132,10 +138,10 @@ def _per_batch(
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                words = [WORD.findall(t) for t in batch.column("text").to_pylist()]
+                words = [words_of(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
                 source, *values = work(words, {c: batch.column(c).to_pylist() for c in given})
                 taken = pa.array(source, pa.int64())
-                joined = [pa.array(v, kind) for v, kind in zip(values, kinds)]
+                joined = [_column(v, kind) for v, kind in zip(values, kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column(c).take(taken) for c in kept] + joined, [*kept, *names])
 
     return rows.mapInArrow(found, f"{plain}, {columns}")
@@ -175,11 +181,11 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW_WORDS, seed: int = SEE
     mask = (1 << bits) - 1
     reader = Reader(window, seed)
 
-    def paths_of(texts: list[list[str]], given: dict[str, list]) -> list:
+    def paths_of(texts: list[list[bytes]], given: dict[str, list]) -> list:
         source, first, last, at, to, seeds, hashes = reader.paths(texts)
         return [source, at, to, seeds, _edges(hashes, first.tolist(), last.tolist(), window, mask)]
 
-    def windows_of(texts: list[list[str]], given: dict[str, list]) -> list:
+    def windows_of(texts: list[list[bytes]], given: dict[str, list]) -> list:
         found = []
         for place, (words, asked) in enumerate(zip(texts, given["asked"])):
             for p in asked:
@@ -264,12 +270,11 @@ def _compacted(whole: DataFrame) -> DataFrame:
 def _verified(texts: DataFrame, spans: DataFrame, window: int) -> DataFrame:
     """``spans`` whose words, read at their coordinates, are those of another span of the same name and length."""
 
-    def digests_of(texts: list[list[str]], given: dict[str, list]) -> list:
+    def digests_of(texts: list[list[bytes]], given: dict[str, list]) -> list:
         found = []
         for place, (words, held) in enumerate(zip(texts, given["spans"])):
             for s in held:
-                read = " ".join(words[s["first"] : s["last"] + window]).encode("utf-8", "surrogatepass")
-                digest = hashlib.blake2b(read, digest_size=16).digest()
+                digest = hashlib.blake2b(b" ".join(words[s["first"] : s["last"] + window]), digest_size=16).digest()
                 found.append((place, s["first"], s["last"], s["seed"], s["edge"], digest))
         return [list(c) for c in zip(*found)] if found else [[]] * 6
 
@@ -303,7 +308,7 @@ def remove_repeats(
     gone = repeated_spans(texts, window, seed, bits).filter("gone")
     lists = gone.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
 
-    def kept_of(texts: list[list[str]], given: dict[str, list]) -> list:
+    def kept_of(texts: list[list[bytes]], given: dict[str, list]) -> list:
         kept = []
         for words, spans in zip(texts, given["spans"]):
             if spans:
@@ -314,7 +319,7 @@ def remove_repeats(
                 words = [w for w, covered in zip(words, np.cumsum(gone[:-1]).tolist()) if not covered]
             kept.append(words)
         sizes = [len(words) for words in texts]
-        return [list(range(len(texts))), [" ".join(k) for k in kept], sizes, [n - len(k) for n, k in zip(sizes, kept)]]
+        return [list(range(len(texts))), [b" ".join(k) for k in kept], sizes, [n - len(k) for n, k in zip(sizes, kept)]]
 
     rows = _per_batch(
         texts.join(lists, KEY, "left"), "kept string, n_words long, n_removed long", kept_of, ("doc_id", "copies")

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from counterfoil.llm import substring_dedup
-from counterfoil.llm.common import table
+from counterfoil.llm.common import WORD, table
 from counterfoil.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -83,6 +83,7 @@ def test_no_rows(spark):
 
 def check_paths(texts, limit=None):
     """Paths cover the windows of each text one after the other."""
+    texts = [[w.encode() for w in t] for t in texts]
     source, first, last, at, to, seeds, hashes = substring_dedup.Reader(35, 8).paths(texts)
     assert len(hashes) == sum(map(len, texts)) and len(seeds) == len(first)
     for n, words in enumerate(texts):
@@ -102,6 +103,12 @@ def test_long_texts_in_parts(monkeypatch):
     check_paths([[str(i) for i in range(1000)], ["x"] * 300])
 
 
+@given(st.text(alphabet=st.characters() | st.sampled_from("\x1c\x1f\x85\xa0\u2003 \t\n\x0b\x0c\r")))
+def test_words(text):
+    raw = text.encode("utf-8", "surrogatepass")
+    assert substring_dedup.words_of(raw) == [w.encode("utf-8", "surrogatepass") for w in WORD.findall(text)]
+
+
 def test_query_on_documents(spark):
     docs = table(spark, SMALL, "documents").select("doc_id", "text").collect()
     import hashlib
