@@ -95,6 +95,25 @@ def test_random_documents_fall_into_the_same_classes(spark):
         assert by_text.setdefault(canonical[n], form) == form, (written[n], canonical[n])
 
 
+def shuffled_rows(spark, left, right):
+    """Rows that the comparison counts one by one, behind the sums of buckets."""
+    digests = [docs_of(spark, *texts).select(F.sha2(canonical_document("doc"), 256).alias("digest")) for texts in (left, right)]
+    tagged = compare._tagged(*digests)
+    return compare._open_digests(tagged, compare._bucket_sums(tagged)).count()
+
+
+def test_equal_sides_move_no_rows(spark):
+    texts = [json.dumps({"k": i % 900}) for i in range(2000)]
+    assert shuffled_rows(spark, texts, texts[::-1]) == 0
+    assert diff(spark, texts, texts[::-1]) == (2000, 0, 0)
+    other = texts[:-1] + ['{"k":"new"}']
+    assert 2 <= shuffled_rows(spark, texts, other) < 20
+    assert diff(spark, texts, other) == (1999, 1, 1)
+    # As many documents, in the same bucket or not, are no proof.
+    assert diff(spark, texts[:2] * 2, texts[:2] + texts[1:2] * 2) == (3, 1, 1)
+    assert diff(spark, [], []) == (0, 0, 0)
+
+
 def test_escapes_in_keys(spark):
     assert diff(spark, [r'{"a\u0020b" : {  }}'], ['{"ab":[]}']) == (1, 0, 0)
     assert diff(spark, [r'{"a\\u0020b":1}'], ['{"ab":1}']) == (0, 1, 1)
