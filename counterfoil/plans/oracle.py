@@ -703,6 +703,8 @@ def oracle_sql(start, end, product: int, region: str, recalled: int) -> dict[str
         "sales_tax_touched": _taxed(_EPS, _OPEN_ORDERS),
         "sales_report": one_report,
         "sales_report_statement": one_report,
+        "sales_report_blocks": one_report,
+        "sales_report_all_blocks": _with(["olp", "ord"], _REPORT.format(key="pid", more="group by pid", **report)),
         "sales_report_all": _with(["olp", "ord"], _REPORT.format(key="pid", more="group by pid", **report)),
         "price_history": _with(["price_step"], _HISTORY + " where old <> price"),
         "price_history_unchanged": _with(["price_step"], _HISTORY),

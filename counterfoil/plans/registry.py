@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from counterfoil.functions import cleaning
 from counterfoil.model import MONEY, RATE, Pos
 from counterfoil.operators import changes as ch
-from counterfoil.operators import compare, counted, documents, etl, money, prices, quality, questions, views
+from counterfoil.operators import compare, counted, documents, dyadic, etl, money, prices, quality, questions, views
 from counterfoil.operators import document_queries as dq
 from counterfoil.plans.build import build_pos, refresh_full
 from counterfoil.plans.checks import quality_report
@@ -363,6 +363,34 @@ def sales_report_all(spark, folder):
     return money.sales_report(_priced(spark, folder), REPORT_START, REPORT_END)
 
 
+def _sales_blocks(spark, folder) -> tuple[DataFrame, Pos]:
+    """Blocks of days of the fulfilled items, brought up to date by what the open ones add."""
+    pos = _priced(spark, folder)
+    fulfilled = money.priced(pos.with_(lines=_lines_with_status(spark, folder, "F")))
+    stored = pin(dyadic.blocks(dyadic.day_sums(fulfilled)), "level")
+    keys = ["order_id", "product_id"]
+    before = fulfilled.lines.select(*keys, F.col("quantity").alias("_before"))
+    changes = pos.lines.join(before, keys, "left").select(
+        *keys, F.when(F.col("_before").isNull(), "insert").otherwise("update").alias("op"),
+        (F.col("quantity") - F.coalesce("_before", F.lit(0))).alias("delta"), F.col("unitPrice").alias("unit_price"),
+    ).where("delta <> 0")
+    return pin(dyadic.updated(stored, dyadic.changed_days(changes, pos.orders)), "level"), pos
+
+
+@query
+def sales_report_blocks(spark, folder):
+    """``sales_report`` from blocks of days."""
+    stored, pos = _sales_blocks(spark, folder)
+    return dyadic.sales_report(stored, pos.products, REPORT_START, REPORT_END, REPORT_PRODUCT)
+
+
+@query
+def sales_report_all_blocks(spark, folder):
+    """``sales_report_all`` from blocks of days."""
+    stored, pos = _sales_blocks(spark, folder)
+    return dyadic.sales_report(stored, pos.products, REPORT_START, REPORT_END)
+
+
 @query
 def sales_report_statement(spark, folder):
     """The report as a parameterized statement."""
