@@ -100,13 +100,18 @@ def fit(built: tuple[bytes, bytes], points: np.ndarray, label: np.ndarray, rows:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, texts: int = SAMPLE_TEXTS
 ) -> tuple[dict[int, list[tuple[str, int]]], dict[int, int]]:
-    """Different beginnings per label with a doc_id of each, and the number of labelled rows of each.
+    """Different beginnings per label with a doc_id of each, and the number of labelled ids of each.
 
     Ids are chosen from ``labels`` alone: hashes fall into ``texts`` classes, of each label
     and class the smallest is taken. At most 2 * ``texts`` beginnings reach the driver.
     """
-    known = labels.filter(learnable("doc_id") & F.col("quality").isin(0, 1)).select(
-        "doc_id", F.col("quality").cast("int").alias("quality"), F.xxhash64("doc_id").alias("h")
+    # An id that is labelled both ways teaches nothing.
+    known = (
+        labels.filter(learnable("doc_id") & F.col("quality").isin(0, 1))
+        .groupBy("doc_id")
+        .agg(F.min("quality").cast("int").alias("quality"), F.max("quality").cast("int").alias("_other"))
+        .filter("quality = _other")
+        .select("doc_id", "quality", F.xxhash64("doc_id").alias("h"))
     )
     parts = (
         known.groupBy("quality", F.pmod("h", F.lit(texts)).alias("part"))
@@ -187,7 +192,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """doc_id, held_out, score, predicted for each row of ``docs``.
 
     Learned from labels whose fold is not 0. NULL and empty texts are compressed like any
-    other; repeated rows get equal scores; NULL ids are not held out and carry no label.
+    other; repeated rows get equal scores; NULL ids are not held out and carry no label; an id with both labels counts
+    as not labelled.
     Without good or without bad texts every row gets the share of good labels (0.5 if
     there are none).
     """
