@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -9,6 +11,7 @@ from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 _DONE = "_SUCCESS"
+_VERSION = re.compile(r"version-(\d+)-")
 
 
 def _path(spark: SparkSession, text: str) -> JavaObject:
@@ -39,7 +42,12 @@ def subfolders(spark: SparkSession, text: str) -> list[str]:
 
 def versions(spark: SparkSession, root: str) -> list[str]:
     """Names of the complete versions, oldest first."""
-    return [name for name in subfolders(spark, root) if exists(spark, f"{root}/{name}/{_DONE}")]
+    return [name for name in _numbered(spark, root) if exists(spark, f"{root}/{name}/{_DONE}")]
+
+
+def _numbered(spark: SparkSession, root: str) -> list[str]:
+    """Folders that are versions, in their order; others are not looked at."""
+    return [name for name in subfolders(spark, root) if _VERSION.match(name)]
 
 
 def materialize(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
@@ -50,8 +58,9 @@ def materialize(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> s
     success mark, is never read.
     """
     spark = df.sparkSession
-    number = max((int(name.split("-")[1]) for name in subfolders(spark, root)), default=0) + 1
-    path = f"{root}/version-{number:09d}-{uuid.uuid4().hex[:8]}"
+    number = max((int(_VERSION.match(name)[1]) for name in _numbered(spark, root)), default=0) + 1
+    # Of two refreshes that take one number at once, the one that began later counts.
+    path = f"{root}/version-{number:09d}-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     df.write.partitionBy(*partition_by).parquet(path)
     return path
 

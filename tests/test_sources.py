@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import os
+import shutil
 from decimal import Decimal as D
 
 import pytest
@@ -180,3 +182,18 @@ def test_repeated_keys_leave_one_row_each(spark):
     assert rows(etl.one_row_per_key(rates, "zip")) == [("00501", "NY", 0.07), ("00601", None, 0.1)]
     assert etl.one_row_per_key(rates, "zip").columns == rates.columns
     assert etl.one_row_per_key(rates.limit(0), "zip").count() == 0
+
+
+def test_foreign_folders_and_equal_numbers_of_versions(spark, tmp_path):
+    root = f"{tmp_path}/mv"
+    os.makedirs(f"{root}/notes")
+    os.makedirs(f"{root}/version-x")
+    first = materialize(spark.range(1), root)
+    second = materialize(spark.range(2), root)
+    # A refresh that began after the second one, and took its number.
+    number = os.path.basename(second).split("-")[1]
+    late = f"{root}/version-{number}-{10**19 + 1:020d}-00000000"
+    shutil.copytree(first, late)
+    assert versions(spark, root)[-1] == os.path.basename(late) and latest(spark, root).count() == 1
+    assert int(os.path.basename(materialize(spark.range(3), root)).split("-")[1]) == int(number) + 1
+    assert latest(spark, root).count() == 3
