@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from counterfoil.session import scratch_path
+from counterfoil.session import pin
 
 LEDGER = "blob_id string, rule string, version int, spans array<struct<start: bigint, end: bigint>>"
 MARK = "[SECRET]"
@@ -193,10 +193,12 @@ def findings(versions: DataFrame, scanned: DataFrame, rules: tuple[Rule, ...] =
     )
     empty = {f"n_{k}": F.lit(0).cast("long") for k in base}
     empty |= {"base_sha256": F.sha2(F.lit(""), 256), "spans": F.lit(""), "n_spans": F.lit(0).cast("long")}
-    kept = [c for c in versions.columns if c not in ("text", "blob_id", *empty)]
+    taken = {"text", "blob_id", *empty}
+    kept = [f"`{c}`" for c in versions.columns if c.lower() not in taken]
+    # Written first, so that nothing but the join happens where a blob of many paths is; Spark then splits it.
     return (
         versions.select(*kept, blob_id("text"))
-        .join(per_blob, "blob_id", "left")
+        .join(pin(per_blob), "blob_id", "left")
         .select(*kept, "blob_id", *[F.coalesce(c, other).alias(c) for c, other in empty.items()])
     )
 
@@ -232,12 +234,13 @@ def redact(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     found = runs_of.isNotNull()
     joined = (
         docs.select(F.struct("*").alias("row"), blob_id("text").alias("_blob"))
-        .join(runs, "_blob", "left")
+        .join(pin(runs), "_blob", "left")
         .withColumn("_text", F.when(found, changed).otherwise(text))
     )
     columns = {name: F.col(f"row.`{name}`") for name in docs.columns}
     columns["text"] = F.col("_text")
-    if "n_chars" in columns:
-        kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(found, F.length("_text").cast(kind)).otherwise(columns["n_chars"])
+    for name in columns:
+        if name.lower() == "n_chars":
+            kind = docs.schema[name].dataType
+            columns[name] = F.when(found, F.length("_text").cast(kind)).otherwise(columns[name])
     return joined.select(*[column.alias(name) for name, column in columns.items()])

@@ -156,8 +156,9 @@ def _placed(prints: DataFrame, max_bits: int) -> DataFrame:
     near = pin(links(classes, max_bits))
     linked = components(near).withColumnRenamed("node", "bits")
     degree = near.select(F.explode(F.array("a", "b")).alias("bits")).groupBy("bits").agg(F.count("*").alias("links"))
-    placed = classes.join(linked, "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    roots = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Both written first, so that nothing but the join happens where a large component is; Spark then splits it.
+    placed = pin(classes.join(linked, "bits", "left").withColumn("root", F.coalesce("root", "bits")))
+    roots = pin(placed.groupBy("root").agg(F.min("least").alias("component_id")))
     return (
         placed.join(roots, "root")
         .join(degree, "bits", "left")
