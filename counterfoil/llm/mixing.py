@@ -15,6 +15,7 @@ few words of its target. Copies of one size go to its documents in the order of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,7 @@ from counterfoil.session import pin
 # Weights of the sources in order, and how often a document may be taken.
 WEIGHTS = (5, 2, 1)
 MOST = 3
+#: Newton steps; a source that is not there by then halves its bracket until it is a point.
 ROUNDS = 40
 #: Bracket of the tilts, and the tilt of a source that is taken as often as it may be.
 STEEPEST = 1e4
@@ -83,7 +85,8 @@ def tilts(counts: DataFrame, goals: DataFrame, most: int = MOST, rounds: int = R
     its target, the curvature sums rate * (most - rate) / most * size**2 / mean. A step that
     leaves the bracket of known signs is replaced by its middle. Sums are exact decimals, so
     reruns and other partitionings agree. Stops when every source is within a
-    millionth of its target or has reached a bound.
+    millionth of its target, has reached a bound, or has a bracket that is a point; after ``rounds`` steps brackets
+    are halved, so that comes.
     """
     full = F.col("target") >= most * F.col("source_size") * (1 - 1e-9)
     state = pin(
@@ -101,7 +104,7 @@ def tilts(counts: DataFrame, goals: DataFrame, most: int = MOST, rounds: int = R
             full.alias("done"),
         )
     )
-    for _ in range(rounds):
+    for turn in count():
         size = F.col("size").cast("double")
         rate = _rate(F.col("tilt"), size, F.col("mean"), most)
         sums = (
@@ -127,7 +130,7 @@ def tilts(counts: DataFrame, goals: DataFrame, most: int = MOST, rounds: int = R
             .withColumn("_near", F.coalesce(near, F.col("done")))
             .withColumn(
                 "_next",
-                F.when((step > F.col("_low")) & (step < F.col("_high")), step).otherwise(
+                F.when((step > F.col("_low")) & (step < F.col("_high")) & F.lit(turn < rounds), step).otherwise(
                     (F.col("_low") + F.col("_high")) / 2
                 ),
             )
