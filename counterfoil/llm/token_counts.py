@@ -117,10 +117,11 @@ def count_tokens(docs: DataFrame, model: bytes, text: str = "text", limit: int =
 
     One pass without a shuffle; rows stay one to one, repeated rows and NULL ids included.
     NULL texts are empty texts: 0 bytes, 0 tokens. Columns of ``docs`` with the names of
-    the three results are replaced.
+    the three results, in any case, are replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    kept = [c for c in docs.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
+    taken = {text.lower(), "n_bytes", "n_tokens", "over_limit"}
+    kept = [f"`{c}`" for c in docs.columns if c.lower() not in taken]
     return docs.select(
         *kept, F.octet_length(whole).cast("long").alias("n_bytes"), token_count(whole, model).alias("n_tokens")
     ).withColumn("over_limit", F.col("n_tokens") > limit)
