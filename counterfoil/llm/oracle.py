@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
-from counterfoil.llm.secrets import BASE_RULES, RULES, Rule
-
-
-def _spans(rule: Rule, place: int) -> str:
-    pattern = rule.pattern.replace("'", "''")
-    value = f"length(regexp_extract(piece, '{pattern}', {rule.group}))"
+# Kinds of secrets, how they are written, the group that counts and its fewest characters; the first three
+# make up the base.
+_KINDS = (
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]+", 0, 16),
+    ("private_key", "-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----", 0, 27),
+    ("bearer", "gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
+)
+_BASE = ("assign", "access", "hex")
+
+
+def _spans(place: int, kind: str, pattern: str, group: int, least: int) -> str:
+    pattern = pattern.replace("'", "''")
+    value = f"length(regexp_extract(piece, '{pattern}', {group}))"
     return f"""
-    SELECT b.text, '{rule.kind}' AS kind, {place} AS place, sum(length(piece)) OVER (PARTITION BY b.text ORDER BY n) AS stop,
-           length(regexp_extract(piece, '{pattern}')) AS matched, {value} >= {rule.least} AS fits
+    SELECT b.text, '{kind}' AS kind, {place} AS place, sum(length(piece)) OVER (PARTITION BY b.text ORDER BY n) AS stop,
+           length(regexp_extract(piece, '{pattern}')) AS matched, {value} >= {least} AS fits
     FROM (SELECT text, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS n
           FROM (SELECT text, regexp_extract_all(text, '(?s).*?(?:{pattern})') AS pieces FROM blobs)) AS b"""
 
 
 def secret_scan_sql() -> str:
-    spans = "\n    UNION ALL".join(_spans(rule, place) for place, rule in enumerate(RULES))
+    spans = "\n    UNION ALL".join(_spans(place, *kind) for place, kind in enumerate(_KINDS))
     listed = "string_agg(kind || ':' || (stop - matched)::BIGINT || ':' || stop::BIGINT, ',' ORDER BY stop - matched, place)"
     counts = ", ".join(
-        f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r in BASE_RULES
+        f"coalesce(n_{kind}, 0)::BIGINT AS n_{kind}" for kind in _BASE
     )
-    per_kind = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)
+    per_kind = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind in _BASE)
     return f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 blobs AS (SELECT DISTINCT text FROM docs),
 spans AS ({spans}),
 per_blob AS (
     SELECT text, {per_kind}, count(*) AS n_spans,
-           {listed} FILTER (place < {len(BASE_RULES)}) AS base,
+           {listed} FILTER (place < {len(_BASE)}) AS base,
            {listed} AS spans
     FROM spans WHERE fits GROUP BY text)
 SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
