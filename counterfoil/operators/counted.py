@@ -87,9 +87,8 @@ class CountedView:
         """Count all lines once."""
         counted = _of_view(bought_pairs(pos), self.view, "copies")
         rows = counted.select("*", F.lit(0).cast("long").alias("was"), F.lit(-1).cast("long").alias("refresh"), _folder(self.folders))
-        pairs = pin(rows)
-        self._write(pairs, "pairs")
-        self._write(self._texts(pairs, pos), "texts")
+        self._write(rows, "pairs")
+        self._write(self._texts(self._read("pairs"), pos), "texts")
         return self
 
     def _write(self, rows: DataFrame, name: str) -> None:
