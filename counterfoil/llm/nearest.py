@@ -7,7 +7,7 @@ columns by block of columns; after each block a hypothesis test compares what a
 has so far, scaled to all dimensions, with the distance of the query's k-th best among a
 sample, and candidates that fail are abandoned. What survives gets its inner product on the original
 vectors in double precision. A query left with fewer than k answers although there are more
-candidates is searched again in all lists without a bound.
+candidates is searched again in twice as many lists without a bound, at last in all.
 
 Lists are cut into groups of bounded size and queries into blocks of bounded size; each
 pair of a group and a block is one step of a task.
@@ -172,10 +172,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     few candidates give fewer rows, none give none.
 
     Equal vectors are one candidate: of each, the k + 1 smallest ids stand in a list, which
-    loses no answer, and equal queries are searched once. Repeated rows with one id count as one.
+    loses no answer, and equal queries are searched once. Rows with one id count as one, with the least of their vectors.
     """
     spark = vectors.sparkSession
-    rows = pin(usable(vectors).dropDuplicates(["vec_id"]))
+    # Of several vectors with one id the least stays.
+    rows = pin(usable(vectors).groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
     about = rows.agg(
         F.count("*").alias("n"),
         F.max(F.size("embedding")).alias("size"),
@@ -194,11 +195,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     def home(vector: pd.Series) -> pd.Series:
         return pd.Series(space.lists(space.turned(_matrix(vector)), 1)[:, 0]).astype("int32")
 
-    @F.pandas_udf("lists array<int>, bound double")
-    def probes(vector: pd.Series) -> pd.DataFrame:
-        queries = _matrix(vector)
-        lists = space.lists(space.query(queries), space.probed).astype("int32")
-        return pd.DataFrame({"lists": list(lists), "bound": bounds(space, queries, k + 1)})
+    def probes(width: int):
+        @F.pandas_udf("lists array<int>, bound double")
+        def probed(vector: pd.Series) -> pd.DataFrame:
+            queries = _matrix(vector)
+            lists = space.lists(space.query(queries), width).astype("int32")
+            return pd.DataFrame({"lists": list(lists), "bound": bounds(space, queries, k + 1)})
+
+        return probed
 
     copies = Window.partitionBy("embedding").orderBy("vec_id")
     candidates = pin(
@@ -212,7 +216,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     cells = candidates.join(groups, "list").select(
         "vec_id", "embedding", "list", F.pmod(F.xxhash64("vec_id"), F.col("groups")).cast("int").alias("part")
     )
-    asking = [F.col(c).alias(f"_{c}") for c in ("list", "part", "block")]
+    asking_keys = [F.col(c).alias(f"_{c}") for c in ("list", "part", "block")]
 
     def scanned(key, near: pd.DataFrame, far: pd.DataFrame) -> pd.DataFrame:
         if not len(near) or not len(far):
@@ -235,11 +239,23 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     keys = ["list", "part", "block"]
     best = Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id")
 
-    def best_in(lists: DataFrame, askers: int) -> DataFrame:
-        """The k + 1 best of each asker in the cells of ``lists`` (asker, embedding, bound, list, groups)."""
-        blocks = max(1, -(-askers // BLOCK_QUERIES))
+    def best_in(asking: DataFrame, width: int, bounded: bool) -> DataFrame:
+        """The k + 1 best of each asker (asker, embedding) in its ``width`` nearest lists.
+
+        Blocks of askers are cut inside each list, so a list's candidates are copied once per block of those that
+        probe it, whatever the number of all askers.
+        """
+        probed = asking.withColumn("to", probes(width)("embedding")).select(
+            "asker",
+            "embedding",
+            (F.col("to.bound") if bounded else F.lit(float("inf"))).alias("bound"),
+            F.explode("to.lists").alias("list"),
+        )
+        probed = pin(probed.join(groups, "list"))
+        blocks = probed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks"))
         probing = pin(
-            lists.withColumn("block", F.pmod(F.xxhash64("asker"), F.lit(blocks)).cast("int"))
+            probed.join(blocks, "list")
+            .withColumn("block", F.pmod(F.xxhash64("asker"), F.col("blocks")).cast("int"))
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
         )
         # Each block of queries meets each group it probes.
@@ -247,23 +263,25 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         left = cells.join(met, ["list", "part"]).select("list", "part", "block", "vec_id", "embedding")
         found = (
             left.groupBy(*keys)
-            .cogroup(probing.select(*asking, "asker", "embedding", "bound").groupBy("_list", "_part", "_block"))
+            .cogroup(probing.select(*asking_keys, "asker", "embedding", "bound").groupBy("_list", "_part", "_block"))
             .applyInPandas(scanned, "asker long, vec_id long, score double")
         )
         return pin(found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place"))
 
-    probed = asked.withColumn("to", probes("embedding")).select(
-        "asker", "embedding", "to.bound", F.explode("to.lists").alias("list")
-    )
-    top = best_in(probed.join(groups, "list"), asked.count())
-    # An asker is a candidate of its own, so k answers are k + 1 rows.
+    top = best_in(asked, space.probed, True)
+    # An asker is a candidate of its own, so k answers are k + 1 rows. Who has fewer looks again, without a bound, in
+    # twice as many lists each time, at last in all.
     enough = min(k + 1, candidates.count())
-    counts = top.groupBy("asker").agg(F.count("*").alias("n"))
-    short = pin(asked.join(counts, "asker", "left").filter(F.coalesce("n", F.lit(0)) < enough).drop("n"))
-    again = short.count()
-    if again:
-        everywhere = short.withColumn("bound", F.lit(float("inf"))).crossJoin(groups)
-        top = top.join(short.select("asker"), "asker", "left_anti").unionByName(best_in(everywhere, again))
+    width = space.probed
+    while True:
+        counts = top.groupBy("asker").agg(F.count("*").alias("n"))
+        short = pin(asked.join(counts, "asker", "left").filter(F.coalesce("n", F.lit(0)) < enough).drop("n"))
+        if short.isEmpty():
+            break
+        width = min(2 * width, len(space.centres))
+        top = pin(top.join(short.select("asker"), "asker", "left_anti").unionByName(best_in(short, width, False)))
+        if width == len(space.centres):
+            break
     # Every query with the answers to its vector, less itself.
     answers = (
         rows.filter(is_query)
