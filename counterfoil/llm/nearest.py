@@ -211,7 +211,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         .select("vec_id", "embedding", home("embedding").alias("list"))
     )
     # Lists larger than a group are cut by a hash of the id.
-    groups = candidates.groupBy("list").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("groups"))
+    groups = pin(candidates.groupBy("list").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("groups")))
     asked = pin(rows.filter(is_query).groupBy("embedding").agg(F.min("vec_id").alias("asker")))
     cells = candidates.join(groups, "list").select(
         "vec_id", "embedding", "list", F.pmod(F.xxhash64("vec_id"), F.col("groups")).cast("int").alias("part")
@@ -252,7 +252,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             F.explode("to.lists").alias("list"),
         )
         probed = pin(probed.join(groups, "list"))
-        blocks = probed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks"))
+        # Written, a row per list, so that Spark knows its size and does not deal out queries by list for it.
+        blocks = pin(probed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks")))
         probing = pin(
             probed.join(blocks, "list")
             .withColumn("block", F.pmod(F.xxhash64("asker"), F.col("blocks")).cast("int"))
