@@ -194,3 +194,20 @@ def test_upsert(spark):
 def test_document_text_keeps_nulls(spark):
     df = spark.range(1).select(F.lit(None).cast("int").alias("a b"), F.lit(1.5).cast("decimal(6,2)").alias("c"))
     assert df.select(as_json(df)).first()[0] == '{"a b":null,"c":1.50}'
+
+
+def test_a_document_is_parsed_once(spark):
+    plan = docs_of(spark, "1").select(canonical_document("doc"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("to_json(") + plan.count("to_json,") == 1
+
+
+def test_texts_that_look_like_keys_stay(spark):
+    """Documents without escapes are not cut into tokens; texts keep their spaces, keys lose them."""
+    pairs = {
+        '{"a b": "c d", "e": ["f g", ":h i", " :"]}': '{"ab":"c d","e":["f g",":h i"," :"]}',
+        '{"k 1" : {"a b,": "x, y"}, "z": "a b"}': '{"k1":{"ab,":"x, y"},"z":"a b"}',
+        '{"a b":true,"c d":{ },"e":"true {}"}': '{"ab":1,"cd":[],"e":"true {}"}',
+        '{"a b":"x\\"y z","c d":1.50}': '{"ab":"x\\"y z","cd":1.5}',
+    }
+    got = docs_of(spark, *pairs).select("doc", canonical_document("doc").alias("c")).collect()
+    assert {r["doc"]: r["c"] for r in got} == pairs
