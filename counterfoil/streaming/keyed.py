@@ -31,6 +31,8 @@ _FIELDS = [field.split()[0] for field in LOG.replace("decimal(6,2)", "decimal").
 class ProductState(StatefulProcessor):
     """Last price, stock left and last number of a product as values; the lines that changes touched as a map.
 
+    A product without state begins with the price and stock that its events bring along.
+
     Events of a micro-batch are taken in the order of their numbers; one that is not above the last number of an earlier
     batch is late. In memory are the events of one product in one micro-batch.
     """
@@ -39,13 +41,13 @@ class ProductState(StatefulProcessor):
         self.product = handle.getValueState("product", "price decimal(6,2), stock int, last_seq long, known boolean")
         self.lines = handle.getMapState("lines", "order_id long", "quantity int, unit_price decimal(6,2)")
 
-    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        self.product.update((initialState.price, initialState.stock, None, True))
-
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        price, stock, last_seq, known = self.product.get() or (None, None, None, False)
+        events = sorted(rows, key=lambda r: (r.seq is not None, r.seq or 0))
+        begun = (events[0].start_price, events[0].start_stock, None, bool(events[0].known_product))
+        stored = self.product.get()
+        price, stock, last_seq, known = stored or begun
         lines, touched, newest = {}, set(), last_seq
-        for event in sorted(rows, key=lambda r: (r.seq is not None, r.seq or 0)):
+        for event in events:
             op, order = event.op, event.order_id
             out = dict.fromkeys(_FIELDS) | {
                 "op": op, "seq": event.seq, "order_id": order, "product_id": event.product_id,
@@ -70,7 +72,8 @@ class ProductState(StatefulProcessor):
                 elif reason is None:
                     if order not in lines:
                         held = (event.held, event.held_price) if event.has_line else (None, None)
-                        lines[order] = self.lines.getValue((order,)) or held
+                        # Lines are kept only with the product, so a product without state has none to ask for.
+                        lines[order] = (self.lines.getValue((order,)) if stored else None) or held
                     old, unit_price = lines[order]
                     reason, used = decide_one(op, event.quantity, event.moved, old, stock)
                     out["old_quantity"] = old

@@ -193,3 +193,14 @@ def test_a_table_pinned_by_folders_keeps_its_rows(spark):
     df = spark.range(10).selectExpr("id % 3 as part", "id")
     pinned = pin(df, "part")
     assert pinned.columns == ["part", "id"] and rows(pinned) == rows(df)
+
+
+def test_state_holds_products_with_events_only(spark, priced_shop, tmp_path):
+    """Stock and price of the others are looked up when they have one; rows with one id count as one."""
+    feed, root = f"{tmp_path}/feed", f"{tmp_path}/lines"
+    twice = priced_shop.with_(products=priced_shop.products.unionAll(priced_shop.products))
+    line_files(feed, [(0, 3), (3, 9)])
+    log = run(spark, jobs.line_change_stream, feed, twice, root)
+    assert [r[0] for r in outcomes(log)] == list(range(1, 10))
+    state = spark.read.format("statestore").option("stateVarName", "product").load(f"{root}/checkpoint")
+    assert state.count() == len({row[3] for row in FEED if row[3] is not None}) < priced_shop.products.count()
