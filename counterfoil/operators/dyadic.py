@@ -57,15 +57,20 @@ def changed_days(accepted: DataFrame, orders: DataFrame) -> DataFrame:
 
 def blocks(days: DataFrame) -> DataFrame:
     """(product_id, level, block, sums): level l has blocks of 2**l days, numbered from 1970 on."""
+    # A product has a row a day at most, so its days are brought together once and no block is shuffled. Each row becomes
+    # a row per level, hence more tasks.
+    tasks = 4 * int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level")
-    placed = days.select("*", levels).withColumn("block", F.expr("shiftright(day, level)"))
+    placed = days.repartition(tasks, "product_id").select("*", levels).withColumn("block", F.expr("shiftright(day, level)"))
     return _summed(placed, "product_id", "level", "block")
 
 
 def updated(stored: DataFrame, changes: DataFrame) -> DataFrame:
     """``stored`` blocks after ``changes`` (``changed_days``); blocks without lines go."""
-    both = stored.unionByName(blocks(changes))
-    return _summed(both, "product_id", "level", "block").where("lines <> 0")
+    # Blocks of one day are the days' sums; the larger ones are put together from them again.
+    days = stored.where("level = 0").select("product_id", F.col("block").alias("day"), *SUMS)
+    both = _summed(days.unionByName(changes), "product_id", "day")
+    return blocks(both).where("lines <> 0")
 
 
 def cover(start: dt.date, end: dt.date) -> list[tuple[int, int]]:

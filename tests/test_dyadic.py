@@ -60,3 +60,12 @@ def test_a_report_reads_blocks_only(spark, priced_shop, tmp_path):
     files = stored.where(dyadic._within(*RANGES[1])).inputFiles()
     assert files and "unitPrice" not in report._jdf.queryExecution().optimizedPlan().toString()
     assert stored.where(dyadic._within(*RANGES[0])).where("product_id = 2").count() <= 2 * dyadic.LEVELS
+
+
+def test_blocks_are_not_shuffled(spark, priced_shop):
+    """Days of a product are brought together; what they are summed up to stays where it is, also after changes."""
+    days = pin(dyadic.day_sums(priced_shop))
+    for made in (dyadic.blocks(days), dyadic.updated(pin(dyadic.blocks(days)), days)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+        assert exchanges and not any("level#" in line or "block#" in line for line in exchanges)
