@@ -65,21 +65,24 @@ def customer_purchases_parts(pos: Pos, distinct: bool = True) -> DataFrame:
     )
 
 
-def _buyer_labels(pos: Pos, distinct: bool):
+def _buyer_labels(pos: Pos, distinct: bool, pairs: DataFrame | None = None):
     buyers = pos.customers.select(F.col("id").alias("customer_id"), customer_label().alias("label"))
-    labelled = bought_pairs(pos).join(buyers, "customer_id")
+    labelled = (bought_pairs(pos) if pairs is None else pairs).join(buyers, "customer_id")
     return labelled, ["product_id"], "customer_id", "label", ",", None if distinct else "copies"
 
 
-def _purchase_labels(pos: Pos, distinct: bool):
+def _purchase_labels(pos: Pos, distinct: bool, pairs: DataFrame | None = None):
     goods = pos.products.select(F.col("id").alias("product_id"), product_label().alias("label"))
-    labelled = bought_pairs(pos).join(goods, "product_id")
+    labelled = (bought_pairs(pos) if pairs is None else pairs).join(goods, "product_id")
     return labelled, ["customer_id"], "product_id", "label", "|", None if distinct else "copies"
 
 
-def product_buyers(pos: Pos, distinct: bool = True) -> DataFrame:
-    """Every product with its buyers as one text, by buyer id; NULL when nobody bought it."""
-    labelled, keys, order_id, label, sep, copies = _buyer_labels(pos, distinct)
+def product_buyers(pos: Pos, distinct: bool = True, pairs: DataFrame | None = None) -> DataFrame:
+    """Every product with its buyers as one text, by buyer id; NULL when nobody bought it.
+
+    ``pairs``: ``bought_pairs`` of ``pos``, where they are at hand.
+    """
+    labelled, keys, order_id, label, sep, copies = _buyer_labels(pos, distinct, pairs)
     texts = gather_text(labelled, keys, order_id, label, sep, "customers", copies)
     return pos.products.select(F.col("id").alias("productID"), F.col("name").alias("productName")).join(
         texts.withColumnRenamed("product_id", "productID"), "productID", "left"
@@ -91,9 +94,9 @@ def v_product_buyers(pos: Pos, distinct: bool = True) -> DataFrame:
     return product_buyers(pos, distinct).orderBy("productID")
 
 
-def customer_purchases(pos: Pos, distinct: bool = True) -> DataFrame:
-    """Every customer with the bought products as one text, by product id."""
-    labelled, keys, order_id, label, sep, copies = _purchase_labels(pos, distinct)
+def customer_purchases(pos: Pos, distinct: bool = True, pairs: DataFrame | None = None) -> DataFrame:
+    """Every customer with the bought products as one text, by product id; ``pairs`` as for ``product_buyers``."""
+    labelled, keys, order_id, label, sep, copies = _purchase_labels(pos, distinct, pairs)
     texts = gather_text(labelled, keys, order_id, label, sep, "products", copies)
     return pos.customers.select(
         F.col("id").alias("customer number"), F.col("firstName").alias("fn"), F.col("lastName").alias("ln")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from counterfoil.model import PRICE_HISTORY, Pos
 from counterfoil.operators import etl, money, views
+from counterfoil.session import pin
 from counterfoil.sources import csv
 from counterfoil.sources.snapshots import latest, materialize
 
@@ -41,10 +42,11 @@ def priced_and_taxed(pos: Pos, scope: str = "all") -> Pos:
 
 
 def refresh_full(pos: Pos, root: str) -> dict[str, str]:
-    """Both materialized views computed afresh, each published as a new version."""
+    """Both materialized views computed afresh, each published as a new version; lines are paired with buyers once."""
+    pairs = pin(views.bought_pairs(pos))
     return {
-        "mv_product_buyers": materialize(views.product_buyers(pos), f"{root}/mv_product_buyers"),
-        "mv_customer_purchases": materialize(views.customer_purchases(pos), f"{root}/mv_customer_purchases"),
+        "mv_product_buyers": materialize(views.product_buyers(pos, pairs=pairs), f"{root}/mv_product_buyers"),
+        "mv_customer_purchases": materialize(views.customer_purchases(pos, pairs=pairs), f"{root}/mv_customer_purchases"),
     }
 
 

@@ -301,8 +301,9 @@ def mv_recomputed_keys(spark, folder):
     pos, fulfilled = _pos(spark, folder), _lines_with_status(spark, folder, "F")
     old, opened = pos.with_(lines=fulfilled), _lines_with_status(spark, folder, "O")
     customers = pos.orders.join(opened.select(F.col("order_id").alias("id")), "id", "left_semi").select("customer_id")
-    buyers = views.refresh_products(views.product_buyers(old), pos, opened.select("product_id"))
-    purchases = views.refresh_customers(views.customer_purchases(old), pos, customers)
+    pairs = pin(views.bought_pairs(old))
+    buyers = views.refresh_products(views.product_buyers(old, pairs=pairs), pos, opened.select("product_id"))
+    purchases = views.refresh_customers(views.customer_purchases(old, pairs=pairs), pos, customers)
     return _both_views(buyers, purchases)
 
 

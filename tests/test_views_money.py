@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from counterfoil.operators import money, views
+from counterfoil.plans.build import refresh_full
 from counterfoil.plans.catalog import register_views
+from counterfoil.sources.snapshots import latest
 from tests.conftest import rows
 
 
@@ -148,3 +150,13 @@ def test_sales_report(priced_shop):
     assert rows(money.sales_report(priced_shop, *jan, 2)) == [(2, 2, D("180.00"))]
     assert rows(money.sales_report(priced_shop, *jan, 3)) == [(None, None, None)]
     assert rows(money.sales_report(priced_shop, *jan)) == [(1, 2, D("2469.00")), (2, 2, D("180.00"))]
+
+
+def test_a_full_refresh_pairs_lines_once(spark, shop, tmp_path, monkeypatch):
+    made = []
+    paired = views.bought_pairs
+    monkeypatch.setattr(views, "bought_pairs", lambda pos: made.append(1) or paired(pos))
+    refresh_full(shop, f"{tmp_path}/views")
+    assert len(made) == 1
+    assert rows(latest(spark, f"{tmp_path}/views/mv_product_buyers")) == rows(views.product_buyers(shop))
+    assert rows(latest(spark, f"{tmp_path}/views/mv_customer_purchases")) == rows(views.customer_purchases(shop))
