@@ -128,6 +128,7 @@ class Codec:
         inner = proto.SerializeToString()
         self.ours, self.theirs = build(inner), sentencepiece.SentencePieceProcessor(model_proto=inner)
         self.pieces = piece_bytes(self.built)
+        self.decoder = self.built.decoder.__getstate__()
         self.blank = norm_prefix
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -177,12 +178,14 @@ class Codec:
     def decode(self, ids: list[list[int] | None]) -> list[str | None]:
         """The bytes of the pieces one after the other, without the blank in front.
 
-        Where they are no UTF-8, or an identifier stands for no piece, the library's decoder says what the text is.
+        Where they are no UTF-8, or an identifier stands for no piece, the library's decoder says what the text is; so it
+        does for all if it is not the one that the bytes were worked out for.
         """
         texts, odd = [], []
+        pieces = self.pieces if self.built.decoder.__getstate__() == self.decoder else {}
         for at, some in enumerate(ids):
             try:
-                read = None if some is None else b"".join(map(self.pieces.__getitem__, some)).decode()
+                read = None if some is None else b"".join(map(pieces.__getitem__, some)).decode()
             except (UnicodeDecodeError, KeyError):
                 read = None
                 odd.append(at)
