@@ -6,7 +6,8 @@ leaves zero and goes when the count is zero again; only blocks where that happen
 their own pairs. Neither lines nor other pairs are read.
 
 Pairs and texts lie in folders by a hash of (owner, block). A refresh reads the folders it touches and replaces those,
-by Spark's dynamic partition overwrite. Every pair remembers the number of the last refresh that changed it and its count
+by Spark's dynamic partition overwrite, which puts new files in place when all are written. Rows are written where a shuffle
+by (owner, block) has put them; no folder is one task. Every pair remembers the number of the last refresh that changed it and its count
 before, so a refresh that failed half way is simply run again: what it had done already is not done twice.
 One refresh at a time; readers take the folders as they are.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions.text import customer_label, product_label
 from counterfoil.model import Pos
-from counterfoil.operators.gather import text_parts
+from counterfoil.operators.gather import text_parts, text_pieces
 from counterfoil.operators.sequence import block_of
 from counterfoil.operators.views import bought_pairs
 from counterfoil.session import pin
@@ -66,7 +67,8 @@ def changed_pairs(accepted: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def _folder(folders: int) -> Column:
-    return F.pmod(F.xxhash64("owner", "part"), F.lit(folders)).cast("int").alias("folder")
+    # The hash that a shuffle by (owner, part) goes by: with a multiple of the folders as partitions, each has rows of one.
+    return F.pmod(F.hash("owner", "part"), F.lit(folders)).cast("int").alias("folder")
 
 
 def _of_view(pairs: DataFrame, view: View, count: str) -> DataFrame:
@@ -87,13 +89,13 @@ class CountedView:
         """Count all lines once."""
         counted = _of_view(bought_pairs(pos), self.view, "copies")
         rows = counted.select("*", F.lit(0).cast("long").alias("was"), F.lit(-1).cast("long").alias("refresh"), _folder(self.folders))
-        self._write(rows, "pairs")
+        self._write(rows.repartition("owner", "part"), "pairs")
         self._write(self._texts(self._read("pairs"), pos), "texts")
         return self
 
     def _write(self, rows: DataFrame, name: str) -> None:
-        """Replace the folders that ``rows`` has rows of."""
-        rows.repartition("folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        """Replace the folders that ``rows``, together by (owner, part), has rows of; these may come from the same folders."""
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "folder"
         ).parquet(f"{self.root}/{name}")
 
@@ -104,11 +106,12 @@ class CountedView:
 
     def _texts(self, pairs: DataFrame, pos: Pos) -> DataFrame:
         """The finished texts of the blocks of ``pairs``."""
-        named = pairs.where("copies > 0").drop("part").join(self.view.labels(pos), "member")
-        copies = None if self.view.distinct else "copies"
-        texts = text_parts(named, ["owner"], "member", "label", self.view.separator, copies)
+        named, by = pairs.where("copies > 0").select("owner", "member", "copies"), ["owner"]
         if self.view.distinct:
-            texts = texts.withColumn("piece", F.lit(0).cast("long"))
+            labelled = named.join(self.view.labels(pos), "member")
+            texts = text_parts(labelled, by, "member", "label", self.view.separator).withColumn("piece", F.lit(0).cast("long"))
+        else:
+            texts = text_pieces(named, by, "member", self.view.labels(pos), "label", self.view.separator, "copies")
         return texts.select("owner", "part", "piece", "text", _folder(self.folders))
 
     def refresh(self, changes: DataFrame, number: int, pos: Pos) -> None:
@@ -116,31 +119,37 @@ class CountedView:
 
         ``pos`` is asked for names only.
         """
-        given = _of_view(changes, self.view, "change").select("*", _folder(self.folders))
-        given = pin(given)
-        touched = sorted(r["folder"] for r in given.select("folder").distinct().collect())
+        given = pin(_of_view(changes, self.view, "change"))
+        touched = sorted(r["folder"] for r in given.select(_folder(self.folders)).distinct().collect())
         if not touched:
             return
-        by = ["folder", "owner", "part", "member"]
-        old = self._read("pairs", touched)
+        kept = ["copies", "was", "refresh"]
+        none = F.lit(None).cast("long")
+        old = self._read("pairs", touched).select("owner", "part", "member", *kept, none.alias("change"))
+        both = old.unionByName(given.select("owner", "part", "member", *[none.alias(c) for c in kept], "change"))
+        # A pair has one row of either kind at most.
+        pairs = both.repartition("owner", "part").groupBy("owner", "part", "member").agg(
+            *[F.max(c).alias(c) for c in (*kept, "change")]
+        )
         due = F.col("change").isNotNull() & (F.coalesce("refresh", F.lit(-1)) < number)
         count = F.coalesce("copies", F.lit(0).cast("long"))
-        pairs = pin(
-            old.join(given, by, "full").select(
+        self._write(
+            pairs.select(
                 "owner", "member", "part",
                 F.when(due, count + F.col("change")).otherwise(count).alias("copies"),
                 F.when(due, count).otherwise(F.col("was")).alias("was"),
                 F.when(due, F.lit(number)).otherwise(F.col("refresh")).cast("long").alias("refresh"),
-                "folder",
-            )
+                _folder(self.folders),
+            ),
+            "pairs",
         )
-        self._write(pairs, "pairs")
+        pairs = self._read("pairs", touched)
         now = F.col("refresh") == number
         entered = (F.col("was") > 0) != (F.col("copies") > 0) if self.view.distinct else F.col("was") != F.col("copies")
         blocks = pin(pairs.where(now & entered).select("folder", "owner", "part").distinct())
         anew = self._texts(pairs.join(blocks, ["folder", "owner", "part"], "left_semi").select(*pairs.columns), pos)
-        kept = self._read("texts", touched).join(blocks, ["folder", "owner", "part"], "left_anti")
-        texts = pin(kept.select("owner", "part", "piece", "text", "folder").unionByName(anew))
+        others = self._read("texts", touched).join(blocks, ["folder", "owner", "part"], "left_anti")
+        texts = others.select("owner", "part", "piece", "text", "folder").unionByName(anew)
         # A folder whose last text went would not be replaced; an empty text keeps its place.
         marks = blocks.select("owner", "part", F.lit(-1).cast("long").alias("piece"), F.lit(None).cast("string").alias("text"), "folder")
         self._write(texts.unionByName(marks), "texts")

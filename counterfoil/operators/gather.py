@@ -67,6 +67,17 @@ def text_parts(
     )
 
 
+def text_pieces(
+    df: DataFrame, keys: Sequence[str], order_id: str, labels: DataFrame, label: str, sep: str, copies: str
+) -> DataFrame:
+    """``text_parts`` with ``copies``, of children that get their label by ``order_id`` from ``labels``.
+
+    Pieces are cut before labels are looked up, so that texts are shuffled once. Children without a label leave room in theirs.
+    """
+    pieces = _in_pieces(df, keys, order_id, copies).join(labels.where(F.col(label).isNotNull()), order_id)
+    return _text_groups(pieces, [*keys, "part", "piece"], order_id, label, sep, copies)
+
+
 def gather_text(
     df: DataFrame, keys: Sequence[str], order_id: str, label: str, sep: str, out: str, copies: str | None = None
 ) -> DataFrame:

@@ -112,3 +112,29 @@ def test_pairs_of_many_members_are_cut_in_blocks(spark, priced_shop, tmp_path):
     stored.refresh(counted.changed_pairs(accepted, orders), 1, pos)
     assert [r["part"] for r in stored.texts().orderBy("part").collect()] == [1, 2, 3, 4]
     assert stored.lists().first()["text"] == ",".join(f"{n << 16} F{n} L{n}" for n in range(1, 5))
+
+
+@pytest.mark.parametrize("view", [counted.BUYERS, counted.ALL_BUYERS], ids=lambda v: v.name)
+def test_a_folder_is_written_by_several_tasks(spark, priced_shop, tmp_path, view):
+    """A view of few folders is not put together by as few tasks, whether it is created or refreshed."""
+    orders = spark.createDataFrame([(100 + n, n % 4 + 1) for n in range(200)], "id long, customer_id long")
+    lines = spark.createDataFrame([(100 + n, n) for n in range(200)], "order_id long, product_id long")
+    pos = priced_shop.with_(orders=orders, lines=lines)
+    changes = spark.createDataFrame([(n, 5, 1) for n in range(200)], "product_id long, customer_id long, change int")
+
+    def written(name):
+        found = {}
+        for file in files(f"{stored.root}/{name}"):
+            found.setdefault(os.path.dirname(file), set()).add(file)
+        return [len(of) for of in found.values()]
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stored = counted.CountedView(spark, f"{tmp_path}/views", view, folders=2).create(pos)
+        created = written("pairs") + written("texts")
+        stored.refresh(changes, 1, pos)
+        assert min(created + written("pairs") + written("texts")) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lists = {r["owner"]: r["text"] for r in stored.lists().collect()}
+    assert len(lists) == 200 and lists[0] == "1 Ann Lee,5 Eve Sun"
