@@ -92,15 +92,19 @@ def gather_text(
 
 
 def _array_groups(df: DataFrame, by: Sequence[str], order_id: str, item: Column, copies: str | None) -> DataFrame:
+    """Rows are shuffled with their plain columns; items are made behind the shuffle.
+
+    Items of the same columns under other names, as the house styles have them, then come from one shuffle.
+    """
     count = F.col(copies).cast("int") if copies else F.lit(1)
     # A child without id, which outer joins leave, comes first.
     place = F.coalesce(F.col(order_id), F.lit(-1))
-    children = df.select(*by, place.alias("_i"), item.alias("_item"), count.alias("_n"))
+    children = df.repartition(*by).select(*by, place.alias("_i"), item.alias("_item"), count.alias("_n"))
     in_order = F.sort_array(F.collect_list(F.struct("_i", "_item", "_n")))
     items = F.transform(in_order, lambda p: p["_item"])
     if copies:
         items = F.flatten(F.transform(in_order, lambda p: F.array_repeat(p["_item"], p["_n"])))
-    return children.repartition(*by).groupBy(*by).agg(items.alias("items"))
+    return children.groupBy(*by).agg(items.alias("items"))
 
 
 def array_parts(

@@ -962,8 +962,9 @@ def compare_exports(spark, folder):
 def same_ids_from_files(spark, folder):
     """Whether two order files hold the same ids: with and without orders that have no lines, and a file with itself."""
     pos, root = _pos(spark, folder), scratch_path(spark, "ids")
-    write_documents(documents.doc_orders(pos), f"{root}/ord.json")
-    write_documents(documents.doc_orders(pos, outer=True), f"{root}/all.json")
+    # Nobody but this query reads the two files.
+    write_documents(documents.doc_orders(pos), f"{root}/ord.json", "gzip")
+    write_documents(documents.doc_orders(pos, outer=True), f"{root}/all.json", "gzip")
 
     def ids(name: str) -> DataFrame:
         return read_lines(spark, f"{root}/{name}").select(F.get_json_object("doc", "$.OrderID").cast("long").alias("OrderID"))

@@ -16,9 +16,9 @@ def as_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns]), JSON_OPTIONS)
 
 
-def write_documents(df: DataFrame, path: str) -> None:
-    """One document per line; an existing path is left alone and reported."""
-    df.write.options(**JSON_OPTIONS).json(path)
+def write_documents(df: DataFrame, path: str, compression: str = "none") -> None:
+    """One document per line; an existing path is left alone and reported. ``read_lines`` reads compressed files as well."""
+    df.write.options(**JSON_OPTIONS).json(path, compression=compression)
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

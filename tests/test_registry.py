@@ -56,6 +56,23 @@ def test_typed_comparison_needs_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_house_styles_share_the_shuffle_of_their_items(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["doc_diff"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    shuffles = [line for line in plan.splitlines() if "hashpartitioning(order_id" in line and "REPARTITION_BY_COL" in line]
+    assert len([line for line in shuffles if "ReusedExchange" not in line]) == 1
+
+
+def test_the_files_of_ids_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    rows = QUERIES["same_ids_from_files"](spark, FOLDER).collect()
+    written = [f for d, _, names in os.walk(tmp_path) for f in names if f.startswith("part-")]
+    assert len(rows) == 2 and written and all(f.endswith(".json.gz") for f in written)
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
