@@ -59,6 +59,17 @@ def decide_one(op: str, quantity: int, moved: bool, old: int | None, left: int |
     return (NOT_ENOUGH if left is not None and used > 0 and used > left else None), used
 
 
+def plain(column: pa.Array) -> list:
+    """The values as Python ones; those without gaps by way of numpy and few different texts by their codes, not one by one."""
+    if column.null_count:
+        return column.to_pylist()
+    if pa.types.is_string(column.type):
+        coded = column.dictionary_encode()
+        texts = coded.dictionary.to_pylist()
+        return [texts[code] for code in coded.indices.to_numpy().tolist()]
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def fold_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Walk changes that come ordered by product, block and sequence number.
 
@@ -68,7 +79,7 @@ def fold_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         out = []
         for id_, block, available, op, order, quantity, moved, has_line, held, born in zip(
-            *(batch.column(name).to_pylist() for name in _READ)
+            *(plain(batch.column(name)) for name in _READ)
         ):
             if (id_, block) != key:
                 key, left, lines = (id_, block), available, {}
@@ -169,7 +180,7 @@ def bound_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for product, block, low, high, op, order, quantity, moved, *start in zip(
-            *(batch.column(name).to_pylist() for name in _BOUNDED)
+            *(plain(batch.column(name)) for name in _BOUNDED)
         ):
             if now is None or (product, block) != (now.product, now.block):
                 if now is not None:
