@@ -51,6 +51,15 @@ def test_questions_build_no_documents(spark, name):
     assert "collect_list" not in plan
 
 
+def _counts_lines(spark, name):
+    """Whether the tasks of the query itself count the line items, beside what reads the lines."""
+    return any("lineitem.parquet" in file for file in QUERIES[name](spark, FOLDER).inputFiles())
+
+
+def test_rules_read_lines_that_were_counted_before(spark):
+    assert not _counts_lines(spark, "dq_report")
+
+
 def test_typed_comparison_needs_no_python(spark):
     plan = QUERIES["doc_diff"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
