@@ -702,7 +702,7 @@ def apply_deletes(spark, folder):
 
 def _after(spark, folder, null_subtotal="zero", prices_too=False) -> Pos:
     """The model after the mixed event feed, with the price feed between its changes if wanted."""
-    pos = _priced(spark, folder)
+    pos = _written(_priced(spark, folder))
     feed = tables.line_changes(spark, folder)
     if prices_too:
         # One numbering for both: the price of an event is set just before its line changes.
@@ -738,7 +738,7 @@ def _streamed(spark, folder, name, feed: DataFrame, pos: Pos, source, **options)
 
 def _streamed_events(spark, folder) -> Pos:
     """The model after the line and price feeds ran through one stream."""
-    pos = _priced(spark, folder)
+    pos = _written(_priced(spark, folder))
     sets = tables.price_changes(spark, folder).withColumn("seq", F.col("seq") * 2)
     lines = tables.line_changes(spark, folder).withColumn("seq", F.col("seq") * 2 + 1)
     feed = lines.unionByName(sets.withColumn("op", F.lit(jobs.SET_PRICE)), allowMissingColumns=True)
@@ -807,7 +807,7 @@ def batch_stock_check(spark, folder):
 @query
 def stream_line_changes(spark, folder):
     """The event feed decided by a stream; returns stock and buyers after its log is settled, of touched products anew."""
-    pos = _priced(spark, folder)
+    pos = _written(_priced(spark, folder))
     entries = _streamed(spark, folder, "lines", tables.line_changes(spark, folder), pos, jobs.line_change_stream)
     after, touched = jobs.settled(pos, entries)
     buyers = views.refresh_products(views.product_buyers(pos), after, touched.products)

@@ -60,6 +60,11 @@ def test_rules_read_lines_that_were_counted_before(spark):
     assert not _counts_lines(spark, "dq_report")
 
 
+@pytest.mark.parametrize("name", ["event_lines", "changed_lines", "stream_event_lines"])
+def test_changes_are_put_into_lines_that_were_counted_before(spark, name):
+    assert not _counts_lines(spark, name)
+
+
 def test_typed_comparison_needs_no_python(spark):
     plan = QUERIES["doc_diff"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
