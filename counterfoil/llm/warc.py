@@ -241,12 +241,14 @@ def merge_index(index: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in index.schema]
     least = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    number = max(least, -(-index.count() // range_rows))
+    captures = index.count()
+    number = max(least, -(-captures // range_rows))
     ranges = index.repartitionByRange(number, *_ORDER, "archive", "offset")
     rows = pin(
         ranges.sortWithinPartitions("archive", *_ORDER, "offset")
         .withColumn("part", F.spark_partition_id())
-        .mapInPandas(merged, ", ".join([*kinds, "part int", "place bigint", "capture bigint"]))
+        .mapInPandas(merged, ", ".join([*kinds, "part int", "place bigint", "capture bigint"])),
+        rows=captures,
     )
     # Only the first key of a range can have begun in earlier ones: one row a range at most.
     before = Window.partitionBy("urlkey").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
