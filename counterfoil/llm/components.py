@@ -26,15 +26,15 @@ def components(edges: DataFrame) -> DataFrame:
             return joined.select(F.col("v").alias("x"), "m").union(roots.select(F.col("u").alias("x"), "m"))
         return joined.filter("v > u").select(F.col("v").alias("x"), "m")  # larger neighbours go below m
 
-    current = pin(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    )
+    least_first = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    rows = edges.count()
+    current = pin(least_first.distinct(), rows=rows)
     mark = None
     while True:
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = least(both, False).filter("x <> m").select(F.col("x").alias("u"), F.col("m").alias("v")).distinct()
         small = least(large, True).filter("x <> m").select(F.col("x").alias("u"), F.col("m").alias("v")).distinct()
-        current = pin(small)
+        current = pin(small, rows=rows)
         now = current.agg(
             F.count("*").alias("n"),
             F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),

@@ -193,7 +193,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
     carried over 256 of them, so a size that a third of all rows share is no single task's work.
     """
     sized = pin(docs.select("doc_id", "source", words_of("text").alias("size")))
-    counts = pin(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
+    counts = pin(sized.groupBy("source", "size").agg(F.count("*").alias("n")), rows=sized.count())
     goals = pin(targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))))
     given = pin(copies_by_size(counts, goals, most))
     hashed = sized.withColumn("hash", F.xxhash64("doc_id")).withColumn("bucket", F.shiftrightunsigned("hash", 56))

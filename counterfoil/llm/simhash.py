@@ -152,13 +152,14 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
 
 def _placed(prints: DataFrame, max_bits: int) -> DataFrame:
     """For each fingerprint of ``prints`` (doc_id, bits): root of its component, component_id, links."""
-    classes = pin(prints.groupBy("bits").agg(F.min("doc_id").alias("least")))
+    rows = prints.count()
+    classes = pin(prints.groupBy("bits").agg(F.min("doc_id").alias("least")), rows=rows)
     near = pin(links(classes, max_bits))
     linked = components(near).withColumnRenamed("node", "bits")
     degree = near.select(F.explode(F.array("a", "b")).alias("bits")).groupBy("bits").agg(F.count("*").alias("links"))
     # Both written first, so that nothing but the join happens where a large component is; Spark then splits it.
-    placed = pin(classes.join(linked, "bits", "left").withColumn("root", F.coalesce("root", "bits")))
-    roots = pin(placed.groupBy("root").agg(F.min("least").alias("component_id")))
+    placed = pin(classes.join(linked, "bits", "left").withColumn("root", F.coalesce("root", "bits")), rows=rows)
+    roots = pin(placed.groupBy("root").agg(F.min("least").alias("component_id")), rows=rows)
     return (
         placed.join(roots, "root")
         .join(degree, "bits", "left")
