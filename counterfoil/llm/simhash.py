@@ -96,6 +96,9 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     Keys are joined, never gathered: Spark splits a key that many fingerprints share, and
     only true pairs leave the join. ``max_bits`` up to 4.
+
+    Spark sizes exploded rows as if they were as few as before, 64 times too low, and would
+    broadcast them; so this join is told to merge.
     """
     if not 1 <= max_bits <= MAX_BITS:
         raise ValueError("keys are laid out for distances of 1 to 4 bits")
@@ -124,7 +127,7 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         ]
     )
     near = (F.col("a") < F.col("b")) & _within_budgets(_turned(apart, F.shiftright(way, 2)), max_bits)
-    return left.join(right, (F.col("key") == F.col("key_b")) & near & (way == first)).select("a", "b")
+    return left.join(right.hint("merge"), (F.col("key") == F.col("key_b")) & near & (way == first)).select("a", "b")
 
 
 def _left_out(turned: Column) -> Column:
@@ -160,9 +163,10 @@ def _placed(prints: DataFrame, max_bits: int) -> DataFrame:
     # Both written first, so that nothing but the join happens where a large component is; Spark then splits it.
     placed = pin(classes.join(linked, "bits", "left").withColumn("root", F.coalesce("root", "bits")), rows=rows)
     roots = pin(placed.groupBy("root").agg(F.min("least").alias("component_id")), rows=rows)
+    # Exploded too, so as in ``links``.
     return (
         placed.join(roots, "root")
-        .join(degree, "bits", "left")
+        .join(degree.hint("merge"), "bits", "left")
         .select("bits", "root", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
     )
 
