@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from counterfoil.session import passing_shuffles
+
 # Null fields are written, and times look like "2024-01-05 10:11:12".
 JSON_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
 
@@ -18,7 +20,8 @@ def as_json(df: DataFrame) -> Column:
 
 def write_documents(df: DataFrame, path: str, compression: str = "none") -> None:
     """One document per line; an existing path is left alone and reported. ``read_lines`` reads compressed files as well."""
-    df.write.options(**JSON_OPTIONS).json(path, compression=compression)
+    with passing_shuffles(df.sparkSession):
+        df.write.options(**JSON_OPTIONS).json(path, compression=compression)
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
