@@ -29,7 +29,7 @@ from counterfoil.operators.money import sales_tax
 from counterfoil.operators.prices import apply_price_changes
 from counterfoil.operators.sequence import BLOCK_ROWS, LEVELS, value_before
 from counterfoil.operators.stock_blocks import exact_starts
-from counterfoil.session import pin
+from counterfoil.session import passing_shuffles, pin
 
 BATCH = "Another change of the batch was rejected"
 
@@ -173,7 +173,8 @@ def decide_changes(
     per_line = prepared.groupBy("product_id", "order_id").agg(
         F.count("*").alias("n"), F.max("_changes").alias("_changes")
     )
-    longest, most = per_line.agg(F.max("n"), F.max("_changes")).first()
+    with passing_shuffles(changes.sparkSession):
+        longest, most = per_line.agg(F.max("n"), F.max("_changes")).first()
     free = ready.where(F.col("_changes").isNull()).drop("_changes")
     decided = [_decide_free(free, levels=LEVELS if (longest or 0) > block_rows else 0)]
     if most:

@@ -73,9 +73,14 @@ def dataset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     return _summed(equal.unionAll(_open_digests(tagged, sums).select("n_left", "n_right")), zero)
 
 
-def typed_diff(left: DataFrame, right: DataFrame) -> DataFrame:
-    """The same for documents that are still columns, without a JSON text or Python in between."""
+def typed_diff(left: DataFrame, right: DataFrame, apart: bool = False) -> DataFrame:
+    """The same for documents that are still columns, without a JSON text or Python in between.
+
+    ``apart``: digests of the left side are written first, so that disks never hold the shuffles of both sides.
+    """
     digests = [df.select(F.sha2(canonical_columns(df), 256).alias("digest")) for df in (left, right)]
+    if apart:
+        digests[0] = pin(digests[0])
     return _summed(_sides(*digests, "digest"), F.lit(0).cast("long"))
 
 

@@ -306,10 +306,12 @@ def mv_recomputed_keys(spark, folder):
     pos, fulfilled = _pos(spark, folder), _lines_with_status(spark, folder, "F")
     old, opened = pos.with_(lines=fulfilled), _lines_with_status(spark, folder, "O")
     customers = pos.orders.join(opened.select(F.col("order_id").alias("id")), "id", "left_semi").select("customer_id")
+    # Each view is written before and after its refresh, so that disks hold the shuffles of one step at a time.
     pairs = pin(views.bought_pairs(old))
-    buyers = views.refresh_products(views.product_buyers(old, pairs=pairs), pos, opened.select("product_id"))
-    purchases = views.refresh_customers(views.customer_purchases(old, pairs=pairs), pos, customers)
-    return _both_views(buyers, purchases)
+    buyers = pin(views.product_buyers(old, pairs=pairs))
+    buyers = pin(views.refresh_products(buyers, pos, opened.select("product_id")))
+    purchases = pin(views.customer_purchases(old, pairs=pairs))
+    return _both_views(buyers, views.refresh_customers(purchases, pos, customers))
 
 
 # --- money ----------------------------------------------------------------------------
@@ -942,10 +944,11 @@ def doc_diff(spark, folder):
         "ord.json": (documents.doc_orders(pos), documents.doc_orders(pos)),
         "prod.json": (documents.doc_products(pos), documents.doc_products(pos, "B")),
     }
-    rows = [
-        compare.typed_diff(a, b).select(F.lit(name).alias("dataset"), "*")
-        for name, (a, b) in pairs.items()
-    ]
+    # One set after the other, so that disks hold the shuffles of one at a time; equal sides share theirs.
+    rows = []
+    for name, (a, b) in pairs.items():
+        row = compare.typed_diff(a, b, apart=name != "ord.json").select(F.lit(name).alias("dataset"), "*")
+        rows.append(row if name == "cust2.json" else pin(row))
     return reduce(DataFrame.unionByName, rows)
 
 
