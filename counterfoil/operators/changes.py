@@ -46,7 +46,7 @@ def clamp_quantity(quantity: Column) -> Column:
 
 
 def _prepared(changes: DataFrame, lines: DataFrame, products: DataFrame, orders: DataFrame | None) -> DataFrame:
-    """Changes with their line, price and stock. Lines are cut down to the touched keys first."""
+    """Changes with their line, price and stock; ``_changes`` where stock may run short. Lines are cut down to the touched keys first."""
     # New ids say something on updates only; every decider sees the same flag.
     moved = F.coalesce(F.col("op") == "update", F.lit(False)) & (
         F.coalesce(F.col("new_order_id") != F.col("order_id"), F.lit(False))
@@ -57,22 +57,27 @@ def _prepared(changes: DataFrame, lines: DataFrame, products: DataFrame, orders:
         F.when(F.col("op") != "delete", clamp_quantity(F.col("quantity"))).cast("int").alias("quantity"),
         moved.alias("moved"),
     )
+    # What is known of the keys and of the products is put together first, so that the changes themselves, which are wide,
+    # are shuffled once for each. Changes without a key find nothing, and are refused for that.
     keys = ["order_id", "product_id"]
-    held = lines.join(changes.select(*keys).distinct(), keys, "left_semi").select(
+    touched = changes.select(*keys).distinct()
+    held = lines.join(touched, keys, "left_semi").select(
         *keys, F.col("quantity").alias("held"), F.col("unitPrice").alias("held_price"), F.lit(True).alias("has_line")
     )
-    stock = products.select(
-        F.col("id").alias("product_id"), "currentPrice", F.col("availableQuantity").alias("available"),
-        F.lit(True).alias("known_product"),
-    )
-    rows = rows.join(stock, "product_id", "left").join(held, keys, "left")
+    touched = touched.join(held, keys, "left")
     if orders is None:
-        rows = rows.withColumn("known_order", F.lit(True))
+        touched = touched.withColumn("known_order", F.lit(True))
     else:
         known = orders.select(F.col("id").alias("order_id")).join(
             changes.select("order_id").distinct(), "order_id", "left_semi"
         )
-        rows = rows.join(known.withColumn("known_order", F.lit(True)), "order_id", "left")
+        touched = touched.join(known.withColumn("known_order", F.lit(True)), "order_id", "left")
+    stock = products.select(
+        F.col("id").alias("product_id"), "currentPrice", F.col("availableQuantity").alias("available"),
+        F.lit(True).alias("known_product"),
+    ).join(_short_products(changes, products), "product_id", "left")
+    # Written: disks hold the shuffles of the keys or those of the changes.
+    rows = rows.join(pin(touched), keys, "left").join(stock, "product_id", "left")
     insert = F.col("op") == "insert"
     keyless = F.col("order_id").isNull() | F.col("product_id").isNull() | F.col("seq").isNull()
     refused = (
@@ -84,6 +89,7 @@ def _prepared(changes: DataFrame, lines: DataFrame, products: DataFrame, orders:
     return rows.select(
         "op", "seq", "order_id", "product_id", "quantity", "moved", "available", "currentPrice", "held", "held_price",
         F.coalesce("has_line", F.lit(False)).alias("has_line"), F.lit(False).alias("born"), refused.alias("refused"),
+        "_changes",
     )
 
 
@@ -167,8 +173,7 @@ def decide_changes(
     rejected as well.
     """
     # Looked up once and written out; both ways to decide below read it.
-    short = _short_products(changes, products)
-    prepared = pin(_prepared(changes, lines, products, orders).join(short, "product_id", "left"))
+    prepared = pin(_prepared(changes, lines, products, orders))
     ready = prepared.where(F.col("refused").isNull()).drop("refused")
     per_line = prepared.groupBy("product_id", "order_id").agg(
         F.count("*").alias("n"), F.max("_changes").alias("_changes")

@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from counterfoil.operators import changes
 from counterfoil.operators.compare import typed_diff
 from counterfoil.plans import registry
 from counterfoil.plans.registry import QUERIES
@@ -75,3 +76,43 @@ def test_typed_sides_written_apart(spark, apart):
     left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "b")], "`A B` int, c string")
     right = spark.createDataFrame([(1, "a"), (3, None), (None, "b"), (None, "b")], "AB int, c string")
     assert typed_diff(left, right, apart=apart).first() == (2, 2, 2)
+
+
+def test_views_are_refreshed_one_after_the_other(spark):
+    plan = QUERIES["mv_recomputed_keys"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    nested = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert [line for line in nested if "hashpartitioning(customer_id" in line]
+    assert not [line for line in nested if "hashpartitioning(product_id" in line]
+
+
+def test_changes_are_shuffled_once_for_their_keys_and_once_for_their_product(spark):
+    feed = "op string, seq long, order_id long, product_id long, quantity int, new_order_id long, new_product_id long"
+    rows = [("update", 1, 1, 1, 5, None, None), ("insert", 2, 1, 2, 9, None, None), ("insert", 3, 8, 2, 1, None, None),
+            ("insert", 4, 1, 7, 1, None, None), ("delete", 5, 1, None, 1, None, None), ("delete", 6, None, 1, 1, None, None),
+            ("update", 6, 1, 1, 5, None, None)]
+    feed = spark.createDataFrame(rows, feed)
+    lines = spark.createDataFrame([(1, 1, 3, None), (4, 2, 1, None)], "order_id long, product_id long, quantity int, unitPrice double")
+    lines = lines.withColumn("unitPrice", F.col("unitPrice").cast("decimal(6,2)"))
+    goods = "id long, name string, currentPrice double, availableQuantity int"
+    goods = spark.createDataFrame([(1, "a", 2.0, 50), (2, "b", 3.0, 4), (2, "b", 3.0, 4), (3, "c", 1.0, None)], goods)
+    orders = spark.createDataFrame([(1,), (4,)], "id long")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        prepared = changes._prepared(feed, lines, goods, orders)
+        plan = prepared._jdf.queryExecution().executedPlan().toString()
+        found = {(r["seq"], r["op"], r["product_id"], r["has_line"], r["held"], r["available"], r["_changes"], r["refused"])
+                 for r in prepared.collect()}
+        assert prepared.count() == 7 + 6  # four for each change of the product that is there twice
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert plan.count("Exchange hashpartitioning(order_id") == 2  # changes, and what is known of their keys
+    assert found == {
+        (1, "update", 1, True, 3, 50, None, None), (6, "update", 1, True, 3, 50, None, None),
+        (2, "insert", 2, False, None, 4, 2, None), (3, "insert", 2, False, None, 4, 2, changes.NO_ORDER),
+        (4, "insert", 7, False, None, None, None, changes.NO_PRODUCT),
+        (5, "delete", None, False, None, None, None, changes.NO_KEY), (6, "delete", 1, False, None, 50, None, changes.NO_KEY),
+    }
